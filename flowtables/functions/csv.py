@@ -86,67 +86,64 @@ def strip_line_end(record: Column) -> Column:
     return F.regexp_replace(record, r"(?:\r\n|\r|\n)\z", "")
 
 
-def _prepared(record: Column, dialect: Dialect) -> Column:
+# The steps of parsing.  Each step is used several times by the next ones, so the
+# caller gives every step a column of its own instead of nesting them.
+
+
+def prepared(record: Column, dialect: Dialect) -> Column:
     """The record with a delimiter before every field, also the first."""
-    e = dialect.escape
     rest = F.substring(record, F.lit(2), F.length(record))
     led = F.concat(F.lit(dialect.delimiter + _LEADING_ESCAPE), rest)
     plain = F.concat(F.lit(dialect.delimiter), record)
-    return F.when(record.startswith(e), led).otherwise(plain)
+    return F.when(record.startswith(dialect.escape), led).otherwise(plain)
 
 
-def _good_length(prepared: Column, dialect: Dialect) -> Column:
-    """Length of the longest start of the record that is made of good fields."""
+def good_length(prepared: Column, dialect: Dialect) -> Column:
+    """Length of the longest start of a prepared record made of good fields."""
     return F.length(F.regexp_extract(prepared, rf"^(?:{dialect.field})*+", 0))
 
 
-def parse_record(record: Column, dialect: Dialect = DEFAULT) -> Column:
-    """Fields of a record without line end, as an array of strings.  Only
-    meaningful where :func:`record_error` is null."""
-    q, e = _quoted(dialect.quote), _quoted(dialect.escape)
-    d = _quoted(dialect.delimiter)
-    prepared = _prepared(record, dialect)
-    raw = F.regexp_extract_all(prepared, F.lit(rf"{d}({q}{dialect.quoted_body}{q}|{dialect.plain_body})"), 1)
+def raw_fields(prepared: Column, dialect: Dialect) -> Column:
+    """Fields of a good prepared record with their quotes and escapes."""
+    d, q = _quoted(dialect.delimiter), _quoted(dialect.quote)
+    field = rf"{d}({q}{dialect.quoted_body}{q}|{dialect.plain_body})"
+    return F.regexp_extract_all(prepared, F.lit(field), F.lit(1))
+
 
-    def plain(f: Column) -> Column:
-        kept = F.regexp_replace(f, rf"{e}([{e}{d}])", "$1")
-        back = F.concat(F.lit(dialect.escape), F.substring(kept, F.lit(2), F.length(kept)))
-        return F.when(
-            record.startswith(dialect.escape) & kept.startswith(_LEADING_ESCAPE), back
-        ).otherwise(kept)
+def clean_fields(raw: Column, prepared: Column, dialect: Dialect) -> Column:
+    """Fields without quotes and escapes."""
+    d, q, e = (_quoted(c) for c in (dialect.delimiter, dialect.quote, dialect.escape))
 
-    def unquoted(f: Column) -> Column:
+    def clean(f: Column) -> Column:
         inner = F.substring(f, F.lit(2), F.length(f) - 2)
-        return F.regexp_replace(inner, rf"{q}({q})|{e}([{q}{e}])", "$1$2")
+        unquoted = F.regexp_replace(inner, rf"{q}({q})|{e}([{q}{e}])", "$1$2")
+        return F.when(f.startswith(dialect.quote), unquoted).otherwise(
+            F.regexp_replace(f, rf"{e}([{e}{d}])", "$1")
+        )
+
+    has_quotes = F.instr(prepared, dialect.quote) > 0
+    has_escapes = F.instr(prepared, dialect.escape) > 0
+    cleaned = F.when(has_quotes | has_escapes, F.transform(raw, clean)).otherwise(raw)
+    led = prepared.startswith(dialect.delimiter + _LEADING_ESCAPE)
+    put_back = F.transform(
+        cleaned,
+        lambda f, i: F.when(i == 0, F.concat(F.lit(dialect.escape), F.substring(f, F.lit(2), F.length(f)))).otherwise(f),
+    )
+    return F.when(led, put_back).otherwise(cleaned)
 
-    special = F.instr(record, dialect.quote) + F.instr(record, dialect.escape) > 0
-    fields = F.transform(raw, lambda f: F.when(f.startswith(dialect.quote), unquoted(f)).otherwise(plain(f)))
-    return F.when(special, fields).otherwise(raw)
 
+def skipped_length(rest: Column, dialect: Dialect) -> Column:
+    """How much of the bad rest of a record is the good start of a quoted field."""
+    d, q = _quoted(dialect.delimiter), _quoted(dialect.quote)
+    return F.length(F.regexp_extract(rest, rf"^{d}{q}{dialect.quoted_body}", 0))
 
-def record_error(record: Column, dialect: Dialect = DEFAULT) -> Column:
-    """What is wrong with a record: a struct of ``reason`` and ``position`` (offset
-    in the record, from 0), or null.
 
-    Reasons: ``wrong_escape`` (only escape, delimiter or, in quotes, the quote may
-    follow), ``no_character_after_escape``, ``unterminated_quote``,
-    ``delimiter_expected`` (after a closing quote), ``line_end_in_record``.
-    """
-    d, q, e = (_quoted(c) for c in (dialect.delimiter, dialect.quote, dialect.escape))
-    prepared = _prepared(record, dialect)
-    good = _good_length(prepared, dialect)
-    rest = F.substring(prepared, good + 1, F.length(prepared))
-    in_quotes = F.regexp_extract(rest, rf"^{d}{q}{dialect.quoted_body}", 0)
-    skipped = F.when(rest.startswith(dialect.delimiter), F.length(in_quotes)).otherwise(0)
-    after = F.substring(rest, skipped + 1, F.length(rest))
-    closed = after.startswith(dialect.quote)
-    reason = (
+def error_reason(after: Column, dialect: Dialect) -> Column:
+    """What is wrong at the first character that does not fit."""
+    return (
         F.when(after == dialect.escape, "no_character_after_escape")
         .when(after.startswith(dialect.escape), "wrong_escape")
         .when(after == "", "unterminated_quote")
-        .when(closed, "delimiter_expected")
         .when(after.rlike(r"^[\r\n]"), "line_end_in_record")
         .otherwise("delimiter_expected")
     )
-    position = good + skipped - 1 + F.when(closed, 1).otherwise(0)
-    return F.when(good < F.length(prepared), F.struct(reason.alias("reason"), position.cast("int").alias("position")))

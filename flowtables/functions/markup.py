@@ -27,19 +27,19 @@ VOID_ELEMENTS = (
 
 def unescape(text: Column) -> Column:
     """Replace the five named XML entities and numeric character references."""
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[0-9]+|x[0-9A-Fa-f]+);"), F.lit(0)))
-
-    def code(ref: Column) -> Column:
-        hexadecimal = ref.startswith("&#x")
-        digits = F.regexp_extract(ref, "([0-9A-Fa-f]+);$", 1)
-        return F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    references = F.array_distinct(
+        F.regexp_extract_all(text, F.lit("&#(?:[0-9]+|x[0-9A-Fa-f]+);"), F.lit(0))
+    )
 
     def put(done: Column, ref: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code(ref)), 8, "0")), "UTF-32")
+        digits = F.regexp_extract(ref, "([0-9A-Fa-f]+);$", 1)
+        code = F.when(ref.startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits)
+        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
         return F.replace(done, ref, char)
 
     out = F.when(F.instr(text, "&#") > 0, F.aggregate(references, text, put)).otherwise(text)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+    named = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+    for entity, char in named:
         out = F.replace(out, F.lit(entity), F.lit(char))
     return F.when(F.instr(text, "&") > 0, out).otherwise(text)
 
@@ -52,68 +52,89 @@ def tag_name(token: Column) -> Column:
     return local_name(F.regexp_extract(token, _NAME, 1))
 
 
-def attributes(tag: Column) -> Column:
-    """Attributes of a start tag by local name; of a repeated one the first."""
-    body = F.regexp_replace(tag, r"^<[^\s/>]+", "")
-    names = F.transform(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(1)), local_name)
-    values = F.transform(
-        F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(2)),
-        lambda v: unescape(F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2")),
-    )
-    entries = F.arrays_zip(names.alias("key"), values.alias("value"))
-    firsts = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    none = F.create_map().cast("map<string,string>")
-    return F.when(F.instr(body, "=") > 0, F.map_from_entries(firsts)).otherwise(none)
+def attribute_body(tag: Column) -> Column:
+    return F.regexp_extract(tag, r"(?s)^<[^\s/>]+(.*)$", 1)
 
 
-def _event(kind: str, name: Column, text: Column, attrs: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        name.cast("string").alias("name"),
-        attrs.cast("map<string,string>").alias("attrs"),
-        text.cast("string").alias("text"),
+def attribute_names(body: Column) -> Column:
+    return F.transform(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(1)), local_name)
+
+
+def attribute_values(body: Column) -> Column:
+    """Attribute values without quotes."""
+    strip = lambda v: F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2")
+    values = F.transform(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(2)), strip)
+    return F.when(F.instr(body, "&") > 0, F.transform(values, unescape)).otherwise(values)
+
+
+def attribute_map(names: Column, values: Column) -> Column:
+    """Of a repeated name the first value counts."""
+    entries = F.arrays_zip(names.alias("key"), values.alias("value"))
+    firsts = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    return F.map_from_entries(firsts)
+
+
+def token_kind(token: Column, html: bool) -> Column:
+    """What a token is; null for white space, declarations and document types."""
+    kind = (
+        F.when(~token.startswith("<"), F.when(token.rlike(r"\S"), "characters"))
+        .when(token == "<", "characters")
+        .when(token.startswith("</"), "end_element")
+        .when(token.startswith("<!--"), "comment")
+        .when(token.startswith("<![CDATA["), "cdata")
+        .when(token.startswith("<!"), None)
+        .when(token.startswith("<?"), F.when(~token.rlike(r"^<\?[xX][mM][lL]\s"), "processing_instruction"))
     )
+    if html:
+        kind = kind.when(token.rlike(r"(?s)^<(?:script|style)\b.*</"), "raw")
+        void = F.lower(F.regexp_extract(token, _NAME, 1)).isin(*VOID_ELEMENTS)
+        kind = kind.when(void, "empty")
+    return kind.when(token.endswith("/>"), "empty").otherwise("start_element")
+
 
+def token_name(token: Column, kind: Column) -> Column:
+    """Element name, or target of a processing instruction."""
+    return F.when(
+        kind == "processing_instruction", F.regexp_extract(token, r"^<\?([^\s?]+)", 1)
+    ).when(kind.isin("start_element", "end_element", "empty", "raw"), tag_name(token))
 
-def token_events(token: Column, html: bool) -> Column:
-    """Events of one token, as an array: none for declarations and white space,
-    a start and an end for elements without content."""
-    none = F.lit(None)
-    name = tag_name(token)
 
+def token_text(token: Column, kind: Column) -> Column:
     def inner(left: int, right: int) -> Column:
         return F.substring(token, F.lit(left + 1), F.length(token) - (left + right))
 
-    start = _event("start_element", name, none, attributes(token))
-    end = _event("end_element", name, none, none)
-    empty = token.endswith("/>")
-    if html:
-        empty = empty | F.lower(name).isin(*VOID_ELEMENTS)
-    nothing = F.filter(F.array(_event("", none, none, none)), lambda e: F.lit(False))
-    pi = F.regexp_extract(token, r"(?s)^<\?(\S+?)(?:\s+(.*))?\?>$", 1)
-    pi_data = F.regexp_extract(token, r"(?s)^<\?(\S+?)(?:\s+(.*))?\?>$", 2)
-    events = (
-        F.when(~token.startswith("<"), F.when(F.trim(F.regexp_replace(token, r"\s+", " ")) == "", nothing).otherwise(
-            F.array(_event("characters", none, unescape(token), none))))
-        .when(token.startswith("<!--"), F.array(_event("comment", none, inner(4, 3), none)))
-        .when(token.startswith("<![CDATA["), F.array(_event("cdata", none, inner(9, 3), none)))
-        .when(token.startswith("<!"), nothing)
-        .when(token.rlike(r"^<\?[xX][mM][lL]\s"), nothing)
-        .when(token.startswith("<?"), F.array(_event("processing_instruction", pi, pi_data, none)))
-        .when(token.startswith("</"), F.array(end))
+    return (
+        F.when(kind == "characters", unescape(token))
+        .when(kind == "comment", inner(4, 3))
+        .when(kind == "cdata", inner(9, 3))
+        .when(kind == "processing_instruction", F.regexp_extract(token, r"(?s)^<\?\S+\s+(.*)\?>$", 1))
+        .when(kind == "raw", F.regexp_extract(token, r"(?s)^<[^>]*>(.*)</[^<]*$", 1))
     )
-    if html:
-        raw = token.rlike(r"(?is)^<(?:script|style)\b.*</")
-        raw_start = F.regexp_extract(token, "^<[^>]*>", 0)
-        raw_text = F.regexp_replace(F.substring(token, F.length(raw_start) + 1, F.length(token)), r"(?s)</[^<]*$", "")
-        raw_events = F.array(
-            _event("start_element", name, none, attributes(raw_start)),
-            _event("characters", none, raw_text, none),
-            end,
+
+
+def start_tag(token: Column, kind: Column) -> Column:
+    return F.when(kind == "raw", F.regexp_extract(token, "^<[^>]*>", 0)).when(
+        kind.isin("start_element", "empty"), token
+    )
+
+
+def token_events(kind: Column, name: Column, attrs: Column, text: Column) -> Column:
+    """Events of one token, as an array: a start and an end for an element without
+    content, with the text between them for one with raw text."""
+
+    def event(event_kind, event_name=None, event_attrs=None, event_text=None) -> Column:
+        return F.struct(
+            (F.lit(event_kind) if isinstance(event_kind, str) else event_kind).alias("kind"),
+            (F.lit(None) if event_name is None else event_name).cast("string").alias("name"),
+            (F.lit(None) if event_attrs is None else event_attrs).cast("map<string,string>").alias("attrs"),
+            (F.lit(None) if event_text is None else event_text).cast("string").alias("text"),
         )
-        events = events.when(raw, F.filter(raw_events, lambda e: ~e["text"].eqNullSafe(F.lit(""))))
+
+    start = event("start_element", name, attrs)
+    end = event("end_element", name)
     return (
-        events.when(token == "<", F.array(_event("characters", none, token, none)))
-        .when(empty, F.array(start, end))
-        .otherwise(F.array(start))
+        F.when(kind == "empty", F.array(start, end))
+        .when((kind == "raw") & (text == ""), F.array(start, end))
+        .when(kind == "raw", F.array(start, event("characters", None, None, text), end))
+        .otherwise(F.array(event(kind, name, attrs, text)))
     )

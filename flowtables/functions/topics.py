@@ -3,6 +3,9 @@ number of words."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,12 +38,9 @@ def topic_matches(pattern: Column, key: Column) -> Column:
 def index_mask(pattern: Column) -> Column:
     """Which of the first words before any ``#`` are literal, as a bit mask.  A
     key can only match if its words at those places equal the pattern's."""
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(INDEXED_WORDS - 1)),
-        F.lit(0),
-        lambda mask, i: mask
-        + F.when(_literal(_fixed_words(pattern), i), F.shiftleft(F.lit(1), i.cast("int"))).otherwise(0),
-    )
+    fixed = _fixed_words(pattern)
+    bits = [F.when(_literal(fixed, i), 1 << i).otherwise(0) for i in range(INDEXED_WORDS)]
+    return reduce(add, bits)
 
 
 def _fixed_words(pattern: Column) -> Column:
@@ -52,8 +52,8 @@ def _fixed_words(pattern: Column) -> Column:
     )
 
 
-def _literal(fixed: Column, i: Column) -> Column:
-    word = F.get(fixed, i)
+def _literal(fixed: Column, i: int) -> Column:
+    word = F.get(fixed, F.lit(i))
     return word.isNotNull() & (word != "*")
 
 
@@ -62,7 +62,7 @@ def index_key(all_words: Column, mask: Column) -> Column:
     them is missing.  ``mask`` is a column or a literal column."""
     parts = [
         F.when(
-            F.expr(f"1 << {i}").bitwiseAND(mask) != 0,
+            mask.bitwiseAND(F.lit(1 << i)) != 0,
             F.concat(F.get(all_words, F.lit(i)), F.lit(".")),
         ).otherwise("")
         for i in range(INDEXED_WORDS)

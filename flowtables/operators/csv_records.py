@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowtables.functions import csv
 from flowtables.functions.csv import DEFAULT, Dialect
 from flowtables.operators.policy import with_error_policy
+from flowtables.plans.pin import pin
 
 
 def csv_parse(
@@ -17,12 +18,37 @@ def csv_parse(
 ) -> DataFrame:
     """Parse one record per row into ``fields``.
 
-    Bad records have null ``fields`` and an ``error`` struct; ``on_error`` applies
-    an error policy to them (``stop``, ``skip`` or ``dead_letter``).
+    A bad record has null ``fields`` and an ``error``: a struct of ``reason`` and
+    ``position``, the offset in the record from 0.  Reasons: ``wrong_escape`` (only
+    escape, delimiter or, in quotes, the quote may follow),
+    ``no_character_after_escape``, ``unterminated_quote``, ``delimiter_expected``
+    (after a closing quote), ``line_end_in_record``.  ``on_error`` applies an error
+    policy to them (``stop``, ``skip`` or ``dead_letter``).
     """
-    text = csv.strip_line_end(F.col(record))
-    parsed = df.withColumn("error", csv.record_error(text, dialect)).withColumn(
-        "fields", F.when(F.col("error").isNull(), csv.parse_record(text, dialect))
+    good, prepared, rest = F.col("_good"), F.col("_prepared"), F.col("_rest")
+    bad = good < F.length(prepared)
+    closed = F.col("_after").startswith(dialect.quote)
+    position = good + F.col("_skipped") - 1 + F.when(closed, 1).otherwise(0)
+    text = pin(df, _text=csv.strip_line_end(F.col(record)))
+    framed = pin(text, _prepared=csv.prepared(F.col("_text"), dialect)).drop("_text")
+    parsed = (
+        pin(framed, _good=csv.good_length(prepared, dialect))
+        .withColumn("_raw", F.when(~bad, csv.raw_fields(prepared, dialect)))
+        .withColumn("_rest", F.when(bad, F.substring(prepared, good + 1, F.length(prepared))))
+        .withColumn("_skipped", csv.skipped_length(rest, dialect))
+        .withColumn("_after", F.substring(rest, F.col("_skipped") + 1, F.length(rest)))
+        .withColumn(
+            "error",
+            F.when(
+                bad,
+                F.struct(
+                    csv.error_reason(F.col("_after"), dialect).alias("reason"),
+                    position.cast("int").alias("position"),
+                ),
+            ),
+        )
+        .withColumn("fields", csv.clean_fields(F.col("_raw"), prepared, dialect))
+        .drop("_prepared", "_good", "_raw", "_rest", "_skipped", "_after")
     )
     return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions import markup
 from flowtables.operators.policy import with_error_policy
+from flowtables.plans.pin import pin
 from flowtables.plans.ordered import Arranged, arrange, last_value, previous, run_sum
 
 Names = str | Sequence[str]
@@ -30,18 +31,36 @@ def markup_events(
     start and an end.  With ``html``, script and style hold raw text and void
     elements end at once.  With ``documents``, start and end of each document are
     events too; a text may hold several documents."""
-    token = markup.HTML_TOKEN if html else markup.XML_TOKEN
-    tokens = df.select(
-        F.col(id_col), F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(token), F.lit(0))).alias("_pos", "_token")
+    pattern = markup.HTML_TOKEN if html else markup.XML_TOKEN
+    token, kind, body = F.col("_token"), F.col("_kind"), F.col("_body")
+    no_attrs = F.create_map().cast("map<string,string>")
+    split = df.select(
+        F.col(id_col),
+        F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("_pos", "_token"),
     )
-    events = tokens.select(
-        id_col, "_pos", F.posexplode(markup.token_events(F.col("_token"), html)).alias("_sub", "_event")
-    ).select(
+    tokens = (
+        pin(split, _kind=markup.token_kind(token, html))
+        .where(kind.isNotNull())
+        .withColumn("_name", markup.token_name(token, kind))
+        .withColumn("_text", markup.token_text(token, kind))
+        .withColumn("_body", markup.attribute_body(markup.start_tag(token, kind)))
+        .withColumn("_names", F.when(F.instr(body, "=") > 0, markup.attribute_names(body)))
+        .withColumn("_values", F.when(F.col("_names").isNotNull(), markup.attribute_values(body)))
+        .withColumn(
+            "_attrs",
+            F.when(F.size("_names") > 0, markup.attribute_map(F.col("_names"), F.col("_values"))).when(
+                body.isNotNull(), no_attrs
+            ),
+        )
+    )
+    parts = markup.token_events(kind, F.col("_name"), F.col("_attrs"), F.col("_text"))
+    events = tokens.select(id_col, "_pos", F.posexplode(parts).alias("_sub", "_event")).select(
         id_col,
         (F.col("_pos").cast("bigint") * _SLOTS + F.col("_sub") + 1).alias("seq"),
         "_event.*",
     )
-    return with_documents(events, id_col) if documents else events
+    # The events of a document come from one row here.
+    return with_documents(events, id_col, rows_per_chunk=0) if documents else events
 
 
 def _with_depth(rows: Arranged) -> Arranged:
