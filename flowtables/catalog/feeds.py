@@ -84,12 +84,8 @@ def csv_files_query(spark, sf_dir):
     )
     rows = csv_scan(spark, path, on_error="stop").where("line > 1")
     mapped = csv_to_map(rows, header=_DOCUMENT_COLUMNS)
-    value = lambda c: F.col("record")[c]
-    return rows_from(mapped, value)
-
-
-def rows_from(mapped, value):
-    return mapped.select(value("doc_id").cast("bigint").alias("doc_id"), *[value(c).alias(c) for c in _DOCUMENT_COLUMNS[1:]])
+    value = {c: F.col("record")[c].alias(c) for c in _DOCUMENT_COLUMNS}
+    return mapped.select(*value.values()).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 @query(

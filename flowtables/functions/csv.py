@@ -83,7 +83,8 @@ def format_array(fields: Column, dialect: Dialect = DEFAULT, always: bool = Fals
 
 
 def strip_line_end(record: Column) -> Column:
-    return F.regexp_replace(record, r"(?:\r\n|\r|\n)\z", "")
+    cut = F.when(record.endswith("\r\n"), 2).when(record.endswith("\n") | record.endswith("\r"), 1)
+    return F.when(cut.isNull(), record).otherwise(F.substring(record, F.lit(1), F.length(record) - cut))
 
 
 # The steps of parsing.  Each step is used several times by the next ones, so the
@@ -104,12 +105,17 @@ def good_length(prepared: Column, dialect: Dialect) -> Column:
 
 
 def raw_fields(prepared: Column, dialect: Dialect) -> Column:
-    """Fields of a good prepared record with their quotes and escapes."""
+    """Fields of a prepared record with their quotes and escapes."""
     d, q = _quoted(dialect.delimiter), _quoted(dialect.quote)
-    field = rf"{d}({q}{dialect.quoted_body}{q}|{dialect.plain_body})"
+    field = rf"{d}({q}{dialect.quoted_body}{q}|(?!{q}){dialect.plain_body})"
     return F.regexp_extract_all(prepared, F.lit(field), F.lit(1))
 
 
+def is_covered(prepared: Column, raw: Column, dialect: Dialect) -> Column:
+    """True if the fields found make up the whole record, so that it is good."""
+    return F.length(F.array_join(raw, dialect.delimiter)) + 1 == F.length(prepared)
+
+
 def clean_fields(raw: Column, prepared: Column, dialect: Dialect) -> Column:
     """Fields without quotes and escapes."""
     d, q, e = (_quoted(c) for c in (dialect.delimiter, dialect.quote, dialect.escape))

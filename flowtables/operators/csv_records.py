@@ -25,15 +25,17 @@ def csv_parse(
     (after a closing quote), ``line_end_in_record``.  ``on_error`` applies an error
     policy to them (``stop``, ``skip`` or ``dead_letter``).
     """
-    good, prepared, rest = F.col("_good"), F.col("_prepared"), F.col("_rest")
-    bad = good < F.length(prepared)
+    prepared, raw, rest = F.col("_prepared"), F.col("_raw"), F.col("_rest")
+    bad, good = ~F.col("_covered"), F.col("_good")
     closed = F.col("_after").startswith(dialect.quote)
     position = good + F.col("_skipped") - 1 + F.when(closed, 1).otherwise(0)
     text = pin(df, _text=csv.strip_line_end(F.col(record)))
     framed = pin(text, _prepared=csv.prepared(F.col("_text"), dialect)).drop("_text")
+    fields = pin(framed, _raw=csv.raw_fields(prepared, dialect))
     parsed = (
-        pin(framed, _good=csv.good_length(prepared, dialect))
-        .withColumn("_raw", F.when(~bad, csv.raw_fields(prepared, dialect)))
+        pin(fields, _covered=csv.is_covered(prepared, raw, dialect))
+        # Only bad records are looked at again, for what is wrong with them.
+        .withColumn("_good", F.when(bad, csv.good_length(prepared, dialect)))
         .withColumn("_rest", F.when(bad, F.substring(prepared, good + 1, F.length(prepared))))
         .withColumn("_skipped", csv.skipped_length(rest, dialect))
         .withColumn("_after", F.substring(rest, F.col("_skipped") + 1, F.length(rest)))
@@ -47,8 +49,8 @@ def csv_parse(
                 ),
             ),
         )
-        .withColumn("fields", csv.clean_fields(F.col("_raw"), prepared, dialect))
-        .drop("_prepared", "_good", "_raw", "_rest", "_skipped", "_after")
+        .withColumn("fields", F.when(~bad, csv.clean_fields(raw, prepared, dialect)))
+        .drop("_prepared", "_raw", "_covered", "_good", "_rest", "_skipped", "_after")
     )
     return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 

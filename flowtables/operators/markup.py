@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.functions import markup
 from flowtables.operators.policy import with_error_policy
-from flowtables.plans.pin import pin
 from flowtables.plans.ordered import Arranged, arrange, last_value, previous, run_sum
+from flowtables.plans.pin import pin
 
 Names = str | Sequence[str]
 
@@ -148,27 +148,32 @@ def coalesce_text(
     rows = rows.scan(_run=run_sum("_other"), _sum=run_sum("_len"))
     rows = rows.with_columns(_base=F.when(~is_text, F.col("_sum"))).scan(_base=last_value("_base"))
     before = F.col("_sum") - F.col("_len") - F.coalesce(F.col("_base"), F.lit(0))
-    rest = [c for c in events.columns if c not in (*keys, order, "kind", "text")]
-    none = F.lit(None).cast("string")
+    # A group is an event that is no text, if any, and the run of text after it.
     # Of a run that is too long only what shows it is collected.
-    texts = (
-        rows.df.where(is_text & (before <= max_length))
-        .groupBy(*keys, "_run")
-        .agg(
-            F.sort_array(F.collect_list(F.struct(order, "text"))).alias("_pieces"),
-            F.sum("_len").alias("_total"),
-        )
-        .select(
-            *keys,
-            F.col("_pieces")[0][order].alias(order),
-            F.lit("characters").alias("kind"),
-            *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in rest],
-            F.when(F.col("_total") <= max_length, F.array_join("_pieces.text", "")).alias("text"),
-            F.when(F.col("_total") > max_length, F.lit("text_too_long")).alias("error"),
-        )
+    rest = [c for c in events.columns if c not in keys]
+    piece = F.when(is_text & (before <= max_length), F.struct(order, "text", "_len"))
+    groups = rows.df.groupBy(*keys, "_run").agg(
+        F.first(F.when(~is_text, F.struct(*rest)), ignorenulls=True).alias("_head"),
+        F.sort_array(F.collect_list(piece)).alias("_pieces"),
     )
-    others = rows.df.where(~is_text).select(*events.columns, none.alias("error"))
-    merged = others.unionByName(texts).select(*events.columns, "error")
+    length = F.aggregate("_pieces", F.lit(0).cast("bigint"), lambda n, p: n + p["_len"])
+    groups = pin(groups, _total=length)
+    long = F.col("_total") > max_length
+    head = {c: F.col(f"_head.{c}") for c in rest}
+    text = {c: F.lit(None).cast(events.schema[c].dataType) for c in rest} | {
+        order: F.get(F.col(f"_pieces.{order}"), F.lit(0)),
+        "kind": F.lit("characters"),
+        "text": F.when(~long, F.array_join("_pieces.text", "")),
+    }
+    error = F.when(long, F.lit("text_too_long"))
+
+    def event(columns: dict, error) -> Column:
+        return F.struct(*[columns[c].alias(c) for c in rest], error.cast("string").alias("error"))
+
+    own, run = event(head, F.lit(None)), event(text, error)
+    has_own, has_run = F.col("_head").isNotNull(), F.size("_pieces") > 0
+    parts = F.when(has_own & has_run, F.array(own, run)).when(has_own, F.array(own)).otherwise(F.array(run))
+    merged = groups.select(*keys, F.inline(parts)).select(*events.columns, "error")
     return merged if on_error is None else with_error_policy(merged, "error", on_error)
 
 

@@ -16,6 +16,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,9 @@ class PublishSettings:
     """``policy`` says what happens to records that still fail after
     ``max_retries`` retries: ``stop`` fails the query, ``skip`` reports them as
     failed.  ``atomic``: one failed record fails, and repeats, its whole batch.
-    ``wait=False`` only adds the delays up, for transports that need none."""
+    ``wait=False`` only adds the delays up, for transports that need none.
+    ``parallelism`` is the number of requests in flight, one per task; without it
+    Spark chooses."""
 
     batch_size: int = 500
     max_retries: int = 5
@@ -52,6 +55,7 @@ class PublishSettings:
     policy: str = "skip"
     atomic: bool = False
     wait: bool = True
+    parallelism: int | None = None
 
     def __post_init__(self):
         if self.batch_size < 1 or self.max_retries < 0:
@@ -80,6 +84,8 @@ def publish(
     keys = [key] if isinstance(key, str) else list(key)
     payload = list(payload or df.columns)
     batches = batch_by_count(df, settings.batch_size, keys, order, rows_per_chunk)
+    if settings.parallelism:
+        batches = batches.repartition(settings.parallelism, *keys, "batch_no")
     columns = batches.columns
     in_batch = Window.partitionBy(*keys, "batch_no").orderBy("idx")
     ordered = (
@@ -91,47 +97,64 @@ def publish(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         send = transport()
-        held: list[pa.RecordBatch] = []  # start of a batch that goes on in the next part
+        held = None  # start of a request that goes on in the next part
         for part in parts:
-            ends = [i + 1 for i, last in enumerate(part.column("_last").to_pylist()) if last]
-            low = 0
-            for high in ends:
-                yield _send_batch(send, [*held, part.slice(low, high - low)], columns, payload, settings)
-                held, low = [], high
-            if low < part.num_rows:
-                held.append(part.slice(low))
+            rows = pa.Table.from_batches([part])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            last = rows.column("_last").to_numpy()
+            ends = (np.flatnonzero(last) + 1).tolist()
+            done = ends[-1] if ends else 0
+            held = rows.slice(done)
+            if done:
+                yield _send_requests(send, rows.slice(0, done), ends, columns, payload, settings)
 
     return ordered.mapInArrow(run, schema)
 
 
-def _send_batch(
+def _send_requests(
     send: Send,
-    parts: list[pa.RecordBatch],
+    rows: pa.Table,
+    ends: list[int],
     columns: list[str],
     payload: list[str],
     settings: PublishSettings,
 ) -> pa.RecordBatch:
-    rows = pa.Table.from_batches(parts).combine_chunks()
     records = rows.select(payload).to_pylist()
+    results: list[tuple] = []
+    for low, high in zip([0, *ends], ends):
+        results += _send_request(send, records[low:high], settings)
+    ok, attempts, errors, waited = zip(*results)
+    out = [rows.column(c).combine_chunks() for c in columns]
+    out += [
+        pa.array(ok),
+        pa.array(attempts, pa.int32()),
+        pa.array(errors, pa.string()),
+        pa.array(waited, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(out, names=[*columns, *RESULT.names])
+
+
+def _send_request(send: Send, records: list[dict], settings: PublishSettings) -> list[tuple]:
+    """Send one request until nothing fails or the retries are used up; returns
+    (ok, attempts, error code, waited) per record."""
     errors: list[str | None] = [None] * len(records)
     attempts, waited = [0] * len(records), [0] * len(records)
     pending = list(range(len(records)))
     delay, attempt = 0, 1
-    while pending:
+    while True:
         codes = send([records[i] for i in pending], attempt)
         if len(codes) != len(pending):
             raise ValueError("the transport must answer for every record")
         for i, code in zip(pending, codes):
             errors[i], attempts[i], waited[i] = code or None, attempt, delay
         failed = [i for i in pending if errors[i]]
-        if failed and settings.atomic:
-            failed = pending
         if not failed:
             break
         if attempt > settings.max_retries:
             if settings.policy == "stop":
-                code = next(e for e in errors if e)
-                raise RuntimeError(f"{len(failed)} records failed after {attempt} attempts: {code}")
+                raise RuntimeError(
+                    f"{len(failed)} records failed after {attempt} attempts: {errors[failed[0]]}"
+                )
             if settings.atomic:
                 errors = [e or "batch_failed" for e in errors]
             break
@@ -139,15 +162,8 @@ def _send_batch(
         delay += pause
         if settings.wait:
             time.sleep(pause / 1000)
-        pending, attempt = failed, attempt + 1
-    out = [rows.column(c).combine_chunks() for c in columns]
-    out += [
-        pa.array([e is None for e in errors]),
-        pa.array(attempts, pa.int32()),
-        pa.array(errors, pa.string()),
-        pa.array(waited, pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(out, names=[*columns, *RESULT.names])
+        pending, attempt = pending if settings.atomic else failed, attempt + 1
+    return [(e is None, a, e, w) for e, a, w in zip(errors, attempts, waited)]
 
 
 def publish_once(df: DataFrame, transport: Callable[[], Send], *args, **kwargs) -> DataFrame:

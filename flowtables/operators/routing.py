@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.functions import topics
+from flowtables.plans.pin import pin
 from flowtables.plans.sizes import BROADCAST_ROWS, is_small
 
 #: Parts that each binding is copied to when bindings are too many to broadcast,
@@ -38,12 +39,14 @@ def route(
     join.
     """
     index = _binding_index(exchanges, bindings, queues)
-    masks = sorted(
-        r[0] for r in index.where(F.col("b_type") == "topic").select("b_mask").distinct().collect()
-    )
-    small = is_small(bindings, broadcast_rows) and (
-        queues is None or is_small(queues, broadcast_rows)
-    )
+    # One row: how many entries, whether a queue has several of one exchange, and
+    # the masks in use, at most 2 ** INDEXED_WORDS.
+    facts = index.agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.count_distinct("b_exchange", "b_queue").alias("pairs"),
+        F.collect_set(F.when(F.col("b_type") == "topic", F.col("b_mask"))).alias("masks"),
+    ).first()
+    small = facts["entries"] <= broadcast_rows
     kinds = exchanges.select(F.col("exchange").alias("_e"), F.col("type").alias("_type"))
     if queues is not None:
         kinds = kinds.where("_e <> ''").unionByName(
@@ -52,7 +55,9 @@ def route(
     if small or is_small(exchanges, broadcast_rows):
         kinds = F.broadcast(kinds)
     typed = messages.join(kinds, F.col("exchange") == F.col("_e"), "inner")
-    probed = typed.withColumn("_probe", F.explode(_probes(masks)))
+    words = topics.words(F.coalesce(F.col("routing_key"), F.lit("")))
+    typed = pin(typed, _words=F.when(F.col("_type") == "topic", words))
+    probed = typed.withColumn("_probe", F.explode(_probes(sorted(facts["masks"]))))
 
     on = (
         (F.col("exchange") == F.col("b_exchange"))
@@ -68,10 +73,9 @@ def route(
     reached = probed.join(index, on & _rest_matches(), "inner").select(
         *[messages[c] for c in messages.columns], F.col("b_queue").alias("queue")
     )
-    doubled = bindings.groupBy("exchange", "queue").count().where("count > 1").limit(1).count()
-    # Only a queue with several bindings (or header probes) can be reached twice.
-    headers = index.where("b_type = 'headers' and b_any").limit(1).count()
-    return reached.dropDuplicates([message_id, "queue"]) if doubled or headers else reached
+    # Only through several entries can a message reach a queue twice.
+    doubled = facts["pairs"] < facts["entries"]
+    return reached.dropDuplicates([message_id, "queue"]) if doubled else reached
 
 
 def _binding_index(exchanges: DataFrame, bindings: DataFrame, queues: DataFrame | None) -> DataFrame:
@@ -135,7 +139,7 @@ def _probes(masks: list[int]) -> Column:
 
     nothing = F.array().cast("array<struct<mask:int,key:string>>")
     by_words = F.filter(
-        F.array(*[probe(m, topics.index_key(topics.words(key), F.lit(m))) for m in masks]),
+        F.array(*[probe(m, topics.index_key(F.col("_words"), F.lit(m))) for m in masks]),
         lambda p: p["key"].isNotNull(),
     ) if masks else nothing
     entries = F.map_entries(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>")))
@@ -155,7 +159,7 @@ def _probes(masks: list[int]) -> Column:
 def _rest_matches() -> Column:
     """What a topic or headers binding asks beyond its probe key."""
     key = F.coalesce(F.col("routing_key"), F.lit(""))
-    n = F.size(topics.words(key))
+    n = F.size("_words")
     count_ok = F.when(F.col("b_words") < 0, n >= -1 - F.col("b_words")).otherwise(n == F.col("b_words"))
     dotted = F.when(key == "", F.lit("")).otherwise(F.concat(key, F.lit(".")))
     topic_ok = count_ok & F.coalesce(F.regexp(dotted, F.col("b_regex")), F.lit(True))

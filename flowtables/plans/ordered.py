@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowtables.plans.sizes import written
+
 #: Rows of a key that one task handles at a time, about.
 ROWS_PER_CHUNK = 2_000_000
 #: Sampled rows per chunk; more gives more even chunks.
@@ -182,13 +184,11 @@ class Arranged:
         if not self.split:
             return self.with_columns(**{n: s.local(w) for n, s in scans.items()})
 
-        hot = self.table.where(F.col(CHUNK).isNotNull())
         at = F.struct(*self.order)
-        totals = hot.groupBy(*self.group).agg(*[s.total(at).alias(n) for n, s in scans.items()])
+        totals = self.summary(**{n: s.total(at) for n, s in scans.items()})
         by_chunk = Window.partitionBy(*self.key).orderBy(CHUNK)
         carry = totals.select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.group)],
-            *[s.carry(F.col(n), by_chunk).alias(f"_c_{n}") for n, s in scans.items()],
+            *self.group, *[s.carry(F.col(n), by_chunk).alias(f"_c_{n}") for n, s in scans.items()]
         )
         local = {n: s.local(w) for n, s in scans.items()}
         edges = {s.edge for s in scans.values() if s.edge}
@@ -197,24 +197,40 @@ class Arranged:
         if "last" in edges:
             local["_edge_last"] = F.lead(F.lit(True)).over(w).isNull()
         rows = self.table.withColumns(local)
-        if self.measured:
-            carry = F.broadcast(carry)
-        matched = F.lit(True)
-        for i, k in enumerate(self.group):
-            mine, theirs = rows[k], carry[f"_k{i}"]
-            matched &= mine.eqNullSafe(theirs) if self.measured else mine == theirs
-        joined = rows.join(carry, matched, "left")
+        joined = replace(self, table=rows).with_carry(carry)
         merged = {
             n: s.merge(F.col(n), F.col(f"_c_{n}"), F.col(f"_edge_{s.edge}") if s.edge else None)
             for n, s in scans.items()
         }
         columns = [
-            merged[c].alias(c) if c in merged else rows[c]
+            merged[c].alias(c) if c in merged else F.col(c)
             for c in rows.columns
             if not c.startswith("_edge_")
         ]
         return replace(self, table=joined.select(*columns))
 
+    def summary(self, **totals: Column) -> DataFrame:
+        """One row per chunk of the keys that are cut."""
+        hot = self.table.where(F.col(CHUNK).isNotNull())
+        return hot.groupBy(*self.group).agg(*[t.alias(n) for n, t in totals.items()])
+
+    def with_carry(self, carry: DataFrame) -> DataFrame:
+        """The rows with the columns of ``carry``, which has one row per chunk.
+
+        ``carry`` is written to the shared folder first.  So it is computed once,
+        and a second scan does not have the first one's summary in its plan twice.
+        """
+        names = [f"_k{i}" for i in range(len(self.group))]
+        carry = written(carry, "carry").withColumnsRenamed(dict(zip(self.group, names)))
+        if self.measured:
+            # One row per chunk: at most rows / rows_per_chunk, plus one per hot key.
+            carry = F.broadcast(carry)
+        matched = F.lit(True)
+        for k, n in zip(self.group, names):
+            mine, theirs = self.table[k], carry[n]
+            matched &= mine.eqNullSafe(theirs) if self.measured else mine == theirs
+        return self.table.join(carry, matched, "left").drop(*names)
+
 
 def arrange(
     df: DataFrame,

@@ -3,19 +3,22 @@
 A line break ends a record only outside quotes, and whether a line starts inside
 quotes depends on everything before it.  Each line alone tells what it does to
 that state: keep it, flip it, or set it whatever it was.  So the state before a
-line is the last setting plus the flips since, which are running values over the
-lines of a file (:mod:`flowtables.plans.ordered`), with the file's splits as
-chunks.  No file is read by one task.
+line is the last setting plus the flips since.  These are running values: inside
+a split of a file over its lines, then over one row per split
+(:mod:`flowtables.plans.ordered`).  No file is read by one task, and the files are
+read twice: for the summaries and for the records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowtables.functions.csv import DEFAULT, Dialect, _quoted
 from flowtables.operators.csv_records import csv_parse
-from flowtables.plans.ordered import arrange_by, last_value, run_count, run_sum
+from flowtables.operators.policy import with_error_policy
+from flowtables.plans.ordered import CHUNK, arrange_by
+from flowtables.plans.pin import pin
 
 # Byte order marks.
 BOM_UTF8 = "\ufeff"
@@ -28,22 +31,38 @@ def csv_scan(
     dialect: Dialect = DEFAULT,
     multiline: bool = True,
     on_error: str | None = None,
+    max_lines: int = 100_000,
 ) -> DataFrame:
     """Records of CSV files: ``file``, ``line`` (where the record starts, from 1),
     ``record``, ``fields`` and ``error``.
 
     Lines end with LF, CR or CRLF; a UTF-8 byte order mark is skipped, a file with
-    a UTF-16 or UTF-32 mark fails the query.  With ``multiline=False`` no field
+    a UTF-16 or UTF-32 mark fails the query.  A record of more than ``max_lines``
+    lines, as an opening quote without a closing one makes of the rest of a file,
+    is an error with reason ``record_too_long`` and its first lines as text.  With ``multiline=False`` no field
     spans lines, which saves the shuffle that brings lines of a record together
     (``line`` is null then).
     """
     lines = _lines(spark, path)
     if not multiline:
-        framed = lines.select("file", F.lit(None).cast("bigint").alias("line"), F.col("text").alias("record"))
+        framed = lines.select(
+            "file",
+            F.lit(None).cast("bigint").alias("line"),
+            F.col("text").alias("record"),
+            F.lit(False).alias("_long"),
+        )
     else:
-        framed = _frame(lines, dialect)
+        framed = _frame(lines, dialect, max_lines)
     pieces = framed.withColumn("record", F.explode(_split_at_cr(F.col("record"), dialect)))
-    return csv_parse(pieces, "record", dialect, on_error)
+    parsed = csv_parse(pieces, "record", dialect)
+    too_long = F.struct(F.lit("record_too_long").alias("reason"), F.length("record").alias("position"))
+    parsed = parsed.withColumns(
+        {
+            "error": F.when(F.col("_long"), too_long).otherwise(F.col("error")),
+            "fields": F.when(~F.col("_long"), F.col("fields")),
+        }
+    ).drop("_long")
+    return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +102,7 @@ def _opens(text: Column, dialect: Dialect) -> Column:
     )
 
 
-def _frame(lines: DataFrame, dialect: Dialect) -> DataFrame:
+def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
     q, e, d = _quoted(dialect.quote), _quoted(dialect.escape), _quoted(dialect.delimiter)
     text = F.col("text")
     has_quote = F.instr(text, dialect.quote) > 0
@@ -99,32 +118,80 @@ def _frame(lines: DataFrame, dialect: Dialect) -> DataFrame:
     from_outside = F.when(has_quote, _opens(text, dialect)).otherwise(False)
     # Without a quote, a line stays inside unless it breaks an escape.
     from_inside = F.when(stays, True).when(has_quote, tail_opens).otherwise(False)
-    lines = lines.withColumns({"_out": from_outside, "_in": from_inside})
-    flips = (F.col("_out") & ~F.col("_in")).cast("bigint")
-    sets = F.col("_out") == F.col("_in")
-
+    lines = pin(lines, _out=from_outside, _in=from_inside)
     rows = arrange_by(lines, "file", ("block", "at"), F.col("block"))
-    rows = rows.with_columns(_flip=flips).scan(
-        line=run_count(), _flips=run_sum("_flip"), _before=run_sum("_flip", exclusive=True)
+    w = Window.partitionBy(*rows.group).orderBy(*rows.order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+
+    # Inside a block, for both states it may begin in: the state before each line
+    # and the last line so far that starts a record.
+    flip = (F.col("_out") & ~F.col("_in")).cast("int")
+    setting = F.when(
+        F.col("_out") == F.col("_in"), F.struct(F.col("_out").cast("int").alias("v"), F.col("_flips").alias("f"))
+    )
+    rows = rows.map(
+        lambda df: df.withColumns({"_n": F.row_number().over(w), "_flips": F.coalesce(F.sum(flip).over(w), F.lit(0))})
+        .withColumn("_set", F.last(setting, ignorenulls=True).over(before))
+        .withColumn("_seen", F.col("_flips") - flip)
+        .withColumns({f"_s{h}": _state(h, F.col("_set"), F.col("_seen")) for h in (0, 1)})
+        .withColumns({f"_r{h}": F.max(F.when(F.col(f"_s{h}") == 0, F.col("_n"))).over(w) for h in (0, 1)})
     )
-    setting = F.when(sets, F.struct(F.col("_out").cast("bigint").alias("v"), F.col("_flips").alias("f")))
-    rows = rows.with_columns(_set=setting).scan(_set=last_value("_set", exclusive=True))
-    inside = (
-        F.coalesce(F.col("_set.v"), F.lit(0)) + F.col("_before") - F.coalesce(F.col("_set.f"), F.lit(0))
-    ) % 2 == 1
-    rows = rows.with_columns(_start=F.when(inside, 0).otherwise(1).cast("bigint"))
-    rows = rows.scan(_record=run_sum("_start"))
-    numbered = rows.df.select("file", "_record", "line", "text")
+    # Blocks one after the other: what state they begin in, which line is first,
+    # and where the record that goes on in them has started.
+    last = F.struct(*rows.order)
+    after = {h: F.when(F.col(f"_s{h}") == 1, F.col("_in")).otherwise(F.col("_out")).cast("int") for h in (0, 1)}
+    blocks = rows.summary(
+        _lines=F.count(F.lit(1)),
+        **{f"_e{h}": F.max_by(after[h], last) for h in (0, 1)},
+        **{f"_t{h}": F.max(f"_r{h}") for h in (0, 1)},
+    )
+    by_block = Window.partitionBy("file").orderBy(CHUNK)
+    so_far, upto = by_block.rowsBetween(Window.unboundedPreceding, -1), by_block.rowsBetween(Window.unboundedPreceding, 0)
+    block_flip = ((F.col("_e0") == 1) & (F.col("_e1") == 0)).cast("int")
+    block_set = F.when(
+        F.col("_e0") == F.col("_e1"), F.struct(F.col("_e0").alias("v"), F.col("_bf").alias("f"))
+    )
+    carry = (
+        blocks.withColumns(
+            {
+                "_first": F.coalesce(F.sum("_lines").over(so_far), F.lit(0)),
+                "_bf": F.sum(block_flip).over(upto),
+            }
+        )
+        .withColumn("_bset", F.last(block_set, ignorenulls=True).over(so_far))
+        .withColumn("_begin", _state(0, F.col("_bset"), F.col("_bf") - block_flip))
+        .withColumn("_t", F.col("_first") + F.when(F.col("_begin") == 0, F.col("_t0")).otherwise(F.col("_t1")))
+        .withColumn("_open", F.max("_t").over(so_far))
+        .select(*rows.group, "_first", "_begin", "_open")
+    )
+    started = F.col("_first") + F.when(F.col("_begin") == 0, F.col("_r0")).otherwise(F.col("_r1"))
+    numbered = rows.with_carry(carry).select(
+        "file",
+        F.coalesce(started, F.col("_open")).alias("line"),
+        (F.col("_first") + F.col("_n")).alias("_at"),
+        "text",
+    )
+    in_record = F.col("_at") - F.col("line")
     return (
-        numbered.groupBy("file", "_record")
-        .agg(
-            F.min("line").alias("line"),
-            F.sort_array(F.collect_list(F.struct("line", "text"))).alias("_lines"),
+        numbered.where(in_record <= max_lines)
+        .groupBy("file", "line")
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "text"))).alias("_lines"))
+        .select(
+            "file",
+            "line",
+            F.array_join(F.slice(F.col("_lines.text"), 1, max_lines), "\n").alias("record"),
+            (F.size("_lines") > max_lines).alias("_long"),
         )
-        .select("file", "line", F.array_join(F.col("_lines.text"), "\n").alias("record"))
     )
 
 
+def _state(begin: int, setting: Column, flips: Column) -> Column:
+    """1 inside quotes, 0 outside: the last setting and the flips since then, or
+    the state at the beginning and all flips."""
+    since = F.when(setting.isNull(), F.lit(begin) + flips).otherwise(setting["v"] + flips - setting["f"])
+    return F.pmod(since, F.lit(2)).cast("int")
+
+
 def _split_at_cr(record: Column, dialect: Dialect) -> Column:
     """Records inside one LF-framed text that a lone CR outside quotes ends."""
     d, q = _quoted(dialect.delimiter), _quoted(dialect.quote)

@@ -9,9 +9,9 @@ one they are sorted here.  Times are event times, so results are repeatable.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -19,13 +19,15 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from flowtables.functions.times import micros
 from flowtables.operators.shaping import STRATEGIES
 
+_EPOCH = datetime(1970, 1, 1)
 
-# Column names must not start with an underscore: the frames a processor gets are
-# made from named tuples, which would rename them.
 
+def _in_order(rows: Iterator[Row], order: str) -> list[Row]:
+    return sorted(rows, key=lambda r: r[order])
 
-def _in_order(rows: Iterator[pd.DataFrame], order: str) -> list[dict]:
-    return pd.concat(list(rows)).sort_values(order, kind="stable").to_dict("records")
+
+def _time(value: int, per_second: int) -> datetime:
+    return _EPOCH + timedelta(microseconds=value * (1_000_000 // per_second))
 
 
 def _fields(df: DataFrame, columns: list[str]) -> list[T.StructField]:
@@ -33,8 +35,8 @@ def _fields(df: DataFrame, columns: list[str]) -> list[T.StructField]:
 
 
 class _Groups(StatefulProcessor):
-    def __init__(self, key: str, n: int, span: int, columns: list[str]):
-        self.key, self.n, self.span, self.columns = key, n, span, columns
+    def __init__(self, n: int, span: int, row: Row):
+        self.n, self.span, self.row = n, span, row
 
     def init(self, handle):
         self.handle = handle
@@ -42,9 +44,9 @@ class _Groups(StatefulProcessor):
             "open", "group_no bigint, first_us bigint, last_us bigint, items array<bigint>"
         )
 
-    def _closed(self, key, state) -> list:
+    def _closed(self, key, state) -> Row:
         no, first, last, items = state
-        return [key, no, pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"), len(items), items]
+        return self.row(key, no, _time(first, 1_000_000), _time(last, 1_000_000), len(items), items)
 
     def _deadline(self, state) -> int:
         return -(-(state[1] + self.span) // 1000)
@@ -71,7 +73,7 @@ class _Groups(StatefulProcessor):
             if after is not None:
                 self.handle.registerTimer(after)
         self.open.update(state)
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         state = self.open.get()
@@ -79,7 +81,7 @@ class _Groups(StatefulProcessor):
         if state and len(state[3]) and self._deadline(state) <= expiredTimerInfo.getExpiryTimeInMs():
             out.append(self._closed(key[0], (state[0], state[1], state[2], list(state[3]))))
             self.open.update((state[0], 0, 0, []))
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def close(self):
         pass
@@ -96,7 +98,6 @@ def grouped_within_stream(
     ``items``, the values of the BIGINT column ``order``.  The groups are those of
     ``grouped_within(mode="open")``.
     """
-    columns = [key, "group_no", "first_at", "last_at", "rows", "items"]
     schema = T.StructType(
         [
             *_fields(df, [key]),
@@ -110,13 +111,13 @@ def grouped_within_stream(
     marked = df.select(
         key, F.col(order).alias("order_"), F.col(at).cast("timestamp").alias("at_"), micros(at).alias("us_")
     ).withWatermark("at_", delay)
-    processor = _Groups(key, n, int(seconds * 1_000_000), columns)
-    return marked.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    processor = _Groups(n, int(seconds * 1_000_000), Row(*schema.names))
+    return marked.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")
 
 
 class _Buffer(StatefulProcessor):
-    def __init__(self, capacity: int, strategy: str, columns: list[str]):
-        self.capacity, self.strategy, self.columns = capacity, strategy, columns
+    def __init__(self, capacity: int, strategy: str, row: Row):
+        self.capacity, self.strategy, self.row = capacity, strategy, row
 
     def init(self, handle):
         self.state = handle.getValueState("buffer", "items array<bigint>, demand bigint")
@@ -127,7 +128,7 @@ class _Buffer(StatefulProcessor):
         out = []
 
         def emit(item: int, outcome: str, at: int) -> None:
-            out.append([key[0], item, outcome, at])
+            out.append(self.row(key[0], item, outcome, at))
 
         for row in _in_order(rows, "order_"):
             at = row["order_"]
@@ -155,7 +156,7 @@ class _Buffer(StatefulProcessor):
                     emit(item, "dropped", at)
                 items = [i for i in items if i not in gone] + [at]
         self.state.update((items, demand))
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def close(self):
         pass
@@ -173,7 +174,6 @@ def bounded_buffer_stream(
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}, use one of {STRATEGIES}")
-    columns = [key, "item", "outcome", "cause"]
     schema = T.StructType(
         [
             *_fields(df, [key]),
@@ -183,13 +183,13 @@ def bounded_buffer_stream(
         ]
     )
     marked = df.select(key, F.col(order).alias("order_"), F.col(poll).alias("poll_"))
-    processor = _Buffer(capacity, strategy, columns)
-    return marked.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "None")
+    processor = _Buffer(capacity, strategy, Row(*schema.names))
+    return marked.groupBy(key).transformWithState(processor, schema, "Append", "None")
 
 
 class _Redelivery(StatefulProcessor):
-    def __init__(self, visibility_ms: int, most: int, columns: list[str]):
-        self.visibility_ms, self.most, self.columns = visibility_ms, most, columns
+    def __init__(self, visibility_ms: int, most: int, row: Row):
+        self.visibility_ms, self.most, self.row = visibility_ms, most, row
 
     def init(self, handle):
         self.handle = handle
@@ -201,7 +201,7 @@ class _Redelivery(StatefulProcessor):
         out = []
         while 0 < deadline <= until:
             receives += 1
-            out.append([key[0], receives, pd.Timestamp(deadline, unit="ms")])
+            out.append(self.row(key[0], receives, _time(deadline, 1000)))
             deadline = deadline + self.visibility_ms if receives < self.most else -1
         return out, receives, deadline
 
@@ -214,10 +214,10 @@ class _Redelivery(StatefulProcessor):
                 out += late
                 deadline = -1
             elif receives == 0:
-                out.append([key[0], 1, pd.Timestamp(row["ms_"], unit="ms")])
+                out.append(self.row(key[0], 1, _time(row["ms_"], 1000)))
                 receives, deadline = 1, row["ms_"] + self.visibility_ms if self.most > 1 else -1
         self._keep(tuple(before), receives, deadline)
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def _keep(self, before: tuple, receives: int, deadline: int) -> None:
         if before[1] > 0 and before[1] != deadline:
@@ -231,7 +231,7 @@ class _Redelivery(StatefulProcessor):
         passed = timerValues.getCurrentWatermarkInMs()
         out, receives, deadline = self._due(key, receives, deadline, passed)
         self._keep((0, -1), receives, deadline)
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def close(self):
         pass
@@ -252,7 +252,6 @@ def redeliver_stream(
 
     Columns: the key, ``receive_count`` and ``delivered_at`` (to the millisecond).
     """
-    columns = [key, "receive_count", "delivered_at"]
     schema = T.StructType(
         [
             *_fields(df, [key]),
@@ -264,13 +263,13 @@ def redeliver_stream(
     marked = df.select(
         key, F.col(at).cast("timestamp").alias("at_"), ms.alias("ms_"), F.col(settles).alias("settles_")
     ).withWatermark("at_", delay)
-    processor = _Redelivery(int(visibility_s * 1000), max_receives, columns)
-    return marked.groupBy(key).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    processor = _Redelivery(int(visibility_s * 1000), max_receives, Row(*schema.names))
+    return marked.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")
 
 
 class _Presence(StatefulProcessor):
-    def __init__(self, columns: list[str]):
-        self.columns = columns
+    def __init__(self, row: Row):
+        self.row = row
 
     def init(self, handle):
         self.since = handle.getValueState("since", "us bigint")
@@ -283,13 +282,13 @@ class _Presence(StatefulProcessor):
             now = row["us_"]
             if since is not None:
                 outcome = "replaced" if row["on_"] else "failed" if row["failed_"] else "stopped"
-                out.append([key[0], pd.Timestamp(since, unit="us"), pd.Timestamp(now, unit="us"), outcome])
+                out.append(self.row(key[0], _time(since, 1_000_000), _time(now, 1_000_000), outcome))
             since = now if row["on_"] else None
         if since is None:
             self.since.clear()
         else:
             self.since.update((since,))
-        yield pd.DataFrame(out, columns=self.columns)
+        yield from out
 
     def close(self):
         pass
@@ -306,7 +305,6 @@ def presence_stream(
     """Sessions that ended, as they end: the connection, ``started_at``,
     ``ended_at`` and ``outcome`` as in ``connection_sessions``.  Connections still
     open are the operator's state."""
-    columns = [connection, "started_at", "ended_at", "outcome"]
     schema = T.StructType(
         [
             *_fields(events, [connection]),
@@ -322,6 +320,6 @@ def presence_stream(
         (F.col(kind) == "connected").alias("on_"),
         F.col(error).isNotNull().alias("failed_"),
     )
-    return marked.groupBy(connection).transformWithStateInPandas(
-        _Presence(columns), schema, "Append", "None"
+    return marked.groupBy(connection).transformWithState(
+        _Presence(Row(*schema.names)), schema, "Append", "None"
     )

@@ -212,6 +212,15 @@ def test_broken_quote_does_not_swallow_good_lines(spark):
     assert got[4]["fields"] == ["g\nh", "i"]
 
 
+def test_endless_record_is_an_error(spark):
+    path = write_file(spark, "endless", b'a,b\n"open\n' + b"x\n" * 50)
+    got = {r["line"]: r for r in csv_scan(spark, path, max_lines=10).collect()}
+    assert sorted(got) == [1, 2] and got[1]["fields"] == ["a", "b"]
+    assert got[2]["error"]["reason"] == "record_too_long" and got[2]["record"].count("\n") == 9
+    whole = {r["line"]: r for r in csv_scan(spark, path, max_lines=51).collect()}
+    assert whole[2]["error"]["reason"] == "unterminated_quote"
+
+
 def test_write_and_scan(spark):
     df = spark.createDataFrame([(i, f'v"{i}\n,', None) for i in range(100)], "i int, v string, n string").repartition(3)
     path = scratch_path(spark, "written")
