@@ -21,6 +21,7 @@ from flowtables.operators.rpc import correlate_batch, correlate_rpc
 from flowtables.operators.settlement import redelivered, settle
 from flowtables.operators.shaping import in_flight
 from flowtables.plans.ordered import arrange, run_sum
+from flowtables.plans.sizes import written
 
 # --- routing -----------------------------------------------------------------
 
@@ -400,7 +401,7 @@ def redelivered_query(spark, sf_dir):
 )
 def unacked_gauge(spark, sf_dir):
     """Open deliveries over time; an action counts as many as it settles."""
-    settled = settle(*_channel(spark, sf_dir))
+    settled = written(settle(*_channel(spark, sf_dir)), "settled")
     opened = settled.select("channel", F.col("delivered_seq").alias("seq"), F.lit(1).cast("bigint").alias("d"))
     closed = (
         settled.where("settled_by is not null")

@@ -45,8 +45,8 @@ class PublishSettings:
     ``max_retries`` retries: ``stop`` fails the query, ``skip`` reports them as
     failed.  ``atomic``: one failed record fails, and repeats, its whole batch.
     ``wait=False`` only adds the delays up, for transports that need none.
-    ``parallelism`` is the number of requests in flight, one per task; without it
-    Spark chooses."""
+    ``parallelism`` is the number of tasks, each with one request in flight;
+    without it Spark chooses."""
 
     batch_size: int = 500
     max_retries: int = 5
@@ -84,8 +84,9 @@ def publish(
     keys = [key] if isinstance(key, str) else list(key)
     payload = list(payload or df.columns)
     batches = batch_by_count(df, settings.batch_size, keys, order, rows_per_chunk)
-    if settings.parallelism:
-        batches = batches.repartition(settings.parallelism, *keys, "batch_no")
+    # Requests of one key need not share a task, and sending is slow.
+    tasks = [settings.parallelism] if settings.parallelism else []
+    batches = batches.repartition(*tasks, *keys, "batch_no")
     columns = batches.columns
     in_batch = Window.partitionBy(*keys, "batch_no").orderBy("idx")
     ordered = (

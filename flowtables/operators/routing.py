@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions import topics
 from flowtables.plans.pin import pin
-from flowtables.plans.sizes import BROADCAST_ROWS, is_small
+from flowtables.plans.sizes import BROADCAST_ROWS, broadcast_if_small, written
 
 #: Parts that each binding is copied to when bindings are too many to broadcast,
 #: so that messages of one hot exchange or key meet them in as many tasks.
@@ -39,25 +39,28 @@ def route(
     join.
     """
     index = _binding_index(exchanges, bindings, queues)
-    # One row: how many entries, whether a queue has several of one exchange, and
-    # the masks in use, at most 2 ** INDEXED_WORDS.
-    facts = index.agg(
-        F.count(F.lit(1)).alias("entries"),
-        F.count_distinct("b_exchange", "b_queue").alias("pairs"),
-        F.collect_set(F.when(F.col("b_type") == "topic", F.col("b_mask"))).alias("masks"),
-    ).first()
-    small = facts["entries"] <= broadcast_rows
-    kinds = exchanges.select(F.col("exchange").alias("_e"), F.col("type").alias("_type"))
-    if queues is not None:
-        kinds = kinds.where("_e <> ''").unionByName(
-            kinds.sparkSession.range(1).select(F.lit("").alias("_e"), F.lit("direct").alias("_type"))
-        )
-    if small or is_small(exchanges, broadcast_rows):
-        kinds = F.broadcast(kinds)
+    spark = messages.sparkSession
+    entries = index.limit(broadcast_rows + 1).collect()
+    small = len(entries) <= broadcast_rows
+    if small:
+        index = spark.createDataFrame(entries, index.schema)
+        masks = {e["b_mask"] for e in entries if e["b_type"] == "topic"}
+        doubled = len({(e["b_exchange"], e["b_queue"]) for e in entries}) < len(entries)
+    else:
+        index = written(index, "bindings")
+        # One row: at most 2 ** INDEXED_WORDS masks.
+        facts = index.agg(
+            F.collect_set(F.when(F.col("b_type") == "topic", F.col("b_mask"))).alias("masks"),
+            (F.count_distinct("b_exchange", "b_queue") < F.count(F.lit(1))).alias("doubled"),
+        ).first()
+        masks, doubled = facts["masks"], facts["doubled"]
+    # A message to an exchange without bindings reaches nothing.
+    kinds = index.select(F.col("b_exchange").alias("_e"), F.col("b_type").alias("_type")).distinct()
+    kinds = F.broadcast(kinds) if small else broadcast_if_small(kinds)
     typed = messages.join(kinds, F.col("exchange") == F.col("_e"), "inner")
     words = topics.words(F.coalesce(F.col("routing_key"), F.lit("")))
     typed = pin(typed, _words=F.when(F.col("_type") == "topic", words))
-    probed = typed.withColumn("_probe", F.explode(_probes(sorted(facts["masks"]))))
+    probed = typed.withColumn("_probe", F.explode(_probes(sorted(masks))))
 
     on = (
         (F.col("exchange") == F.col("b_exchange"))
@@ -74,7 +77,6 @@ def route(
         *[messages[c] for c in messages.columns], F.col("b_queue").alias("queue")
     )
     # Only through several entries can a message reach a queue twice.
-    doubled = facts["pairs"] < facts["entries"]
     return reached.dropDuplicates([message_id, "queue"]) if doubled else reached
 
 

@@ -12,15 +12,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side that was counted; beyond the bound no hint, so
-    that Spark joins by shuffle and splits skewed partitions at run time."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    """A lookup side, written once and counted: with a broadcast hint up to
+    ``max_rows`` rows; beyond that without, so that Spark joins by shuffle and
+    splits skewed partitions at run time."""
+    side = written(df, "side")
+    return F.broadcast(side) if side.count() <= max_rows else side
 
 
 def shared_dir(spark: SparkSession) -> str:
