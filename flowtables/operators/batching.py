@@ -32,7 +32,7 @@ def batch_by_count(
     rows = arrange(df, key, order, rows_per_chunk).scan(_n=run_count())
     return rows.df.withColumns(
         {
-            "batch_no": F.floor((F.col("_n") - 1) / n).cast("bigint"),
+            "batch_no": F.expr(f"(_n - 1) div {n}"),
             "idx": ((F.col("_n") - 1) % n).cast("int"),
         }
     ).drop("_n")
@@ -78,12 +78,12 @@ def grouped_within(
     if mode != "tick":
         raise ValueError(f"unknown mode {mode!r}")
     rows = rows.scan(_n=run_count(), _t0=key_total("_t", "min"))
-    rows = rows.with_columns(tick=F.floor((F.col("_t") - F.col("_t0")) / span).cast("bigint"))
+    rows = rows.with_columns(tick=F.expr(f"(_t - _t0) div {span}"))
     rows = rows.scan(_tick0=previous("tick"))
     starts = F.when(F.col("_tick0").isNull() | (F.col("_tick0") != F.col("tick")), F.col("_n"))
     rows = rows.with_columns(_start=starts).scan(_start=last_value("_start"))
-    in_tick = F.floor((F.col("_n") - F.col("_start")) / n) + 1
-    return rows.df.withColumn("group_no", in_tick.cast("bigint")).drop(
+    in_tick = F.expr(f"(_n - _start) div {n} + 1")
+    return rows.df.withColumn("group_no", in_tick).drop(
         "_t", "_t0", "_n", "_tick0", "_start"
     )
 

@@ -87,7 +87,7 @@ def with_documents(
             F.col("_mark") == 0, "end_document"
         )
     )
-    base = F.floor(F.col("seq") / _SLOTS).cast("bigint") * _SLOTS
+    base = F.col("seq") - F.col("seq") % _SLOTS
     extra = F.struct(
         F.when(F.col("_add") == "start_document", base).otherwise(base + _SLOTS - 1).alias("seq"),
         F.col("_add").alias("kind"),

@@ -78,7 +78,7 @@ def bounded_buffer(
         "drop_head": n - pos <= capacity,
         "drop_new": pos < capacity,
         "drop_tail": (n <= capacity) | (pos < capacity - 1) | (pos == n - 1),
-        "drop_buffer": pos >= F.floor((n - 1) / capacity) * capacity,
+        "drop_buffer": pos >= (n - 1) - (n - 1) % capacity,
         "fail": F.when(
             n > capacity, F.raise_error(F.lit(f"buffer of {capacity} has overflown")).cast("boolean")
         ).otherwise(F.lit(True)),

@@ -32,7 +32,7 @@ def rotate_write(
     """
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
-    part = F.floor((F.col(row_no) - 1) / rows_per_part).cast("int") if row_no else F.lit(0)
+    part = F.expr(f"int(({row_no} - 1) div {rows_per_part})") if row_no else F.lit(0)
     folders = [*key, file, "part"]
     rows = df.withColumn("part", part).repartition(*folders).sortWithinPartitions(*folders, *order)
     if writer is not None:
