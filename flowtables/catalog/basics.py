@@ -60,7 +60,8 @@ def extract_body(spark, sf_dir):
 
 @query(
     """SELECT event_id, CAST(500 * pow(2, event_id % 6) AS BIGINT) AS exponential_ms,
-      (event_id % 6 + 1) * 500 AS linear_ms FROM events"""
+      (event_id % 6 + 1) * 500 AS linear_ms,
+      CAST([100, 500, 1000, 2000, 4000, 8000][event_id % 6 + 1] AS BIGINT) AS ladder_ms FROM events"""
 )
 def backoff_delays(spark, sf_dir):
     attempt = F.col("event_id") % 6 + 1
@@ -68,6 +69,7 @@ def backoff_delays(spark, sf_dir):
         "event_id",
         backoff_ms(attempt).alias("exponential_ms"),
         backoff_ms(attempt, "linear").alias("linear_ms"),
+        backoff_ms(attempt, "ladder").alias("ladder_ms"),
     )
 
 

@@ -68,7 +68,7 @@ def stream_checkpoints(spark, sf_dir):
 def stream_grouped_within(spark, sf_dir):
     """Groups that are closed once the last event has been read."""
     groups = grouped_within_stream(_events(spark, sf_dir), 5, 12 * 3600, "user_id", "event_id", "ts")
-    out = run_available(groups, "groups")
+    out = run_available(groups, "groups", keyed=True)
     return out.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
 
 
@@ -94,7 +94,7 @@ def stream_bounded_buffer(spark, sf_dir):
     """Clicks and views read what the other events put into each user's buffer."""
     log = _events(spark, sf_dir).withColumn("poll", F.col("event_type").isin("click", "view"))
     buffer = bounded_buffer_stream(log, 3, "drop_head", "user_id", "event_id", "poll")
-    return run_available(buffer, "buffer")
+    return run_available(buffer, "buffer", keyed=True)
 
 
 @query(
@@ -116,7 +116,7 @@ def stream_redelivery(spark, sf_dir):
         (F.col("event_type") == "purchase").alias("settles"),
     )
     deliveries = redeliver_stream(log, 36_000, "message", "ts", "settles", 5)
-    return run_available(deliveries, "redelivery")
+    return run_available(deliveries, "redelivery", keyed=True)
 
 
 @query(
@@ -139,7 +139,7 @@ def stream_presence(spark, sf_dir):
         "case event_type when 'signup' then 'connected' when 'error' then 'disconnected' end AS event_type",
         "case when event_type = 'error' and value > 50 then 'lost' end AS error",
     )
-    return run_available(presence_stream(events, order="event_id"), "presence")
+    return run_available(presence_stream(events, order="event_id"), "presence", keyed=True)
 
 
 @query(

@@ -12,6 +12,9 @@ MAX_RECEIVE = 10
 MAX_WAIT_SECONDS = 20
 MAX_FETCH = 10_000
 
+# Delays between attempts to connect, in milliseconds.
+CONNECT_DELAYS = (100, 500, 1000, 2000, 4000, 8000)
+
 # The attribute names a queue knows.
 QUEUE_ATTRIBUTES = (
     "All",
@@ -78,11 +81,26 @@ def check_receive(max_messages: int, wait_seconds: int = 0, buffer: int | None =
         raise ValueError("a batch must fit into the buffer")
 
 
+def check_fetch(limit: int) -> None:
+    """Limit of records per fetch from a log."""
+    if not 1 <= limit <= MAX_FETCH:
+        raise ValueError(f"limit must be 1..{MAX_FETCH}")
+
+
 def backoff_ms(attempt: Column | int, kind: str = "exponential", first_ms: int = 500):
-    """Delay after failed attempt number ``attempt`` (from 1), in milliseconds."""
+    """Delay after failed attempt number ``attempt`` (from 1), in milliseconds.
+    ``ladder`` takes the fixed connect delays, and the last one from then on."""
+    is_column = isinstance(attempt, Column)
     if kind == "exponential":
-        power = F.pow(F.lit(2), attempt - 1) if isinstance(attempt, Column) else 2 ** (attempt - 1)
-        return (first_ms * power).cast("bigint") if isinstance(attempt, Column) else first_ms * power
+        if is_column:
+            return (first_ms * F.pow(F.lit(2), attempt - 1)).cast("bigint")
+        return first_ms * 2 ** (attempt - 1)
     if kind == "linear":
         return attempt * first_ms
+    if kind == "ladder":
+        steps = len(CONNECT_DELAYS)
+        if is_column:
+            ladder = F.array(*[F.lit(d).cast("bigint") for d in CONNECT_DELAYS])
+            return F.element_at(ladder, F.least(attempt, F.lit(steps)).cast("int"))
+        return CONNECT_DELAYS[min(attempt, steps) - 1]
     raise ValueError(f"unknown backoff {kind!r}")

@@ -140,10 +140,12 @@ def _probes(masks: list[int]) -> Column:
         return F.struct(F.lit(mask).alias("mask"), value.alias("key"))
 
     nothing = F.array().cast("array<struct<mask:int,key:string>>")
-    by_words = F.filter(
-        F.array(*[probe(m, topics.index_key(F.col("_words"), F.lit(m))) for m in masks]),
-        lambda p: p["key"].isNotNull(),
-    ) if masks else nothing
+    # A key with fewer words than a mask asks for has a null there, which joins nothing.
+    by_words = (
+        F.array(*[probe(m, topics.index_key(F.col("_words"), F.lit(m))) for m in masks])
+        if masks
+        else nothing
+    )
     entries = F.map_entries(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>")))
     by_header = F.concat(
         F.array(probe(0, F.lit(""))),

@@ -117,7 +117,10 @@ def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
     ).otherwise(False)
     from_outside = F.when(has_quote, _opens(text, dialect)).otherwise(False)
     # Without a quote, a line stays inside unless it breaks an escape.
-    from_inside = F.when(stays, True).when(has_quote, tail_opens).otherwise(False)
+    has_escape = F.instr(text, dialect.escape) > 0
+    from_inside = (
+        F.when(~has_quote & ~has_escape, True).when(stays, True).when(has_quote, tail_opens).otherwise(False)
+    )
     lines = pin(lines, _out=from_outside, _in=from_inside)
     rows = arrange_by(lines, "file", ("block", "at"), F.col("block"))
     w = Window.partitionBy(*rows.group).orderBy(*rows.order)

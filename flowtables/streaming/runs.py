@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +50,11 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
-def run_available(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_available(
+    stream: DataFrame, name: str, output_mode: str = "append", keyed: bool = False
+) -> DataFrame:
     """Read all input there is, then stop; returns the output as a table.
+    ``keyed`` is for streams with an operator of ``streaming.keyed``.
 
     Every micro-batch overwrites its own folder, so a batch that is repeated
     after a failure is not in the output twice.  In complete mode the last batch
@@ -63,7 +66,7 @@ def run_available(stream: DataFrame, name: str, output_mode: str = "append") ->
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
 
-    with rocksdb_state(spark):
+    with rocksdb_state(spark) if keyed else nullcontext():
         query = (
             stream.writeStream.outputMode(output_mode)
             .option("checkpointLocation", f"{path}/state")

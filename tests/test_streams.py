@@ -66,7 +66,7 @@ def test_counts_and_checkpoints(spark, folder, rows):
 
 def test_groups_close_by_count_time_and_watermark(spark, folder, rows):
     groups = grouped_within_stream(tail(spark, folder), 4, 12, "k", "i", "ts")
-    got = {(r["k"], r["group_no"]): tuple(r["items"]) for r in run_available(groups, "groups").collect()}
+    got = {(r["k"], r["group_no"]): tuple(r["items"]) for r in run_available(groups, "groups", keyed=True).collect()}
     now = max(r[2] for r in rows)
     expected = {}
     for k in "ab":
@@ -82,7 +82,7 @@ def test_groups_close_by_count_time_and_watermark(spark, folder, rows):
 @pytest.mark.parametrize("strategy", ["drop_head", "drop_tail", "drop_new", "drop_buffer"])
 def test_buffer_with_reads(spark, folder, rows, strategy):
     log = tail(spark, folder).withColumn("poll", F.col("kind") == "get")
-    out = run_available(bounded_buffer_stream(log, 2, strategy, "k", "i", "poll"), "buffer").collect()
+    out = run_available(bounded_buffer_stream(log, 2, strategy, "k", "i", "poll"), "buffer", keyed=True).collect()
     expected = []
     for k in "ab":
         items, demand = [], 0
@@ -118,7 +118,7 @@ def test_redelivery_until_settled(spark):
     for batch in batches:
         spark.createDataFrame(batch, "m string, ts timestamp_ntz, done boolean").coalesce(1).write.mode("append").parquet(path)
     log = tail_log(spark, path, "m string, ts timestamp_ntz, done boolean", max_files=1)
-    out = run_available(redeliver_stream(log, 10, "m", "ts", "done"), "redelivery").collect()
+    out = run_available(redeliver_stream(log, 10, "m", "ts", "done"), "redelivery", keyed=True).collect()
     got = sorted((r["m"], r["receive_count"], (r["delivered_at"] - T0).seconds) for r in out)
     assert got == [
         ("m1", 1, 0), ("m1", 2, 10), ("m1", 3, 20), ("m1", 4, 30), ("m2", 1, 1),
@@ -136,7 +136,7 @@ def test_presence(spark):
     ]
     for batch in batches:
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
-    out = run_available(presence_stream(tail_log(spark, path, schema, max_files=1)), "presence").collect()
+    out = run_available(presence_stream(tail_log(spark, path, schema, max_files=1)), "presence", keyed=True).collect()
     got = sorted((r["connection_id"], (r["started_at"] - T0).seconds, (r["ended_at"] - T0).seconds, r["outcome"]) for r in out)
     assert got == [("a", 0, 2, "stopped"), ("b", 1, 4, "replaced"), ("b", 4, 9, "failed")]
 
