@@ -120,16 +120,22 @@ def clean_fields(raw: Column, prepared: Column, dialect: Dialect) -> Column:
     """Fields without quotes and escapes."""
     d, q, e = (_quoted(c) for c in (dialect.delimiter, dialect.quote, dialect.escape))
 
-    def clean(f: Column) -> Column:
-        inner = F.substring(f, F.lit(2), F.length(f) - 2)
-        unquoted = F.regexp_replace(inner, rf"{q}({q})|{e}([{q}{e}])", "$1$2")
-        return F.when(f.startswith(dialect.quote), unquoted).otherwise(
-            F.regexp_replace(f, rf"{e}([{e}{d}])", "$1")
-        )
-
-    has_quotes = F.instr(prepared, dialect.quote) > 0
-    has_escapes = F.instr(prepared, dialect.escape) > 0
-    cleaned = F.when(has_quotes | has_escapes, F.transform(raw, clean)).otherwise(raw)
+    def unquote(f: Column) -> Column:
+        return F.when(f.startswith(dialect.quote), F.substring(f, F.lit(2), F.length(f) - 2)).otherwise(f)
+
+    def unescape(f: Column, i: Column) -> Column:
+        quoted = F.get(raw, i).startswith(dialect.quote)
+        in_quotes = F.regexp_replace(f, rf"{q}({q})|{e}([{q}{e}])", "$1$2")
+        plain = F.regexp_replace(f, rf"{e}([{e}{d}])", "$1")
+        special = (f.contains(dialect.quote)) | (f.contains(dialect.escape))
+        return F.when(~special, f).when(quoted, in_quotes).otherwise(plain)
+
+    def clean(fields: Column) -> Column:
+        return F.transform(F.transform(fields, unquote), unescape)
+
+    has_quotes = prepared.contains(dialect.quote)
+    has_escapes = prepared.contains(dialect.escape)
+    cleaned = F.when(has_quotes | has_escapes, clean(raw)).otherwise(raw)
     led = prepared.startswith(dialect.delimiter + _LEADING_ESCAPE)
     put_back = F.transform(
         cleaned,

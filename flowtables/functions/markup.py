@@ -37,11 +37,11 @@ def unescape(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
         return F.replace(done, ref, char)
 
-    out = F.when(F.instr(text, "&#") > 0, F.aggregate(references, text, put)).otherwise(text)
+    out = F.when(text.contains("&#"), F.aggregate(references, text, put)).otherwise(text)
     named = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
     for entity, char in named:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.instr(text, "&") > 0, out).otherwise(text)
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def local_name(name: Column) -> Column:
@@ -64,7 +64,7 @@ def attribute_values(body: Column) -> Column:
     """Attribute values without quotes."""
     strip = lambda v: F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2")
     values = F.transform(F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(2)), strip)
-    return F.when(F.instr(body, "&") > 0, F.transform(values, unescape)).otherwise(values)
+    return F.when(body.contains("&"), F.transform(values, unescape)).otherwise(values)
 
 
 def attribute_map(names: Column, values: Column) -> Column:

@@ -44,7 +44,7 @@ def markup_events(
         .withColumn("_name", markup.token_name(token, kind))
         .withColumn("_text", markup.token_text(token, kind))
         .withColumn("_body", markup.attribute_body(markup.start_tag(token, kind)))
-        .withColumn("_names", F.when(F.instr(body, "=") > 0, markup.attribute_names(body)))
+        .withColumn("_names", F.when(body.contains("="), markup.attribute_names(body)))
         .withColumn("_values", F.when(F.col("_names").isNotNull(), markup.attribute_values(body)))
         .withColumn(
             "_attrs",

@@ -105,7 +105,7 @@ def _opens(text: Column, dialect: Dialect) -> Column:
 def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
     q, e, d = _quoted(dialect.quote), _quoted(dialect.escape), _quoted(dialect.delimiter)
     text = F.col("text")
-    has_quote = F.instr(text, dialect.quote) > 0
+    has_quote = text.contains(dialect.quote)
     # A line that starts inside quotes: the rest of the quoted field, then, if
     # the quote closes, what a line does that starts outside.
     body = rf"^{dialect.quoted_body}"
@@ -117,7 +117,7 @@ def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
     ).otherwise(False)
     from_outside = F.when(has_quote, _opens(text, dialect)).otherwise(False)
     # Without a quote, a line stays inside unless it breaks an escape.
-    has_escape = F.instr(text, dialect.escape) > 0
+    has_escape = text.contains(dialect.escape)
     from_inside = (
         F.when(~has_quote & ~has_escape, True).when(stays, True).when(has_quote, tail_opens).otherwise(False)
     )
@@ -204,4 +204,4 @@ def _split_at_cr(record: Column, dialect: Dialect) -> Column:
     whole = marked.rlike(rf"^(?:[{d}\r]{field})++\z")
     one = rf"\r({field}(?:{d}{field})*+)"
     pieces = F.regexp_extract_all(marked, F.lit(one), 1)
-    return F.when((F.instr(text, "\r") > 0) & whole, pieces).otherwise(F.array(text))
+    return F.when((text.contains("\r")) & whole, pieces).otherwise(F.array(text))
