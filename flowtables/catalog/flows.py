@@ -280,7 +280,8 @@ def publish_results(spark, sf_dir):
 
 @query(
     f"""WITH {_PUBLISHED}
-    SELECT shard, count(*) AS records, count_if(f <= 5) AS sent, count_if(f > 5) AS failed, count_if(f > 0) AS retried,
+    SELECT shard, count(*) AS records, count(*) FILTER (f <= 5) AS sent, count(*) FILTER (f > 5) AS failed,
+      count(*) FILTER (f > 0) AS retried,
       CAST(sum(least(f + 1, 6)) AS BIGINT) AS attempts,
       string_agg(DISTINCT CASE WHEN f > 5 THEN 'throttled' END, ',') AS error_codes
     FROM p GROUP BY shard""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager, nullcontext
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,8 +112,11 @@ def stream_with_checkpoints(
         rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     def is_there(spark: SparkSession, batch_id: int) -> bool:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/batch={batch_id}/_SUCCESS")
-        return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+        try:
+            spark.read.parquet(f"{table}/batch={batch_id}")
+        except AnalysisException:
+            return False
+        return True
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if delivery == "at_most_once":

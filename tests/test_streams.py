@@ -60,6 +60,13 @@ def test_counts_and_checkpoints(spark, folder, rows):
         )
         writer.trigger(availableNow=True).start().awaitTermination()
         assert [n for _, n in seen] == [40] * 6
+        # What was checkpointed before is not handled again.
+        if delivery == "at_most_once":
+            again = stream_with_checkpoints(
+                tail(spark, folder), lambda b, n: seen.append((n, -1)), path, "k", "i", "i", delivery=delivery
+            ).option("checkpointLocation", f"{path}/lost")
+            again.trigger(availableNow=True).start().awaitTermination()
+            assert len(seen) == 6
         table = newest_checkpoints(spark.read.parquet(f"{path}/checkpoints").drop("batch"), "k").collect()
         assert {r["k"]: r["offset"] for r in table} == last
 
