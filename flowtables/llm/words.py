@@ -40,16 +40,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of texts, and where each text starts (one more than texts)."""
+    filled = pc.fill_null(texts.cast(pa.large_string()), "")
+    at = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
+    if at[-1] == at[0]:
+        return np.zeros(0, np.uint8), np.zeros(len(filled) + 1, np.int64)
+    return np.frombuffer(filled.buffers()[2], np.uint8)[at[0] : at[-1]], at - at[0]
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of an array of texts, in order, and where each text starts
     (one more than texts).  Words are runs of ASCII letters and digits and of all
     characters beyond ASCII, in lower case; a null text has none."""
-    low = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    at = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low) + 1]
-    if at[-1] == at[0]:
-        return np.zeros(0, np.uint64), np.zeros(len(low) + 1, np.int64)
-    data = np.frombuffer(low.buffers()[2], np.uint8)[at[0] : at[-1]]
-    at = at - at[0]
+    data, at = text_bytes(pc.utf8_lower(texts.cast(pa.large_string())))
+    hashes, first = hashes_in(data, at)
+    return hashes, np.searchsorted(first, at)
+
+
+def hashes_in(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in texts' bytes, and the words' first bytes."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     inside = _WORD[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
@@ -57,7 +69,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     start[heads] = inside[heads]
     first = np.flatnonzero(start)
     if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(len(low) + 1, np.int64)
+        return np.zeros(0, np.uint64), first
     gap = np.flatnonzero(~inside)
     # a word ends at the next byte of no word, at the next word's start or at the end
     after = np.searchsorted(gap, first)
@@ -78,7 +90,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         a = first[k:j] - base
         out[k:j] = (sums[end[k:j] - base] - sums[a]) * _UNPOWER[a]
         k = j
-    return mix64(out), np.searchsorted(first, at)
+    return mix64(out), first
 
 
 def _long(data: np.ndarray) -> np.uint64:
