@@ -51,7 +51,7 @@ def _quantiles(rows: DataFrame, column: str, by: list[str], pieces: Column, shar
     cut = points.withColumns({"end": F.sum("w").over(running), "all": F.sum("w").over(whole)})
     # the first key whose running weight reaches a new multiple of a piece's weight
     slot = lambda c: F.floor(c * F.col("n") / F.col("all"))
-    edges = cut.where((slot(F.col("end")) > slot(F.col("end") - F.col("w"))) & (F.col("end") < F.col("all")))
+    edges = cut.where(slot(F.col("end")) > slot(F.col("end") - F.col("w")))
     return edges.groupBy(*by).agg(F.sort_array(F.collect_set(column)).alias("bounds"))
 
 
@@ -133,11 +133,13 @@ def shard(
             cuts = _quantiles(inside, column, ["_range", "_part"], F.col("_pieces"), F.col("_share")).collect()
             bounds = {(r["_range"], r["_part"]): list(r.bounds) for r in cuts}
             for r in group:
-                # where the sample holds no cut, the highest value goes alone
-                new = [b for b in bounds.get((r.range, r.part), []) if b > (r.low if column == "_key" else r.low_tie)]
-                new = new or [r.high if column == "_key" else r.high_tie]
+                low, high = (r.low, r.high) if column == "_key" else (r.low_tie, r.high_tie)
+                cuts_here = bounds.get((r.range, r.part), [])
+                # a sampled key starts a range, and if many rows may have it, ends it, too
+                new = {b for b in cuts_here if b > low} | {b + 1 for b in cuts_here if b < high and column == "_key"}
+                new = new or {high}  # where the sample holds no cut, the highest goes alone
                 if column == "_key":
-                    keys = sorted({*keys, *new, *[b + 1 for b in new if b < r.high]})
+                    keys = sorted({*keys, *new})
                 else:
                     ties[r.low] = sorted({*ties.get(r.low, []), *new})
     held = [(0, s) for s in range(shards)]
