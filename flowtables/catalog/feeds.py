@@ -75,7 +75,7 @@ def csv_files_query(spark, sf_dir):
     back record by record."""
     path = scratch_path(spark, "csv")
     csv_write(
-        table(spark, sf_dir, "documents").select(*_DOCUMENT_COLUMNS).repartition(4),
+        table(spark, sf_dir, "documents").select(*_DOCUMENT_COLUMNS),
         path,
         _DOCUMENT_COLUMNS,
         line_end="\r\n",

@@ -13,7 +13,7 @@ def extract_json(df: DataFrame, body: str, schema: str, name: str = "value") ->
     body that is no such JSON gives null."""
     column = F.col(body)
     if dict(df.dtypes)[body] == "binary":
-        column = F.decode(column, "UTF-8")
+        column = F.try_validate_utf8(column.cast("string"))
     return df.withColumn(name, F.from_json(column, schema))
 
 

@@ -25,23 +25,29 @@ VOID_ELEMENTS = (
 )
 
 
-def unescape(text: Column) -> Column:
-    """Replace the five named XML entities and numeric character references."""
-    references = F.array_distinct(
-        F.regexp_extract_all(text, F.lit("&#(?:[0-9]+|x[0-9A-Fa-f]+);"), F.lit(0))
-    )
+#: A reference, or text between references.
+_REFERENCE = "&(?:#[0-9]+|#x[0-9A-Fa-f]+|lt|gt|quot|apos|amp);|[^&]+|&"
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
-    def put(done: Column, ref: Column) -> Column:
-        digits = F.regexp_extract(ref, "([0-9A-Fa-f]+);$", 1)
-        code = F.when(ref.startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits)
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32")
-        return F.replace(done, ref, char)
-
-    out = F.when(text.contains("&#"), F.aggregate(references, text, put)).otherwise(text)
-    named = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
-    for entity, char in named:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), out).otherwise(text)
+
+def unescape(text: Column) -> Column:
+    """Replace the five named XML entities and numeric character references, each
+    once: what a reference gives is not read again.  A reference to no character
+    stays as it is."""
+
+    def put(piece: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(piece, "^&#x?([0-9A-Fa-f]+);$", 1), "^0+", "")
+        number = F.when(piece.startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+        code = F.when(F.length(digits).between(1, 7), number)
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        out = F.when(piece.startswith("&#"), F.coalesce(char, piece))
+        for entity, value in _NAMED.items():
+            out = out.when(piece == entity, value)
+        return out.otherwise(piece)
+
+    pieces = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, put), "")).otherwise(text)
 
 
 def local_name(name: Column) -> Column:

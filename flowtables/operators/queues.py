@@ -50,32 +50,38 @@ def queue_receive(
 def after_receive(messages: DataFrame, received: DataFrame) -> DataFrame:
     """State after a receive: received messages are hidden, the rest unchanged."""
     new = received.select(
-        "msg_id", F.col("visible_at").alias("_v"), F.col("receive_count").alias("_c")
+        "queue", "msg_id", F.col("visible_at").alias("_v"), F.col("receive_count").alias("_c")
     )
     return (
-        messages.join(new, "msg_id", "left")
+        messages.join(new, ["queue", "msg_id"], "left")
         .withColumn("visible_at", F.coalesce("_v", "visible_at"))
         .withColumn("receive_count", F.coalesce("_c", "receive_count"))
         .select(*messages.columns)
     )
 
 
-def _changes(actions: DataFrame) -> DataFrame:
+def _message(messages: DataFrame, actions: DataFrame) -> list[str]:
+    """What names a message: its queue, too, where actions say it."""
+    return ["queue", "msg_id"] if "queue" in messages.columns and "queue" in actions.columns else ["msg_id"]
+
+
+def _changes(actions: DataFrame, message: list[str]) -> DataFrame:
     """One row per message: deleted, or its last visibility change."""
     delete = F.col("action") == "delete"
     change = F.when(F.col("action") == "change_visibility", F.col("action_seq"))
-    return actions.groupBy("msg_id").agg(
+    return actions.groupBy(*message).agg(
         F.max(delete).alias("_deleted"),
         F.max_by(F.col("visibility_s").cast("int"), change).alias("_visibility"),
     )
 
 
 def apply_actions(messages: DataFrame, actions: DataFrame, now: Column) -> DataFrame:
-    """State after ``actions`` (``msg_id``, ``action``, ``visibility_s``,
+    """State after ``actions`` (``queue`` where ids repeat, ``msg_id``, ``action``, ``visibility_s``,
     ``action_seq``; action is delete, change_visibility or ignore).  Delete wins;
     of several visibility changes the last one counts.  Fractions of a second of
     a timeout are cut off."""
-    changed = messages.join(_changes(actions), "msg_id", "left")
+    message = _message(messages, actions)
+    changed = messages.join(_changes(actions, message), message, "left")
     return (
         changed.where(~F.coalesce(F.col("_deleted"), F.lit(False)))
         .withColumn(
@@ -91,7 +97,8 @@ def apply_actions(messages: DataFrame, actions: DataFrame, now: Column) -> DataF
 def action_results(messages: DataFrame, actions: DataFrame) -> DataFrame:
     """One row per action: its columns and ``result`` (deleted,
     visibility_changed, ignored, not_found, or why it is not allowed)."""
-    known = messages.select("msg_id", F.lit(True).alias("_known"))
+    message = _message(messages, actions)
+    known = messages.select(*message, F.lit(True).alias("_known"))
     invalid = rules.visibility_error(F.col("action"), F.col("visibility_s"))
     done = (
         F.when(F.col("action") == "ignore", "ignored")
@@ -101,7 +108,7 @@ def action_results(messages: DataFrame, actions: DataFrame) -> DataFrame:
         .otherwise("unknown_action")
     )
     return (
-        actions.join(known, "msg_id", "left")
+        actions.join(known, message, "left")
         .withColumn("result", F.coalesce(invalid, done))
         .select(*actions.columns, "result")
     )

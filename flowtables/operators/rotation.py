@@ -60,7 +60,9 @@ def rotate_by_time(
     the row before; hourly names unless ``name`` is given.  Adds ``file_name``,
     ``file_no`` and ``row_no``."""
     named = df.withColumn("file_name", hour_file_name(at) if name is None else name)
-    rows = arrange(named, key, order, rows_per_chunk).scan(_before=previous("file_name"))
-    same = F.col("_before").eqNullSafe(F.col("file_name"))
-    rows = rows.map(lambda d: d.withColumn("_open", (~same).cast("bigint")).drop("_before"))
+    # a name may be null; what holds it is null only before the first row
+    named = named.withColumn("_held", F.struct("file_name"))
+    rows = arrange(named, key, order, rows_per_chunk).scan(_before=previous("_held"))
+    same = F.col("_before").isNotNull() & F.col("_before.file_name").eqNullSafe(F.col("file_name"))
+    rows = rows.map(lambda d: d.withColumn("_open", (~same).cast("bigint")).drop("_before", "_held"))
     return _number_rows(rows, "_open")
