@@ -31,17 +31,16 @@ def csv_scan(
     dialect: Dialect = DEFAULT,
     multiline: bool = True,
     on_error: str | None = None,
-    max_lines: int = 100_000,
 ) -> DataFrame:
     """Records of CSV files: ``file``, ``line`` (where the record starts, from 1),
     ``record``, ``fields`` and ``error``.
 
     Lines end with LF, CR or CRLF; a UTF-8 byte order mark is skipped, a file with
-    a UTF-16 or UTF-32 mark fails the query.  A record of more than ``max_lines``
-    lines, as an opening quote without a closing one makes of the rest of a file,
-    is an error with reason ``record_too_long`` and its first lines as text.  With ``multiline=False`` no field
-    spans lines, which saves the shuffle that brings lines of a record together
-    (``line`` is null then).
+    a UTF-16 or UTF-32 mark fails the query.  A record may have any number of lines.
+    An opening quote that no other one closes makes the rest of its file an error: one
+    row for each of these lines, with reason ``unterminated_quote``.  With
+    ``multiline=False`` no field spans lines, which saves the shuffle that brings
+    lines of a record together (``line`` is null then).
     """
     lines = _lines(spark, path)
     if not multiline:
@@ -49,19 +48,19 @@ def csv_scan(
             "file",
             F.lit(None).cast("bigint").alias("line"),
             F.col("text").alias("record"),
-            F.lit(False).alias("_long"),
+            F.lit(False).alias("_tail"),
         )
     else:
-        framed = _frame(lines, dialect, max_lines)
+        framed = _frame(lines, dialect)
     pieces = framed.withColumn("record", F.explode(_split_at_cr(F.col("record"), dialect)))
     parsed = csv_parse(pieces, "record", dialect)
-    too_long = F.struct(F.lit("record_too_long").alias("reason"), F.length("record").alias("position"))
+    unclosed = F.struct(F.lit("unterminated_quote").alias("reason"), F.length("record").alias("position"))
     parsed = parsed.withColumns(
         {
-            "error": F.when(F.col("_long"), too_long).otherwise(F.col("error")),
-            "fields": F.when(~F.col("_long"), F.col("fields")),
+            "error": F.when(F.col("_tail"), unclosed).otherwise(F.col("error")),
+            "fields": F.when(~F.col("_tail"), F.col("fields")),
         }
-    ).drop("_long")
+    ).drop("_tail")
     return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 
 
@@ -102,7 +101,7 @@ def _opens(text: Column, dialect: Dialect) -> Column:
     )
 
 
-def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
+def _frame(lines: DataFrame, dialect: Dialect) -> DataFrame:
     q, e, d = _quoted(dialect.quote), _quoted(dialect.escape), _quoted(dialect.delimiter)
     text = F.col("text")
     has_quote = text.contains(dialect.quote)
@@ -165,7 +164,11 @@ def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
         .withColumn("_begin", _state(0, F.col("_bset"), F.col("_bf") - block_flip))
         .withColumn("_t", F.col("_first") + F.when(F.col("_begin") == 0, F.col("_t0")).otherwise(F.col("_t1")))
         .withColumn("_open", F.max("_t").over(so_far))
-        .select(*rows.group, "_first", "_begin", "_open")
+        # a file that ends inside quotes: its last record has no end
+        .withColumn("_end", F.when(F.col("_begin") == 0, F.col("_e0")).otherwise(F.col("_e1")))
+        .withColumn("_end", F.max_by("_end", CHUNK).over(Window.partitionBy("file")))
+        .withColumn("_unclosed", F.when(F.col("_end") == 1, F.max("_t").over(Window.partitionBy("file"))))
+        .select(*rows.group, "_first", "_begin", "_open", "_unclosed")
     )
     started = F.col("_first") + F.when(F.col("_begin") == 0, F.col("_r0")).otherwise(F.col("_r1"))
     numbered = rows.with_carry(carry).select(
@@ -173,18 +176,15 @@ def _frame(lines: DataFrame, dialect: Dialect, max_lines: int) -> DataFrame:
         F.coalesce(started, F.col("_open")).alias("line"),
         (F.col("_first") + F.col("_n")).alias("_at"),
         "text",
+        "_unclosed",
     )
-    in_record = F.col("_at") - F.col("line")
+    tail = F.coalesce(F.col("line") == F.col("_unclosed"), F.lit(False))
     return (
-        numbered.where(in_record <= max_lines)
-        .groupBy("file", "line")
+        numbered.withColumn("_tail", tail)
+        .withColumn("line", F.when(F.col("_tail"), F.col("_at")).otherwise(F.col("line")))
+        .groupBy("file", "line", "_tail")
         .agg(F.sort_array(F.collect_list(F.struct("_at", "text"))).alias("_lines"))
-        .select(
-            "file",
-            "line",
-            F.array_join(F.slice(F.col("_lines.text"), 1, max_lines), "\n").alias("record"),
-            (F.size("_lines") > max_lines).alias("_long"),
-        )
+        .select("file", "line", F.array_join("_lines.text", "\n").alias("record"), "_tail")
     )
 
 

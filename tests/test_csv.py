@@ -212,13 +212,18 @@ def test_broken_quote_does_not_swallow_good_lines(spark):
     assert got[4]["fields"] == ["g\nh", "i"]
 
 
-def test_endless_record_is_an_error(spark):
+def test_lines_after_an_unclosed_quote_are_errors(spark):
     path = write_file(spark, "endless", b'a,b\n"open\n' + b"x\n" * 50)
-    got = {r["line"]: r for r in csv_scan(spark, path, max_lines=10).collect()}
-    assert sorted(got) == [1, 2] and got[1]["fields"] == ["a", "b"]
-    assert got[2]["error"]["reason"] == "record_too_long" and got[2]["record"].count("\n") == 9
-    whole = {r["line"]: r for r in csv_scan(spark, path, max_lines=51).collect()}
-    assert whole[2]["error"]["reason"] == "unterminated_quote"
+    got = sorted(csv_scan(spark, path).collect(), key=lambda r: r["line"])
+    assert [r["line"] for r in got] == list(range(1, 53)) and got[0]["fields"] == ["a", "b"]
+    assert [r["record"] for r in got[1:]] == ['"open'] + ["x"] * 50
+    assert {(r["error"]["reason"], r["fields"]) for r in got[1:]} == {("unterminated_quote", None)}
+
+
+def test_long_record_is_whole(spark):
+    path = write_file(spark, "long", b'a,b\n"' + b"x\n" * 100_050 + b'",y\nc,d\n')
+    got = {r["line"]: r["fields"] for r in csv_scan(spark, path, on_error="stop").collect()}
+    assert got == {1: ["a", "b"], 2: ["x\n" * 100_050, "y"], 100_053: ["c", "d"]}
 
 
 def test_write_and_scan(spark):
