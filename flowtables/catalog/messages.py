@@ -415,21 +415,21 @@ def unacked_gauge(spark, sf_dir):
 
 
 def _calls(spark, sf_dir):
-    """User turns as requests; every other turn replies to its conversation."""
+    """User turns as requests; every other turn replies to the turn before it."""
     turns = table(spark, sf_dir, "conversations")
-    requests = turns.where("role = 'user' and turn = 0").selectExpr(
-        "conv_id AS correlation_id",
+    requests = turns.where("role = 'user'").selectExpr(
+        "concat_ws(':', conv_id, turn) AS correlation_id",
         """case conv_id % 3 when 0 then map('expectedReplies', '2') when 1 then map('expectedReplies', 'many')
            else map('other', '1') end AS headers""",
     )
-    replies = turns.where("role <> 'user'").selectExpr("conv_id AS correlation_id", "turn")
+    replies = turns.where("role <> 'user'").selectExpr("concat_ws(':', conv_id, turn - 1) AS correlation_id", "turn")
     return requests, replies
 
 
 @query(
-    """WITH r AS (SELECT conv_id AS correlation_id, count(*) AS n FROM conversations WHERE role <> 'user' GROUP BY 1),
-    q AS (SELECT conv_id AS correlation_id, CASE WHEN conv_id % 3 = 0 THEN 2 ELSE 1 END AS expected
-      FROM conversations WHERE role = 'user' AND turn = 0)
+    """WITH r AS (SELECT concat_ws(':', conv_id, turn - 1) AS correlation_id, count(*) AS n FROM conversations WHERE role <> 'user' GROUP BY 1),
+    q AS (SELECT concat_ws(':', conv_id, turn) AS correlation_id, CASE WHEN conv_id % 3 = 0 THEN 2 ELSE 1 END AS expected
+      FROM conversations WHERE role = 'user')
     SELECT q.correlation_id, CAST(coalesce(n, 0) AS BIGINT) AS received, CAST(expected AS INTEGER) AS expected,
       expected - coalesce(n, 0) AS outstanding, expected <= coalesce(n, 0) AS complete
     FROM q LEFT JOIN r ON r.correlation_id = q.correlation_id"""
