@@ -67,8 +67,8 @@ def stream_checkpoints(spark, sf_dir):
 )
 def stream_grouped_within(spark, sf_dir):
     """Groups that are closed once the last event has been read."""
-    groups = grouped_within_stream(_events(spark, sf_dir), 5, 12 * 3600, "user_id", "event_id", "ts")
-    out = run_available(groups, "groups", keyed=True)
+    groups = grouped_within_stream(_events(spark, sf_dir), 5, 12 * 3600, "user_id", "event_id", "ts", "0 seconds")
+    out = run_available(groups, "groups", keyed=True).drop("late")
     return out.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
 
 

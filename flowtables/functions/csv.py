@@ -116,8 +116,9 @@ def is_covered(prepared: Column, raw: Column, dialect: Dialect) -> Column:
     return F.length(F.array_join(raw, dialect.delimiter)) + 1 == F.length(prepared)
 
 
-def clean_fields(raw: Column, prepared: Column, dialect: Dialect) -> Column:
-    """Fields without quotes and escapes."""
+def clean_fields(raw: Column, prepared: Column, led: Column, dialect: Dialect) -> Column:
+    """Fields without quotes and escapes; ``led`` says whether the record began
+    with an escape."""
     d, q, e = (_quoted(c) for c in (dialect.delimiter, dialect.quote, dialect.escape))
 
     def unquote(f: Column) -> Column:
@@ -136,7 +137,6 @@ def clean_fields(raw: Column, prepared: Column, dialect: Dialect) -> Column:
     has_quotes = prepared.contains(dialect.quote)
     has_escapes = prepared.contains(dialect.escape)
     cleaned = F.when(has_quotes | has_escapes, clean(raw)).otherwise(raw)
-    led = prepared.startswith(dialect.delimiter + _LEADING_ESCAPE)
     put_back = F.transform(
         cleaned,
         lambda f, i: F.when(i == 0, F.concat(F.lit(dialect.escape), F.substring(f, F.lit(2), F.length(f)))).otherwise(f),

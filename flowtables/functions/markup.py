@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TAG_BODY = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_RAW_TEXT = r"<(script|style)\b[^>]*>.*?</\1\s*>|"
+_RAW_TEXT = r"(?i:<(script|style)\b[^>]*>.*?</\1\s*>)|"
+#: Declarations that a document type may hold between brackets.
+_SUBSET = r"""\[(?:<!--.*?-->|<\?.*?\?>|[^\]"'<]++|"[^"]*+"|'[^']*+'|<)*+\]"""
+_DECLARATION = rf"""<!(?:[^>\["']++|"[^"]*+"|'[^']*+'|{_SUBSET})*+>"""
+#: A comment, CDATA section or instruction without an end takes the rest of the text.
 _TOKEN = (
-    r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![^>]*>|{raw}</[^>]+>|"
+    r"(?s)<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)|<\?.*?(?:\?>|\z)|"
+    + _DECLARATION + r"|<![^>]*>|{raw}</[^>]+>|"
     r"<[\p{{L}}_:]" + _TAG_BODY.replace("{", "{{").replace("}", "}}") + r">|<[\p{{L}}_:][^>]*>|[^<]+|<"
 )
 #: Tokens of XML, and of HTML, where the text of script and style is no markup.
@@ -81,10 +86,17 @@ def attribute_map(names: Column, values: Column) -> Column:
 
 
 def token_kind(token: Column, html: bool) -> Column:
-    """What a token is; null for white space, declarations and document types."""
+    """What a token is; null for white space, declarations and document types;
+    ``error`` for what has a start and no end."""
+
+    def open_ended(start: str, end: str) -> Column:
+        closed = token.endswith(end) & (F.length(token) >= len(start) + len(end))
+        return token.startswith(start) & ~closed
+
     kind = (
         F.when(~token.startswith("<"), F.when(token.rlike(r"\S"), "characters"))
         .when(token == "<", "characters")
+        .when(open_ended("<!--", "-->") | open_ended("<![CDATA[", "]]>") | open_ended("<?", "?>"), "error")
         .when(token.startswith("</"), "end_element")
         .when(token.startswith("<!--"), "comment")
         .when(token.startswith("<![CDATA["), "cdata")
@@ -92,7 +104,7 @@ def token_kind(token: Column, html: bool) -> Column:
         .when(token.startswith("<?"), F.when(~token.rlike(r"^<\?[xX][mM][lL]\s"), "processing_instruction"))
     )
     if html:
-        kind = kind.when(token.rlike(r"(?s)^<(?:script|style)\b.*</"), "raw")
+        kind = kind.when(token.rlike(r"(?is)^<(?:script|style)\b.*</"), "raw")
         void = F.lower(F.regexp_extract(token, _NAME, 1)).isin(*VOID_ELEMENTS)
         kind = kind.when(void, "empty")
     return kind.when(token.endswith("/>"), "empty").otherwise("start_element")
@@ -111,6 +123,7 @@ def token_text(token: Column, kind: Column) -> Column:
 
     return (
         F.when(kind == "characters", unescape(token))
+        .when(kind == "error", token)
         .when(kind == "comment", inner(4, 3))
         .when(kind == "cdata", inner(9, 3))
         .when(kind == "processing_instruction", F.regexp_extract(token, r"(?s)^<\?\S+\s+(.*)\?>$", 1))

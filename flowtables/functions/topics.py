@@ -9,9 +9,12 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Leading pattern words that take part in the index key.
+#: Pattern words at either end that take part in the index key.
 INDEXED_WORDS = 4
 
+#: Mask of patterns that are filed under a word that may stand anywhere.
+ANYWHERE = 1 << (2 * INDEXED_WORDS)
+
 
 def words(key: Column) -> Column:
     """Words of a routing key; the empty key has none."""
@@ -36,11 +39,17 @@ def topic_matches(pattern: Column, key: Column) -> Column:
 
 
 def index_mask(pattern: Column) -> Column:
-    """Which of the first words before any ``#`` are literal, as a bit mask.  A
-    key can only match if its words at those places equal the pattern's."""
-    fixed = _fixed_words(pattern)
-    bits = [F.when(_literal(fixed, i), 1 << i).otherwise(0) for i in range(INDEXED_WORDS)]
-    return reduce(add, bits)
+    """Which words a key must share with the pattern, as a bit mask: the literal
+    ones of the first words before any ``#``, else those of the last words after
+    any ``#``, counted from the end, else (``ANYWHERE``) its first literal word at
+    any place.  Only patterns of nothing but wildcards have none."""
+
+    def mask(fixed: Column, shift: int) -> Column:
+        return reduce(add, [F.when(_literal(fixed, i), 1 << (shift + i)).otherwise(0) for i in range(INDEXED_WORDS)])
+
+    first, last = mask(_fixed_words(pattern), 0), mask(_last_words(pattern), INDEXED_WORDS)
+    anywhere = F.when(_first_literal(words(pattern)).isNotNull(), ANYWHERE).otherwise(0)
+    return F.when(first > 0, first).when(last > 0, last).otherwise(anywhere)
 
 
 def _fixed_words(pattern: Column) -> Column:
@@ -52,6 +61,17 @@ def _fixed_words(pattern: Column) -> Column:
     )
 
 
+def _last_words(pattern: Column) -> Column:
+    """Words after the last ``#``, the last one first."""
+    turned = F.reverse(words(pattern))
+    hash_at = F.array_position(turned, "#")
+    return F.when(hash_at > 0, F.slice(turned, F.lit(1), (hash_at - 1).cast("int"))).otherwise(turned)
+
+
+def _first_literal(all_words: Column) -> Column:
+    return F.get(F.filter(all_words, lambda w: ~w.isin("*", "#")), F.lit(0))
+
+
 def _literal(fixed: Column, i: int) -> Column:
     word = F.get(fixed, F.lit(i))
     return word.isNotNull() & (word != "*")
@@ -60,25 +80,29 @@ def _literal(fixed: Column, i: int) -> Column:
 def index_key(all_words: Column, mask: Column) -> Column:
     """The words that ``mask`` selects, each followed by a dot; null if one of
     them is missing.  ``mask`` is a column or a literal column."""
+    n = F.size(all_words)
+    places = [F.lit(i) for i in range(INDEXED_WORDS)] + [n - 1 - i for i in range(INDEXED_WORDS)]
     parts = [
-        F.when(
-            mask.bitwiseAND(F.lit(1 << i)) != 0,
-            F.concat(F.get(all_words, F.lit(i)), F.lit(".")),
-        ).otherwise("")
-        for i in range(INDEXED_WORDS)
+        F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.concat(F.get(all_words, at), F.lit("."))).otherwise("")
+        for i, at in enumerate(places)
     ]
-    return F.concat(*parts)
+    return F.when(mask == ANYWHERE, F.concat(_first_literal(all_words), F.lit("."))).otherwise(F.concat(*parts))
+
+
+def anywhere_keys(all_words: Column) -> Column:
+    """Index keys of a routing key under the mask ``ANYWHERE``."""
+    return F.transform(F.array_distinct(all_words), lambda w: F.concat(w, F.lit(".")))
 
 
 def exact_mask(pattern: Column) -> Column:
     """True if the index key and the number of words decide the match: no ``#``,
-    or a single one at the end, and no word beyond the indexed ones."""
+    or a single one at an end, and no word beyond the indexed ones."""
     all_words = words(pattern)
     hash_at = F.array_position(all_words, "#")
     n = F.size(all_words)
-    return ((hash_at == 0) & (n <= INDEXED_WORDS)) | (
-        (hash_at == n) & (n > 0) & (n <= INDEXED_WORDS + 1)
-    )
+    single = F.size(F.filter(all_words, lambda w: w == "#")) == 1
+    at_end = single & ((hash_at == n) | (hash_at == 1)) & (n <= INDEXED_WORDS + 1)
+    return ((hash_at == 0) & (n <= INDEXED_WORDS)) | at_end
 
 
 def fixed_count(pattern: Column) -> Column:

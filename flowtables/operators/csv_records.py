@@ -30,7 +30,8 @@ def csv_parse(
     closed = F.col("_after").startswith(dialect.quote)
     position = good + F.col("_skipped") - 1 + F.when(closed, 1).otherwise(0)
     text = pin(df, _text=csv.strip_line_end(F.col(record)))
-    framed = pin(text, _prepared=csv.prepared(F.col("_text"), dialect)).drop("_text")
+    leads = F.col("_text").startswith(dialect.escape)
+    framed = pin(text, _prepared=csv.prepared(F.col("_text"), dialect), _led=leads).drop("_text")
     fields = pin(framed, _raw=csv.raw_fields(prepared, dialect))
     parsed = (
         pin(fields, _covered=csv.is_covered(prepared, raw, dialect))
@@ -49,8 +50,8 @@ def csv_parse(
                 ),
             ),
         )
-        .withColumn("fields", F.when(~bad, csv.clean_fields(raw, prepared, dialect)))
-        .drop("_prepared", "_raw", "_covered", "_good", "_rest", "_skipped", "_after")
+        .withColumn("fields", F.when(~bad, csv.clean_fields(raw, prepared, F.col("_led"), dialect)))
+        .drop("_prepared", "_led", "_raw", "_covered", "_good", "_rest", "_skipped", "_after")
     )
     return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 
@@ -61,11 +62,13 @@ def csv_to_map(
     fields: str = "fields",
     order: str | Sequence[str] | None = None,
     name: str = "record",
+    by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Pair header names with fields; the longer of the two is cut off.
 
     ``header`` is given, or the first row by ``order`` is the header: it is found
-    by an aggregate and removed from the rows.
+    by an aggregate and removed from the rows.  With ``by`` (as ``file`` of
+    ``csv_scan``) each of its values has a header of its own.
     """
     if header is not None:
         names: Column = F.array(*[F.lit(h) for h in header])
@@ -74,6 +77,13 @@ def csv_to_map(
         raise ValueError("give a header, or the order that makes one row the first")
     order = [order] if isinstance(order, str) else list(order)
     at = F.struct(*order)
+    if by is not None:
+        keys = [by] if isinstance(by, str) else list(by)
+        headers = df.groupBy(*keys).agg(F.min(F.struct(at.alias("at"), F.col(fields).alias("names"))).alias("_header"))
+        headers = headers.withColumnsRenamed({k: f"_by_{k}" for k in keys})
+        paired = df.join(headers, [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in keys])
+        paired = paired.where(at > F.col("_header.at"))
+        return paired.withColumn(name, _zip_map(F.col("_header.names"), F.col(fields))).select(*df.columns, name)
     # One value by construction: the first row.
     first = df.agg(F.min(F.struct(at.alias("at"), F.col(fields).alias("names")))).scalar()
     return df.where(at > first["at"]).withColumn(name, _zip_map(first["names"], F.col(fields)))

@@ -2,7 +2,8 @@
 
 Event columns: the document id, ``seq`` (order in the document, with gaps),
 ``kind`` (start_document, end_document, start_element, end_element, characters,
-cdata, comment, processing_instruction), ``name``, ``attrs`` and ``text``.
+cdata, comment, processing_instruction, and error for one of the last three that
+has no end: its ``text`` is the rest of the document), ``name``, ``attrs`` and ``text``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ Names = str | Sequence[str]
 #: Numbers per token: 0 start of document, 1 to 3 its events, 7 end of document.
 _SLOTS = 8
 
+_NO_LEVEL = -(1 << 62)
+
 
 def markup_events(
     df: DataFrame, id_col: str, text_col: str, html: bool = False, documents: bool = False
@@ -179,21 +182,17 @@ def coalesce_text(
 
 def well_formed(events: DataFrame, key: str = "doc_id", order: str = "seq", rows_per_chunk: int | None = None) -> DataFrame:
     """``key`` and ``well_formed``: every end tag closes the element opened last,
-    and nothing stays open."""
+    nothing stays open, and there is no error event."""
     rows = _with_depth(arrange(events, key, order, rows_per_chunk))
     is_end = F.col("kind") == "end_element"
-    level = F.when(is_end, F.col("_depth") + 1).otherwise(F.col("_depth"))
-    tags = rows.df.where(F.col("kind").isin("start_element", "end_element")).select(
-        key, order, "kind", "name", "_depth", level.alias("_level")
-    )
-    per_level = arrange(tags, (key, "_level"), order, rows_per_chunk)
+    is_tag = F.col("kind").isin("start_element", "end_element")
+    # Events that are no tags wait in a level that no tag has.
+    level = F.when(is_end, F.col("_depth") + 1).when(is_tag, F.col("_depth")).otherwise(_NO_LEVEL)
+    levels = rows.df.select(key, order, "kind", F.when(is_tag, F.col("name")).alias("name"), level.alias("_level"))
+    per_level = arrange(levels, (key, "_level"), order, rows_per_chunk)
     per_level = per_level.scan(_prev=previous(F.struct("kind", "name")))
     opened = F.coalesce(F.col("_prev.kind") == "start_element", F.lit(False))
-    good = (F.col("_level") > 0) & F.when(is_end, opened & (F.col("_prev.name") == F.col("name"))).otherwise(~opened)
-    step = F.when(is_end, -1).otherwise(1)
-    checked = per_level.df.groupBy(key).agg(
-        (F.bool_and(good) & (F.sum(step) == 0)).alias("well_formed")
-    )
-    return events.select(key).distinct().join(checked, key, "left").select(
-        key, F.coalesce(F.col("well_formed"), F.lit(True)).alias("well_formed")
-    )
+    paired = F.when(is_end, opened & (F.col("_prev.name") == F.col("name"))).otherwise(~opened)
+    good = F.when(is_tag, (F.col("_level") > 0) & paired).otherwise(F.col("kind") != "error")
+    step = F.when(is_end, -1).when(is_tag, 1).otherwise(0)
+    return per_level.df.groupBy(key).agg((F.bool_and(good) & (F.sum(step) == 0)).alias("well_formed"))

@@ -43,7 +43,8 @@ RESULT = T.StructType(
 class PublishSettings:
     """``policy`` says what happens to records that still fail after
     ``max_retries`` retries: ``stop`` fails the query, ``skip`` reports them as
-    failed.  ``atomic``: one failed record fails, and repeats, its whole batch.
+    failed, ``retry`` goes on sending, with the longest delay so far, until they are
+    taken.  ``records_per_second`` bounds what one task sends.  ``atomic``: one failed record fails, and repeats, its whole batch.
     ``wait=False`` only adds the delays up, for transports that need none.
     ``parallelism`` is the number of tasks, each with one request in flight;
     without it Spark chooses."""
@@ -56,12 +57,15 @@ class PublishSettings:
     atomic: bool = False
     wait: bool = True
     parallelism: int | None = None
+    records_per_second: float | None = None
 
     def __post_init__(self):
         if self.batch_size < 1 or self.max_retries < 0:
             raise ValueError("batch_size must be positive and max_retries not negative")
-        if self.policy not in ("stop", "skip"):
-            raise ValueError("policy must be 'stop' or 'skip'")
+        if self.policy not in ("stop", "skip", "retry"):
+            raise ValueError("policy must be 'stop', 'skip' or 'retry'")
+        if self.records_per_second is not None and self.records_per_second <= 0:
+            raise ValueError("records_per_second must be positive")
         backoff_ms(1, self.backoff, self.backoff_ms)
 
 
@@ -73,17 +77,25 @@ def publish(
     settings: PublishSettings = PublishSettings(),
     payload: Sequence[str] | None = None,
     rows_per_chunk: int | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
     """Send every row; returns all columns plus ``batch_no``, ``idx``, ``ok``,
     ``attempts``, ``error_code`` and ``waited_ms``.
 
     ``transport`` is called once per task and returns the send function, which
     gets the ``payload`` columns of a request's records as dicts.  Other columns
-    pass through.
+    pass through.  With ``batch``, the number of a row's batch inside its key is
+    given in that column (as by ``pack_first_fit``), and no batches are cut.
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = list(payload or df.columns)
-    batches = batch_by_count(df, settings.batch_size, keys, order, rows_per_chunk)
+    if batch is None:
+        batches = batch_by_count(df, settings.batch_size, keys, order, rows_per_chunk)
+    else:
+        orders = [order] if isinstance(order, str) else list(order)
+        # One request's worth of rows each.
+        given = Window.partitionBy(*keys, batch).orderBy(*orders)
+        batches = df.withColumns({"batch_no": F.col(batch), "idx": F.row_number().over(given) - 1})
     # Requests of one key need not share a task, and sending is slow.
     tasks = [settings.parallelism] if settings.parallelism else []
     batches = batches.repartition(*tasks, *keys, "batch_no")
@@ -97,7 +109,7 @@ def publish(
     schema = T.StructType([*batches.schema.fields, *RESULT.fields])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        send = transport()
+        send = _paced(transport(), settings.records_per_second)
         held = None  # start of a request that goes on in the next part
         for part in parts:
             rows = pa.Table.from_batches([part])
@@ -112,6 +124,21 @@ def publish(
     return ordered.mapInArrow(run, schema)
 
 
+def _paced(send: Send, per_second: float | None) -> Send:
+    """The same, waiting until what was sent before has had its time."""
+    if per_second is None:
+        return send
+    ready = time.monotonic()
+
+    def paced(records: list[dict], attempt: int) -> Sequence[str | None]:
+        nonlocal ready
+        time.sleep(max(0.0, ready - time.monotonic()))
+        ready = max(ready, time.monotonic()) + len(records) / per_second
+        return send(records, attempt)
+
+    return paced
+
+
 def _send_requests(
     send: Send,
     rows: pa.Table,
@@ -151,7 +178,7 @@ def _send_request(send: Send, records: list[dict], settings: PublishSettings) ->
         failed = [i for i in pending if errors[i]]
         if not failed:
             break
-        if attempt > settings.max_retries:
+        if attempt > settings.max_retries and settings.policy != "retry":
             if settings.policy == "stop":
                 raise RuntimeError(
                     f"{len(failed)} records failed after {attempt} attempts: {errors[failed[0]]}"
@@ -159,7 +186,7 @@ def _send_request(send: Send, records: list[dict], settings: PublishSettings) ->
             if settings.atomic:
                 errors = [e or "batch_failed" for e in errors]
             break
-        pause = backoff_ms(attempt, settings.backoff, settings.backoff_ms)
+        pause = backoff_ms(min(attempt, max(settings.max_retries, 1)), settings.backoff, settings.backoff_ms)
         delay += pause
         if settings.wait:
             time.sleep(pause / 1000)

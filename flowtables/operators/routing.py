@@ -34,9 +34,9 @@ def route(
 
     All kinds share one equi-join.  A binding is filed under a probe key, a
     message looks up the few probe keys it can have: its routing key (direct), a
-    constant (fanout), each header (headers), or its first words masked in at
-    most 16 ways (topic).  What the probe key leaves open is checked after the
-    join.
+    constant (fanout), each header (headers), or its first or last words masked in
+    at most 31 ways and, for patterns with literal words in the middle only, each of
+    its words (topic).  What the probe key leaves open is checked after the join.
     """
     index = _binding_index(exchanges, bindings, queues)
     spark = messages.sparkSession
@@ -141,11 +141,11 @@ def _probes(masks: list[int]) -> Column:
 
     nothing = F.array().cast("array<struct<mask:int,key:string>>")
     # A key with fewer words than a mask asks for has a null there, which joins nothing.
-    by_words = (
-        F.array(*[probe(m, topics.index_key(F.col("_words"), F.lit(m))) for m in masks])
-        if masks
-        else nothing
-    )
+    by_place = [probe(m, topics.index_key(F.col("_words"), F.lit(m))) for m in masks if m != topics.ANYWHERE]
+    by_words = F.array(*by_place) if by_place else nothing
+    if topics.ANYWHERE in masks:
+        anywhere = F.transform(topics.anywhere_keys(F.col("_words")), lambda k: probe(topics.ANYWHERE, k))
+        by_words = F.concat(by_words, anywhere)
     entries = F.map_entries(F.coalesce(F.col("headers"), F.create_map().cast("map<string,string>")))
     by_header = F.concat(
         F.array(probe(0, F.lit(""))),

@@ -20,8 +20,7 @@ from flowtables.operators.policy import with_error_policy
 from flowtables.plans.ordered import CHUNK, arrange_by
 from flowtables.plans.pin import pin
 
-# Byte order marks.
-BOM_UTF8 = "\ufeff"
+# Byte order marks of other encodings.
 BOMS_REJECTED = ("FEFF", "FFFE", "0000FEFF", "FFFE0000")
 
 
@@ -31,18 +30,23 @@ def csv_scan(
     dialect: Dialect = DEFAULT,
     multiline: bool = True,
     on_error: str | None = None,
+    line_end: str = "\n",
 ) -> DataFrame:
     """Records of CSV files: ``file``, ``line`` (where the record starts, from 1),
     ``record``, ``fields`` and ``error``.
 
     Lines end with LF, CR or CRLF; a UTF-8 byte order mark is skipped, a file with
     a UTF-16 or UTF-32 mark fails the query.  A record may have any number of lines.
+    Files are cut at LF; say ``line_end="\\r"`` for files that hold CR only, so that
+    they are cut there, and a bad record does not take its neighbours along.
     An opening quote that no other one closes makes the rest of its file an error: one
     row for each of these lines, with reason ``unterminated_quote``.  With
     ``multiline=False`` no field spans lines, which saves the shuffle that brings
     lines of a record together (``line`` is null then).
     """
-    lines = _lines(spark, path)
+    if line_end not in ("\n", "\r"):
+        raise ValueError("line_end must be a line feed or a carriage return")
+    lines = _lines(spark, path, line_end)
     if not multiline:
         framed = lines.select(
             "file",
@@ -51,8 +55,10 @@ def csv_scan(
             F.lit(False).alias("_tail"),
         )
     else:
-        framed = _frame(lines, dialect)
-    pieces = framed.withColumn("record", F.explode(_split_at_cr(F.col("record"), dialect)))
+        framed = _frame(lines, dialect, line_end)
+    pieces = framed
+    if line_end == "\n":
+        pieces = framed.withColumn("record", F.explode(_split_at_cr(F.col("record"), dialect)))
     parsed = csv_parse(pieces, "record", dialect)
     unclosed = F.struct(F.lit("unterminated_quote").alias("reason"), F.length("record").alias("position"))
     parsed = parsed.withColumns(
@@ -64,10 +70,11 @@ def csv_scan(
     return parsed if on_error is None else with_error_policy(parsed, "error", on_error)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, line_end: str) -> DataFrame:
     """Lines in file order: ``file``, ``block``, ``at`` and ``text``, which keeps
-    a CR at its end."""
-    raw = spark.read.option("lineSep", "\n").text(path)
+    a CR before an LF.  The reader takes a UTF-8 byte order mark off at offset 0;
+    U+FEFF elsewhere is text.  The rejected marks hold bytes that no UTF-8 text has."""
+    raw = spark.read.option("lineSep", line_end).text(path)
     start = F.col("_metadata.file_block_start")
     text = F.col("value")
     head = F.hex(F.substring(F.col("value").cast("binary"), 1, 4))
@@ -82,13 +89,6 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         start.alias("block"),
         F.monotonically_increasing_id().alias("at"),
         checked.alias("text"),
-    ).withColumn(
-        # The mark can only be at offset 0, but U+FEFF elsewhere is text.
-        "text",
-        F.when(
-            (F.col("block") == 0) & F.col("text").startswith(BOM_UTF8),
-            F.substring(F.col("text"), F.lit(2), F.length("text")),
-        ).otherwise(F.col("text")),
     )
 
 
@@ -101,7 +101,7 @@ def _opens(text: Column, dialect: Dialect) -> Column:
     )
 
 
-def _frame(lines: DataFrame, dialect: Dialect) -> DataFrame:
+def _frame(lines: DataFrame, dialect: Dialect, line_end: str) -> DataFrame:
     q, e, d = _quoted(dialect.quote), _quoted(dialect.escape), _quoted(dialect.delimiter)
     text = F.col("text")
     has_quote = text.contains(dialect.quote)
@@ -184,7 +184,7 @@ def _frame(lines: DataFrame, dialect: Dialect) -> DataFrame:
         .withColumn("line", F.when(F.col("_tail"), F.col("_at")).otherwise(F.col("line")))
         .groupBy("file", "line", "_tail")
         .agg(F.sort_array(F.collect_list(F.struct("_at", "text"))).alias("_lines"))
-        .select("file", "line", F.array_join("_lines.text", "\n").alias("record"), "_tail")
+        .select("file", "line", F.array_join("_lines.text", line_end).alias("record"), "_tail")
     )
 
 

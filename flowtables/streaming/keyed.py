@@ -46,7 +46,7 @@ class _Groups(StatefulProcessor):
 
     def _closed(self, key, state) -> Row:
         no, first, last, items = state
-        return self.row(key, no, _time(first, 1_000_000), _time(last, 1_000_000), len(items), items)
+        return self.row(key, no, _time(first, 1_000_000), _time(last, 1_000_000), len(items), items, False)
 
     def _deadline(self, state) -> int:
         return -(-(state[1] + self.span) // 1000)
@@ -56,7 +56,12 @@ class _Groups(StatefulProcessor):
         state = None if state is None else (state[0], state[1], state[2], list(state[3]))
         before = self._deadline(state) if state and state[3] else None
         out = []
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         for row in _in_order(rows, "order_"):
+            if 0 < watermark and row["us_"] < watermark:
+                at = _time(row["us_"], 1_000_000)
+                out.append(self.row(key[0], None, at, at, 1, [row["order_"]], True))
+                continue
             if state and state[3] and (row["us_"] >= state[1] + self.span):
                 out.append(self._closed(key[0], state))
                 state = (state[0], 0, 0, [])
@@ -66,13 +71,14 @@ class _Groups(StatefulProcessor):
             if len(state[3]) == self.n:
                 out.append(self._closed(key[0], state))
                 state = (state[0], 0, 0, [])
-        after = self._deadline(state) if state[3] else None
+        after = self._deadline(state) if state and state[3] else None
         if before != after:
             if before is not None:
                 self.handle.deleteTimer(before)
             if after is not None:
                 self.handle.registerTimer(after)
-        self.open.update(state)
+        if state:
+            self.open.update(state)
         yield from out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -88,15 +94,18 @@ class _Groups(StatefulProcessor):
 
 
 def grouped_within_stream(
-    df: DataFrame, n: int, seconds: float, key: str, order: str, at: str, delay: str = "0 seconds"
+    df: DataFrame, n: int, seconds: float, key: str, order: str, at: str, delay: str
 ) -> DataFrame:
     """Groups of at most ``n`` rows and less than ``seconds`` long, emitted when
     they close: by count, by a later row of the key, or when the watermark
     (``delay`` behind the latest ``at``) passes the end of their time.
 
-    Columns: the key, ``group_no`` from 1, ``first_at``, ``last_at``, ``rows`` and
-    ``items``, the values of the BIGINT column ``order``.  The groups are those of
-    ``grouped_within(mode="open")``.
+    Columns: the key, ``group_no`` from 1, ``first_at``, ``last_at``, ``rows``,
+    ``items``, the values of the BIGINT column ``order``, and ``late``.  The groups are
+    those of ``grouped_within(mode="open")`` as long as no key is more than ``delay``
+    behind the others.  The watermark is one for all keys: a row that comes after it
+    can be in no group any more, and is a row of its own with ``late`` true and no
+    ``group_no``.  No row is lost, whatever the sizes of the micro-batches.
     """
     schema = T.StructType(
         [
@@ -106,11 +115,14 @@ def grouped_within_stream(
             T.StructField("last_at", T.TimestampNTZType()),
             T.StructField("rows", T.IntegerType()),
             T.StructField("items", T.ArrayType(T.LongType())),
+            T.StructField("late", T.BooleanType()),
         ]
     )
     marked = df.select(
         key, F.col(order).alias("order_"), F.col(at).cast("timestamp").alias("at_"), micros(at).alias("us_")
     ).withWatermark("at_", delay)
+    # Without the time column Spark does not drop late rows; they are told here.
+    marked = marked.select(key, "order_", "us_")
     processor = _Groups(n, int(seconds * 1_000_000), Row(*schema.names))
     return marked.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")
 

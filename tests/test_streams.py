@@ -72,7 +72,7 @@ def test_counts_and_checkpoints(spark, folder, rows):
 
 
 def test_groups_close_by_count_time_and_watermark(spark, folder, rows):
-    groups = grouped_within_stream(tail(spark, folder), 4, 12, "k", "i", "ts")
+    groups = grouped_within_stream(tail(spark, folder), 4, 12, "k", "i", "ts", "0 seconds")
     got = {(r["k"], r["group_no"]): tuple(r["items"]) for r in run_available(groups, "groups", keyed=True).collect()}
     now = max(r[2] for r in rows)
     expected = {}
