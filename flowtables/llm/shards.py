@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flowtables.plans.pin import pin
 from flowtables.plans.sizes import written
 
 #: Ranges for each shard in the first cut, and samples for each range.
 RANGES_PER_SHARD, SAMPLES_PER_RANGE = 32, 32
 #: Rows that are numbered together.
 CELL_ROWS = 1_000_000
-#: A range is overfull beyond this many times its fair share, or beyond this many rows.
-OVERFULL, MOST_CUTS = 2.0, 12
+#: A range is overfull beyond this many times its fair share.
+OVERFULL = 2.0
 RANGE_KEYS = ("_key", "_tie")
 
 
@@ -43,7 +44,7 @@ def _quantiles(rows: DataFrame, column: str, by: list[str], pieces: Column, shar
     ``bounds``.  ``share`` is the mean number of samples for a byte.  A row above one
     sample counts as many times as its size asks for."""
     expected = F.col("_size") * share
-    sampled = rows.where(_unit(F.col("_key"), F.col("_tie"), F.lit(len(by))) < expected)
+    sampled = rows.where(_unit(*[F.col(c) for c in RANGE_KEYS if c in rows.columns], F.lit(len(by))) < expected)
     weight = F.greatest(F.lit(1), F.round(expected)).cast("long")
     points = sampled.groupBy(*by, column).agg(F.sum(weight).alias("w"), F.first(pieces).alias("n"))
     running = Window.partitionBy(*by).orderBy(column)
@@ -67,8 +68,9 @@ def shard(
     1. Keys are drawn with a chance proportional to size; quantiles of the sample are
        splitters of ``RANGES_PER_SHARD`` ranges for each shard.
     2. All rows are summed by range.  Ranges above ``OVERFULL`` times their share are cut
-       again, between keys, with a denser sample, until none is left or a range has one key;
-       a key that alone exceeds a shard's share is cut between ties in the same way.
+       again, between keys, until none is left or a range has one key; a key that alone
+       exceeds a shard's share is cut between ties in the same way.  Here keys (ties) are
+       summed first and drawn by their sums, so many copies of a small row are not missed.
     3. Ranges, whose number does not depend on the input, go to shards by size, the
        largest first to the shard that has least.
     4. Slots count rows in cells of a range, whose number follows the rows, so that no
@@ -113,7 +115,9 @@ def shard(
         )
         return grouped.collect()  # one row for each range
 
-    for _ in range(MOST_CUTS):
+    # each pass cuts every range of ``wide`` and ``heavy`` between its lowest and highest, so it ends;
+    # ``found`` is that of the last cuts
+    while True:
         found = sums()
         wide = [r for r in found if r.size > OVERFULL * fair and r.low < r.high]
         heavy = [r for r in found if r.size > OVERFULL * fair and r.size > most / 2 and r.low == r.high and r.low_tie < r.high_tie]
@@ -121,7 +125,7 @@ def shard(
         if not wide and not heavy:
             break
         at, part = place()
-        spark, placed = docs.sparkSession, narrow.withColumns({"_range": at, "_part": part})
+        spark, placed = docs.sparkSession, pin(narrow, _range=at, _part=part)
         for column, group in (("_key", wide), ("_tie", heavy)):
             if not group:
                 continue
@@ -129,14 +133,16 @@ def shard(
                 [(r.range, r.part, max(2, int(r.size / fair) + 1), SAMPLES_PER_RANGE / fair) for r in group],
                 "_range int, _part int, _pieces int, _share double",
             )
-            inside = placed.join(F.broadcast(share), ["_range", "_part"])
+            inside = placed.join(F.broadcast(share), ["_range", "_part"]).groupBy("_range", "_part", column)
+            inside = inside.agg(*[F.max(c).alias(c) for c in ("_pieces", "_share")], F.sum("_size").alias("_size"))
             cuts = _quantiles(inside, column, ["_range", "_part"], F.col("_pieces"), F.col("_share")).collect()
             bounds = {(r["_range"], r["_part"]): list(r.bounds) for r in cuts}
             for r in group:
                 low, high = (r.low, r.high) if column == "_key" else (r.low_tie, r.high_tie)
                 cuts_here = bounds.get((r.range, r.part), [])
                 # a sampled key starts a range, and if many rows may have it, ends it, too
-                new = {b for b in cuts_here if b > low} | {b + 1 for b in cuts_here if b < high and column == "_key"}
+                before, after = {b for b in cuts_here if b > low}, {b + 1 for b in cuts_here if b < high}
+                new = before | after if column == "_key" else before or after
                 new = new or {high}  # where the sample holds no cut, the highest goes alone
                 if column == "_key":
                     keys = sorted({*keys, *new})
@@ -154,13 +160,18 @@ def shard(
     )
     at, part = place()
     cell = F.pmod(F.xxhash64("_key", "_tie"), F.col("_cells")).cast("int").alias("_cell")
-    dealt = lambda df, more: df.withColumns({"_range": at, "_part": part}).join(F.broadcast(table), ["_range", "_part"]).select(*more, shard_col, "_range", "_part", cell)  # noqa: E731, E501
-    counts = dealt(narrow, []).groupBy(shard_col, "_range", "_part", "_cell").agg(F.count("*").alias("n"))
+    lost = F.raise_error(F.lit("a row is in no range that was dealt: the input changed between reads")).cast("int")
+
+    def dealt(df: DataFrame, *more: str) -> DataFrame:
+        held = pin(df, _range=at, _part=part).join(F.broadcast(table), ["_range", "_part"], "left")
+        return held.select(*more, F.coalesce(shard_col, lost).alias(shard_col), "_range", "_part", cell)
+
+    counts = dealt(narrow).groupBy(shard_col, "_range", "_part", "_cell").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy(shard_col).orderBy("_range", "_part", "_cell")) - F.col("n")
     starts = counts.select("_range", "_part", "_cell", before.alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_range", "_part", "_cell").orderBy(*RANGE_KEYS, "_size"))
     return (
-        dealt(rows, [*own, "_size", *RANGE_KEYS])
+        dealt(rows, *own, "_size", *RANGE_KEYS)
         .withColumn("_in", inside)
         .join(starts, ["_range", "_part", "_cell"])
         .select(*own, shard_col, (F.col("_before") + F.col("_in") - 1).alias(slot_col))

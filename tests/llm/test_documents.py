@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from flowtables.llm import fuzzy_lines, language, leaks, mixing, near_texts, quality, shards, token_files
 from flowtables.llm.components import connected_components
@@ -111,6 +112,18 @@ def test_shards_cut_a_text_that_is_most_of_the_table(spark):
     assert len(sizes) == 8 and sizes.max() < 1.1 * sizes.mean() and sizes.min() > 0.9 * sizes.mean()
 
 
+def test_shards_keep_all_rows_where_a_small_row_is_repeated_often(spark):
+    """Copies with equal text and id, which a sample of rows misses all together, among other rows of a wide range."""
+    for hot in (30001, 30101):
+        rows = [(hot, 0, 1) if i % 20 == 0 else (i, i, 1) for i in range(60_000)]
+        df = spark.createDataFrame(rows, "k long, t long, n long")
+        got = shards.shard(df, 2, F.col("n"), F.col("k"), F.col("t")).toPandas()
+        assert len(got) == len(rows)
+        for _, slots in got.groupby("shard").slot:
+            assert sorted(slots) == list(range(len(slots))) and abs(len(slots) - 30_000) < 1_000
+        assert got[got.k == hot].shard.nunique() == 1
+
+
 def test_pivot_keeps_sums_and_expectations():
     draw = np.random.default_rng(5)
     p, size = draw.random(40), draw.integers(1, 50, 40).astype(float)
