@@ -17,13 +17,17 @@ from flowtables.plans.sizes import broadcast_if_small, delete_table, write_table
 THRESHOLD = 0.93
 #: Neighbours of a list at first; cosine below which a neighbour leads nowhere.
 LIST, LEAST = 12, 0.5
-#: Tables of hyperplanes that a start takes, vectors that share a code on average, and vectors
-#: that are compared at a time.
-TABLES, BUCKET, LOT = 8, 12, 128
+#: Share of the pairs at the threshold that have a code in common in a start, vectors that share
+#: a code on average, and vectors that are compared at a time.
+START_RECALL, BUCKET, LOT = 0.999, 12, 128
 #: Members of a neighbourhood that meet in a round; they are other ones in each round.
 MEMBERS = 48
-#: Rounds of a descent and descents, at most; queries and recall of the audit.
-ROUNDS, DESCENTS, AUDIT, RECALL = 8, 4, 400, 0.995
+#: Rounds of a descent and descents, at most, before groups are compared as a whole; recall of the audit.
+ROUNDS, DESCENTS, RECALL = 8, 4, 0.995
+#: Queries of an audit at first and at most, and those that must have links.
+AUDIT, MOST_AUDIT, AUDIT_LINKED = 400, 1 << 14, 100
+#: Numbers in a block of vectors that are compared as a whole, and rows of a product at a time.
+BLOCK, ROWS = 1 << 18, 512
 
 
 def _finite(vector: Column) -> Column:
@@ -77,10 +81,18 @@ def _lists(found: list[tuple[list, list, list]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["node", "other", "cosine"])
 
 
-def start_lists(vectors: DataFrame, seed: int) -> DataFrame:
+def table_counts(bits: np.ndarray, threshold: float) -> np.ndarray:
+    """Tables in which a pair at the threshold shares a code of ``bits`` at least once, with a
+    chance of ``START_RECALL``."""
+    one_side = 1 - np.arccos(min(1.0, max(-1.0, threshold))) / np.pi
+    same = np.minimum(one_side**bits, START_RECALL)
+    return np.ceil(np.log(1 - START_RECALL) / np.log(1 - same)).astype(np.int64)
+
+
+def start_lists(vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
     """``node, other, cosine`` from vectors on the same side of random hyperplanes, in runs of
     ``LOT`` along another direction.  The number of hyperplanes follows the logarithm
-    of a group's size."""
+    of a group's size, and the number of tables that of hyperplanes."""
     sizes = vectors.groupBy("g").agg(F.count("*").alias("size"))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,10 +101,12 @@ def start_lists(vectors: DataFrame, seed: int) -> DataFrame:
                 units = [np.frombuffer(x.as_buffer(), np.float64) for x in part["unit"]]
                 g, size = part["g"].to_numpy(), part["size"].to_numpy()
                 bits = np.maximum(1, np.ceil(np.log2(np.maximum(size, 2) / BUCKET))).astype(np.int64)
+                tables = table_counts(bits, threshold)
                 for dim in {len(u) for u in units}:
-                    rows = np.array([i for i, u in enumerate(units) if len(u) == dim])
-                    x, at = np.stack([units[i] for i in rows]), pa.array(rows)
-                    for table in range(TABLES):
+                    fit = np.array([len(u) == dim for u in units])
+                    for table in range(tables[fit].max()):
+                        rows = np.flatnonzero(fit & (tables > table))
+                        x, at = np.stack([units[i] for i in rows]), pa.array(rows)
                         planes = np.random.default_rng([seed, table, dim]).normal(size=(dim, 49))
                         side = x @ planes
                         code = ((side[:, :48] > 0) & (np.arange(48) < bits[rows, None])) @ (1 << np.arange(48, dtype=np.int64))
@@ -161,10 +175,29 @@ def _shortened(found: DataFrame, room: DataFrame) -> DataFrame:
     return once.join(room, "node", "left").where(F.col("at") <= F.coalesce("room", F.lit(LIST))).select("node", "other", "cosine")
 
 
-def audit(vectors: DataFrame, links: DataFrame, threshold: float) -> tuple[int, int]:
-    """Links that ``AUDIT`` vectors (those of least hash) have by brute force against all vectors,
-    and how many of these are in ``links`` (``node, other``, both ways)."""
-    queries = vectors.orderBy(F.xxhash64("node", F.lit(5))).limit(AUDIT).collect()
+def audit(vectors: DataFrame, links: DataFrame, threshold: float) -> bool:
+    """Whether ``links`` (``node, other``, both ways) hold, of the links that vectors have by brute
+    force against all vectors, a mean share of ``RECALL``: each vector with links counts
+    the same, and vectors of few and of many links (by powers of two) pass on their own.
+    Asked are those of least hash, until ``AUDIT_LINKED`` have links or all are asked."""
+    n, asked = vectors.count(), AUDIT
+    while True:
+        true = _brute_force(vectors, asked, threshold)
+        found = links.select("node", "other", F.lit(1).alias("held"))
+        shares = true.join(found, ["node", "other"], "left").groupBy("node").agg(F.count("*").alias("n"), F.avg(F.coalesce("held", F.lit(0))).alias("share"))
+        by_size = shares.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.avg("share").alias("share"), F.count("*").alias("n")).collect()
+        if any(r.share < RECALL for r in by_size):
+            return False
+        if asked >= n or sum(r.n for r in by_size) >= AUDIT_LINKED:
+            return True
+        if asked >= MOST_AUDIT:
+            return False
+        asked = min(asked * 6, MOST_AUDIT)
+
+
+def _brute_force(vectors: DataFrame, asked: int, threshold: float) -> DataFrame:
+    """``node, other``: the links of ``asked`` vectors with all vectors."""
+    queries = vectors.orderBy(F.xxhash64("node", F.lit(5))).limit(asked).collect()
     sent = vectors.sparkSession.sparkContext.broadcast([(r.node, r.g, bytes(r.unit)) for r in queries])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +221,52 @@ def audit(vectors: DataFrame, links: DataFrame, threshold: float) -> tuple[int,
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["node", "other"])
 
-    true = written(vectors.mapInArrow(search, "node long, other long"), "audit")
-    return true.count(), true.join(links, ["node", "other"], "left_semi").count()
+    return written(vectors.mapInArrow(search, "node long, other long"), "audit")
+
+
+def _roots(near: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the ``roots`` of the first row that links reach."""
+    out, open_ = roots.copy(), near.any(axis=1)
+    while open_.any():
+        first = int(open_.argmax())
+        edge = np.array([first])
+        open_[first] = False
+        while len(edge):
+            edge = np.flatnonzero(near[edge].any(axis=0) & open_)
+            open_[edge] = False
+            out[edge] = roots[first]
+    return out
+
+
+def compared_as_a_whole(vectors: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """``node, links, other`` from all pairs of a group, block by block: how many ``copies`` of others in
+    the two blocks a node is linked with, and one node that these links reach.  A row
+    for each node and pair of blocks with links, none for a link."""
+    sizes = vectors.groupBy("g").agg(F.count("*").alias("size"), F.max(F.octet_length("unit")).alias("wide"))
+    blocks = F.ceil(F.col("size") / F.greatest(F.lit(64), F.floor(F.lit(BLOCK * 8) / F.col("wide")))).cast("int")
+    placed = vectors.join(broadcast_if_small(sizes), "g").join(copies, "node")
+    placed = placed.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int"))
+    met = placed.select("g", "own", "node", "copies", "unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    met = met.select("g", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "node", "copies", "unit")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("own", "ascending"), ("node", "ascending")]).combine_chunks()
+        own, node, copies = (table[k].to_numpy() for k in ("own", "node", "copies"))
+        x = _matrix(table["unit"].combine_chunks() if hasattr(table["unit"], "combine_chunks") else table["unit"])
+        near = np.zeros((len(x), len(x)), bool)
+        for i in range(0, len(x), ROWS):
+            near[i : i + ROWS] = x[i : i + ROWS] @ x.T >= threshold
+        near |= near.T
+        np.fill_diagonal(near, False)
+        if own[0] != own[-1]:  # links inside a block are those of its own pair
+            near &= own[:, None] != own[None, :]
+        elif table["low"][0] != table["high"][0]:
+            near[:] = False  # the other block is empty
+        links = np.concatenate([near[i : i + ROWS] @ copies for i in range(0, len(x), ROWS)])
+        some = np.flatnonzero(links)
+        return pa.table({"node": node[some], "links": links[some], "other": _roots(near, node)[some]})
+
+    return met.groupBy("g", "low", "high").applyInArrow(compare, "node long, links long, other long")
 
 
 def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -202,8 +279,9 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
        nearest.  A list that holds links only is saturated and gets twice the room.  Nodes in a
        large neighbourhood meet a part at a time, another in each round.  It ends when a
        round finds hardly any new link and no list is saturated.
-    4. An audit compares ``AUDIT`` nodes with all others; below a recall of ``RECALL`` lists get another
-       start from new hyperplanes and descend again, ``DESCENTS`` times at most.
+    4. An audit compares some nodes with all others; below a recall of ``RECALL`` lists get another
+       start from new hyperplanes and descend again, ``DESCENTS`` times at most.  If the audit
+       is still not passed then, all pairs of a label are compared, block by block.
     5. Pairs at the threshold or above, by cosine in double precision, are links.
 
     Vectors that are null, empty, zero, or hold null or non-finite components, and those
@@ -226,7 +304,7 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     old = None
     enough = F.col("cosine") >= threshold
     for descent in range(DESCENTS):
-        path, lists = write_table(_shortened(lists.unionByName(start_lists(vectors, descent)), room), "lists")
+        path, lists = write_table(_shortened(lists.unionByName(start_lists(vectors, descent, threshold)), room), "lists")
         links = lists.where(enough).count()
         for turn in range(ROUNDS):
             state = lists.groupBy("node").agg(F.count("*").alias("n"), F.min("cosine").alias("least")).join(room, "node", "left")
@@ -240,12 +318,21 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
                 break
         ends = lists.where(enough).select("node", "other")
         linked = written(ends.union(ends.select("other", "node")).distinct(), "linked")
-        true, held = audit(vectors, linked, threshold)
-        if held >= RECALL * true:
+        if audit(vectors, linked, threshold):
+            whole = vectors.limit(0)
             break
+    else:
+        whole = vectors
+    if whole.limit(1).count():
+        compared = written(compared_as_a_whole(whole, classes.select("node", "copies"), threshold), "compared")
+        linked = linked.join(whole.select("node"), "node", "left_anti")
+    else:
+        compared = spark.createDataFrame([], "node long, links long, other long")
     copies = classes.select(F.col("node").alias("other"), F.col("copies").alias("weight"))
-    counts = linked.join(copies, "other").groupBy("node").agg(F.sum("weight").alias("links"))
-    members = connected_components(linked, "node", "other")
+    counts = linked.join(copies, "other").select("node", F.col("weight").alias("links")).unionByName(compared.select("node", "links"))
+    counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
+    edges = linked.select("node", "other").unionByName(compared.where("node <> other").select("node", "other"))
+    members = connected_components(edges, "node", "other")
     least = members.join(classes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("group"))
     groups = members.join(least, "component").select("node", "group")
     judged = (

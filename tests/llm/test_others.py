@@ -84,6 +84,51 @@ def test_vectors(spark):
     assert neighbours.link_vectors(df.limit(0)).collect() == []
 
 
+def clustered(draw, sizes, alone, dim=16):
+    """Unit vectors in clusters, and the links of each by brute force."""
+    rows = [base + draw.normal(size=dim) * 0.12 for n in sizes for base in [draw.normal(size=dim)] for _ in range(n)]
+    x = np.array(rows + [draw.normal(size=dim) for _ in range(alone)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    return x, near
+
+
+def vector_table(spark, x):
+    return spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+
+
+def test_start_tables_follow_the_bits(spark):
+    side = 1 - np.arccos(0.93) / np.pi
+    bits = np.array([1, 7, 10, 14, 17])
+    missed = (1 - side**bits) ** neighbours.table_counts(bits, 0.93)
+    assert (missed <= 0.001).all()
+
+
+def test_an_audit_counts_each_vector(spark):
+    x, near = clustered(np.random.default_rng(5), [150] + [2] * 60, 0)
+    df = vector_table(spark, x).selectExpr("vec_id AS node", "0L AS g", "embedding AS v")
+    vectors = neighbours.unit_vectors(df.selectExpr("node", "1 AS label", "v")).cache()
+    pairs = [(int(i), int(j)) for i, j in np.argwhere(near)]
+    assert neighbours.audit(vectors, spark.createDataFrame(pairs, "node long, other long"), 0.93)
+    crowd = [(i, j) for i, j in pairs if i < 150 and j < 150]
+    assert len(crowd) >= 0.99 * len(pairs) and len(crowd) < len(pairs)
+    assert not neighbours.audit(vectors, spark.createDataFrame(crowd, "node long, other long"), 0.93)
+
+
+def test_all_pairs_are_compared_when_the_audit_fails(spark, monkeypatch):
+    x, near = clustered(np.random.default_rng(6), [90, 30, 2, 2, 2], 200)
+    monkeypatch.setattr(neighbours, "audit", lambda *_: False)
+    monkeypatch.setattr(neighbours, "DESCENTS", 1)
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "BLOCK", 64 * 16)  # several blocks
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.link_vectors(vector_table(spark, x)).collect()}
+    least = np.arange(len(x))
+    for _ in x:
+        least = np.minimum(least, np.where(near, least[None, :], len(x)).min(axis=1))
+    assert got == {i: (int(near[i].sum()), int(least[i])) for i in range(len(x))}
+
+
 @tables
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_sql(spark, name):
