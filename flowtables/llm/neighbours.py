@@ -20,8 +20,9 @@ LIST, LEAST = 12, 0.5
 #: Share of the pairs at the threshold that have a code in common in a start, vectors that share
 #: a code on average, and vectors that are compared at a time.
 START_RECALL, BUCKET, LOT = 0.999, 12, 128
-#: Members of a neighbourhood that meet in a round; they are other ones in each round.
-MEMBERS = 48
+#: Members of a neighbourhood that meet in a round; they are other ones in each round.  Room of a list
+#: beyond which a group whose lists are still saturated is compared as a whole.
+MEMBERS, MOST_ROOM = 48, 96
 #: Rounds of a descent and descents, at most, before groups are compared as a whole; recall of the audit.
 ROUNDS, DESCENTS, RECALL = 8, 4, 0.995
 #: Queries of an audit at first and at most, and those that must have links.
@@ -195,6 +196,13 @@ def audit(vectors: DataFrame, links: DataFrame, threshold: float) -> bool:
         asked = min(asked * 6, MOST_AUDIT)
 
 
+def _saturated(lists: DataFrame, room: DataFrame, threshold: float) -> DataFrame:
+    """``node, room, full``: whether a list has no room left and holds links only."""
+    state = lists.groupBy("node").agg(F.count("*").alias("n"), F.min("cosine").alias("least")).join(room, "node", "left")
+    state = state.withColumn("room", F.coalesce("room", F.lit(LIST)))
+    return state.select("node", "room", ((F.col("n") >= F.col("room")) & (F.col("least") >= threshold)).alias("full"))
+
+
 def _brute_force(vectors: DataFrame, asked: int, threshold: float) -> DataFrame:
     """``node, other``: the links of ``asked`` vectors with all vectors."""
     queries = vectors.orderBy(F.xxhash64("node", F.lit(5))).limit(asked).collect()
@@ -276,12 +284,14 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     1. Equal vectors of equal label are one node with a number of copies.
     2. Lists of near nodes start from nodes that random hyperplanes do not part.
     3. NN-descent: nodes that are in one list, or have one node in theirs, meet; lists keep the
-       nearest.  A list that holds links only is saturated and gets twice the room.  Nodes in a
-       large neighbourhood meet a part at a time, another in each round.  It ends when a
-       round finds hardly any new link and no list is saturated.
+       nearest.  A list that holds links only is saturated and gets twice the room, up to
+       ``MOST_ROOM``.  Nodes in a large neighbourhood meet a part at a time, another in each
+       round.  It ends when a round finds hardly any new link and no list can grow.  Labels
+       with a list that is still saturated then leave the descent: all their pairs are
+       compared, block by block, which makes no row for a link.
     4. An audit compares some nodes with all others; below a recall of ``RECALL`` lists get another
        start from new hyperplanes and descend again, ``DESCENTS`` times at most.  If the audit
-       is still not passed then, all pairs of a label are compared, block by block.
+       is still not passed then, all other labels are compared like that, too.
     5. Pairs at the threshold or above, by cosine in double precision, are links.
 
     Vectors that are null, empty, zero, or hold null or non-finite components, and those
@@ -303,26 +313,32 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     lists = spark.createDataFrame([], "node long, other long, cosine double")
     old = None
     enough = F.col("cosine") >= threshold
+    crowded = vectors.limit(0)
     for descent in range(DESCENTS):
         path, lists = write_table(_shortened(lists.unionByName(start_lists(vectors, descent, threshold)), room), "lists")
         links = lists.where(enough).count()
         for turn in range(ROUNDS):
-            state = lists.groupBy("node").agg(F.count("*").alias("n"), F.min("cosine").alias("least")).join(room, "node", "left")
-            full = (F.col("n") >= F.coalesce("room", F.lit(LIST))) & (F.col("least") >= threshold)
-            room = written(state.select("node", (F.coalesce("room", F.lit(LIST)) * F.when(full, 2).otherwise(1)).cast("int").alias("room")), "room")
+            state = _saturated(lists, room, threshold)
+            more = F.when(F.col("full") & (F.col("room") < MOST_ROOM), 2).otherwise(1)
+            room = written(state.select("node", (F.col("room") * more).cast("int").alias("room")), "room")
             met = meet_neighbours(lists, vectors, room, descent * ROUNDS + turn)
             old, (path, lists) = path, write_table(_shortened(lists.unionByName(met), room), "lists")
             delete_table(spark, old)
             before, links = links, lists.where(enough).count()
-            if links <= before * 1.0005:
+            if links <= before * 1.0005 and not _saturated(lists, room, threshold).where(F.col("full") & (F.col("room") < MOST_ROOM)).limit(1).count():
                 break
+        groups = vectors.join(_saturated(lists, room, threshold).where("full").select("node"), "node").select("g").distinct()
+        split = written(vectors.join(groups.withColumn("crowd", F.lit(True)), "g", "left"), "groups")
+        crowded = crowded.unionByName(split.where("crowd").drop("crowd"))
+        vectors = split.where("crowd is null").drop("crowd")
+        path, lists = write_table(lists.join(vectors.select("node"), "node", "left_semi"), "lists")
         ends = lists.where(enough).select("node", "other")
         linked = written(ends.union(ends.select("other", "node")).distinct(), "linked")
         if audit(vectors, linked, threshold):
-            whole = vectors.limit(0)
+            whole = crowded
             break
     else:
-        whole = vectors
+        whole = crowded.unionByName(vectors)
     if whole.limit(1).count():
         compared = written(compared_as_a_whole(whole, classes.select("node", "copies"), threshold), "compared")
         linked = linked.join(whole.select("node"), "node", "left_anti")

@@ -129,6 +129,16 @@ def test_all_pairs_are_compared_when_the_audit_fails(spark, monkeypatch):
     assert got == {i: (int(near[i].sum()), int(least[i])) for i in range(len(x))}
 
 
+def test_a_crowd_is_compared_as_a_whole(spark, monkeypatch):
+    """Lists that are saturated when the rounds end, and an audit that sees nothing."""
+    x, near = clustered(np.random.default_rng(7), [260, 2, 2], 30)
+    monkeypatch.setattr(neighbours, "audit", lambda *_: True)
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    monkeypatch.setattr(neighbours, "DESCENTS", 1)
+    got = {r.vec_id: r.n_links for r in neighbours.link_vectors(vector_table(spark, x)).collect()}
+    assert got == {i: int(near[i].sum()) for i in range(len(x))} and near.sum(axis=1).max() > 200
+
+
 @tables
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_sql(spark, name):
