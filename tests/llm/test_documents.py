@@ -287,6 +287,20 @@ def test_kneser_ney_sums_to_one_and_matches_the_formula():
     assert entropy[0].argmin() == 0 and entropy[1].argmin() == 1 and list(has) == [True, True, False, False]
 
 
+def test_calibration_takes_distinct_long_texts_of_each_language(spark, monkeypatch):
+    """Short or repeated texts of least hash do not take the places of others."""
+    draw = random.Random(12)
+    texts = [("aa", sentence(draw, 80)) for _ in range(6)] + [("bb", " ".join(x[::-1] for x in sentence(draw, 80).split(" "))) for _ in range(6)]
+    texts += [("aa", f"few {i}") for i in range(40)] + [("aa", "")] * 40 + [texts[0]] * 60
+    docs = spark.createDataFrame(texts, "lang string, text string")
+    scored, plain = [], language._scored
+    monkeypatch.setattr(language, "CALIBRATION_DOCUMENTS", 4)
+    monkeypatch.setattr(language, "_scored", lambda rows, *more: scored.extend(rows.collect()) or plain(rows, *more))
+    model = language.train(docs)
+    assert Counter(r.lang for r in scored) == {"aa": 4, "bb": 4} and len({r.text for r in scored}) == 8
+    assert min(len(r.text) for r in scored) >= 200 and np.isfinite(model.limits).all()
+
+
 def test_languages(spark, docs, rows, none):
     got = language.identify(docs).collect()
     assert len(got) == len(rows)
