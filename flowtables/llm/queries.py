@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import fuzzy_lines, language, leaks, mixing, near_texts, neighbours, quality, shards, token_files, url_rules
+from flowtables.llm import fuzzy_lines, language, leaks, merkle, mixing, near_texts, neighbours, quality, shards, sql, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,11 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle manifest of all documents, and what tampering with it leads to."""
+    return merkle.tampered_manifest(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,13 +86,14 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_url_rules, op3_shards, op4_language, op5_neighbours, op6_quality, op7_near_texts,
-        op8_mixing, op9_fuzzy_lines, op10_leaks, pipeline,
+        op8_mixing, op9_fuzzy_lines, op10_leaks, op13_manifest, pipeline,
     )
 }
 
 #: No page of the tables has a canonical link or a redirect, and two urls of one common form
 #: differ in no rule, so for these tables the rules alone decide.
 ORACLES: dict[str, str] = {
+    "op13_manifest": sql.MANIFEST,
     "op2_url_rules": r"""
 WITH parts AS (
   SELECT page_id,
