@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import fuzzy_lines, language, leaks, merkle, mixing, near_texts, neighbours, quality, shards, sql, token_files, url_rules
+from flowtables.llm import fuzzy_lines, language, leaks, merkle, mixing, near_texts, nearest, neighbours, quality, shards, sql, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,11 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all vectors for every vector whose id is divisible by 50."""
+    return nearest.nearest_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Merkle manifest of all documents, and what tampering with it leads to."""
     return merkle.tampered_manifest(_table(spark, sf_dir, "documents"))
@@ -86,7 +91,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_url_rules, op3_shards, op4_language, op5_neighbours, op6_quality, op7_near_texts,
-        op8_mixing, op9_fuzzy_lines, op10_leaks, op13_manifest, pipeline,
+        op8_mixing, op9_fuzzy_lines, op10_leaks, op12_nearest, op13_manifest, pipeline,
     )
 }
 
