@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import fuzzy_lines, language, leaks, merkle, mixing, near_texts, nearest, neighbours, quality, shards, sql, token_files, url_rules
+from flowtables.llm import fuzzy_lines, language, leaks, merkle, mixing, near_texts, nearest, neighbours, quality, repair, shards, sql, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,11 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults, and the cheapest edits that mend them."""
+    return repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of all vectors for every vector whose id is divisible by 50."""
     return nearest.nearest_vectors(_table(spark, sf_dir, "embeddings"))
@@ -91,13 +96,14 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_url_rules, op3_shards, op4_language, op5_neighbours, op6_quality, op7_near_texts,
-        op8_mixing, op9_fuzzy_lines, op10_leaks, op12_nearest, op13_manifest, pipeline,
+        op8_mixing, op9_fuzzy_lines, op10_leaks, op11_repair, op12_nearest, op13_manifest, pipeline,
     )
 }
 
 #: No page of the tables has a canonical link or a redirect, and two urls of one common form
 #: differ in no rule, so for these tables the rules alone decide.
 ORACLES: dict[str, str] = {
+    "op11_repair": sql.REPAIR,
     "op13_manifest": sql.MANIFEST,
     "op2_url_rules": r"""
 WITH parts AS (
