@@ -104,6 +104,18 @@ def pack_greedy_query(spark, sf_dir):
     return pack_greedy(_document_sizes(spark, sf_dir), 20_000, "len", "source", "doc_id")
 
 
+@query(_packed(20_000, "batch_no"))
+def pack_greedy_chunked(spark, sf_dir):
+    """The same, with every source cut into chunks as a hot key is."""
+    return pack_greedy(_document_sizes(spark, sf_dir), 20_000, "len", "source", "doc_id", rows_per_chunk=64)
+
+
+@query(_packed(100_000, "file_no"))
+def rotate_size_chunked(spark, sf_dir):
+    """Files of some ten chunks of rows each."""
+    return rotate_by_size(_document_sizes(spark, sf_dir), 100_000, "len", "source", "doc_id", rows_per_chunk=8)
+
+
 @query(_packed(100_000, "file_no"))
 def rotate_size(spark, sf_dir):
     return rotate_by_size(_document_sizes(spark, sf_dir), 100_000, "len", "source", "doc_id")

@@ -3,11 +3,19 @@
 "Start a new file when the current one would grow past the limit" has no closed
 form: where a group starts depends on where the group before it started.  Within
 one chunk of rows the next start is a function of the current start, found by
-binary search.  For a key that is cut into chunks, each chunk is first reduced,
-in parallel, to a table *first start in the chunk -> open group at its end*; only
-as many entries are kept as rows fit into one group.  Following those tables from
-chunk to chunk gives every chunk its open group, after which all chunks label
-their rows in parallel.
+binary search.  A key that is cut into chunks is solved in three steps:
+
+1. In each chunk, in parallel, every row that can be the first start of the chunk
+   becomes an *entry*: the groups from there to the chunk's end and the last start.
+2. That last start leads to one entry of a later chunk, found by a window over the
+   entries and the places that are looked for.  So entries are a forest of pointers,
+   and the way from the key's first row is marked by doubling: each round joins the
+   marked entries with the pointers, and the pointers with themselves.
+3. Each chunk takes the group open before it from the last marked entry before it,
+   and all chunks label their rows in parallel.
+
+Entries are rows, not arrays, so no table of a chunk is ever in one cell, and a
+group may be longer than any number of chunks.
 """
 
 from __future__ import annotations
@@ -22,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.plans.ordered import CHUNK, Arranged
+from flowtables.plans.ordered import CHUNK, Arranged, _count_at_most
+from flowtables.plans.sizes import written
 
 # The open group at some point: (size, 0) or (rows, time of its first row).
 Open = tuple[int, int]
@@ -48,6 +57,18 @@ class BySize:
     def extended(self, state: Open, rows: int, total: int) -> Open:
         return state[0] + total, 0
 
+    def places(self, v: np.ndarray, before: int) -> np.ndarray:
+        """What grows along the key, and says at which row a group is over."""
+        return before + np.cumsum(v)
+
+    def begins(self, v: np.ndarray, before: int) -> np.ndarray:
+        """A group that starts at a row is over where places reach this plus ``reach``."""
+        return before + np.cumsum(v) - v
+
+    @property
+    def reach(self) -> int:
+        return self.limit + 1
+
     def head(self, v: np.ndarray) -> np.ndarray:
         """The rows among which the first start of a chunk must lie."""
         return v[: int(np.searchsorted(np.cumsum(v), self.limit, side="right")) + 1]
@@ -76,6 +97,16 @@ class ByCountOrSpan:
     def extended(self, state: Open, rows: int, total: int) -> Open:
         return state[0] + rows, state[1]
 
+    def places(self, v: np.ndarray, before: int) -> np.ndarray:
+        return v
+
+    def begins(self, v: np.ndarray, before: int) -> np.ndarray:
+        return v
+
+    @property
+    def reach(self) -> int:
+        return self.span
+
     def head(self, v: np.ndarray) -> np.ndarray:
         return v[: self.rows]
 
@@ -153,76 +184,128 @@ def _walk(rule: Rule, v: np.ndarray, state: Open | None) -> tuple[list[int], Ope
 
 def _carry(rows: Arranged, rule: Rule, value: str) -> DataFrame:
     """The group open before each chunk of a hot key, and the groups so far."""
-    key_fields = [
-        T.StructField(f"_k{i}", rows.table.schema[k].dataType) for i, k in enumerate(rows.key)
-    ]
-    chunk = T.StructField(f"_k{len(rows.key)}", T.IntegerType())
-    longs = T.ArrayType(T.LongType())
-    summary_schema = T.StructType(
-        [*key_fields, chunk]
-        + [T.StructField(n, T.LongType()) for n in ("rows", "total")]
-        + [T.StructField(n, longs) for n in ("head", "a", "b", "groups")]
-    )
-    carry_schema = T.StructType(
-        [*key_fields, chunk] + [T.StructField(n, T.LongType()) for n in ("_a", "_b", "_groups")]
-    )
-    keys = [f.name for f in key_fields] + [chunk.name]
+    by_size = isinstance(rule, BySize)
+    keys = [f"_k{i}" for i in range(len(rows.group))]
     order = [f"_o{i}" for i in range(len(rows.order))]
     hot = rows.table.where(F.col(CHUNK).isNotNull()).select(
         *[F.col(k).alias(n) for k, n in zip(rows.group, keys)],
         *[F.col(o).alias(n) for o, n in zip(rows.order, order)],
         F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias("_v"),
     )
+    chunks = written(_chunks(hot, keys, by_size), "chunks")
+    entries = written(_entries(hot, chunks, keys, order, rule), "entries")
+    roots = entries.where("n = 1").select("_id", "n", F.lit(0).cast("bigint").alias("before"))
+    marked = _marked(roots, written(_pointers(entries, chunks, rule), "pointers"))
+    marked = marked.join(entries, ["_id", "n"]).select("_id", "_c", "exit_n", "exit_at", (F.col("before") + F.col("groups")).alias("_groups"))
+    # One row per chunk, with the last marked entry before it.
+    earlier = Window.partitionBy("_id").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("_groups").isNotNull(), F.struct("exit_n", "exit_at", "_groups")), ignorenulls=True).over(earlier)
+    open_rows = F.col("rows_before") - F.col("_last.exit_n") + 1
+    state = (F.col("before") - F.col("_last.exit_at"), F.lit(0).cast("bigint")) if by_size else (open_rows, F.col("_last.exit_at"))
+    none = F.col("_last").isNull()
+    return chunks.join(marked, ["_id", "_c"], "left").withColumn("_last", last).select(
+        *keys[:-1],
+        F.col("_c").alias(keys[-1]),
+        *[F.when(~none, c).alias(n) for c, n in zip(state, ("_a", "_b"))],
+        F.coalesce("_last._groups", F.lit(0)).cast("bigint").alias("_groups"),
+    )
+
+
+def _chunks(hot: DataFrame, keys: list[str], by_size: bool) -> DataFrame:
+    """One row per chunk: a number for the key, the rows and values before the chunk,
+    and the row and the place it ends with."""
+    chunks = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("_v").alias("total"), F.max("_v").alias("last"))
+    in_key = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
+    so_far = in_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = F.first(F.monotonically_increasing_id()).over(so_far)
+    rows, total = F.sum("rows").over(so_far), F.sum("total").over(so_far)
+    return chunks.withColumn("_id", number).select(
+        *keys[:-1],
+        F.col(keys[-1]).alias("_c"),
+        "_id",
+        (rows - F.col("rows")).alias("rows_before"),
+        (total - F.col("total")).alias("before"),
+        rows.alias("end_n"),
+        (total if by_size else F.max("last").over(so_far)).alias("end_place"),
+    )
+
+
+def _entries(hot: DataFrame, chunks: DataFrame, keys: list[str], order: list[str], rule: Rule) -> DataFrame:
+    """Rows that can be the first start of their chunk: the key's row ``n`` and its place,
+    the groups from there on, and the last start in the chunk."""
+    schema = "_id bigint, _c int, n bigint, place bigint, groups bigint, exit_n bigint, exit_at bigint"
 
     def summarise(chunk_rows: pd.DataFrame) -> pd.DataFrame:
+        first = chunk_rows.iloc[0]
+        rows_before, before = int(first["rows_before"]), int(first["before"])
         v = chunk_rows.sort_values(order, na_position="first")["_v"].to_numpy(dtype=np.int64)
         following = rule.next_starts(v).tolist()
         last, count = [0] * len(v), [0] * len(v)
         for i in range(len(v) - 1, -1, -1):
             n = following[i]
             last[i], count[i] = (i, 1) if n >= len(v) else (last[n], count[n] + 1)
-        head = rule.head(v)
-        # With no open group, or a full one, the chunk's first row starts one;
-        # entry i serves a first start at row i.
-        entries = range(min(len(head) + 1, len(v)))
-        opened = [rule.opened(v, last[i]) for i in entries]
-        row = {n: chunk_rows[n].iloc[0] for n in keys}
-        row |= {
-            "rows": len(v),
-            "total": int(v.sum()),
-            "head": head.tolist(),
-            "a": [a for a, _ in opened],
-            "b": [b for _, b in opened],
-            "groups": [count[i] for i in entries],
-        }
-        return pd.DataFrame([row], columns=summary_schema.names)
-
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state, groups = None, 0
-        for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                if row["_begin"]:
-                    state, groups = None, 0
-                out.append(
-                    [row[n] for n in keys] + ([None, None] if state is None else [*state]) + [groups]
-                )
-                v = np.asarray(row["head"], dtype=np.int64)
-                at = 0 if state is None else rule.first_start(state, v)
-                if at < len(row["a"]) and (at < len(v) or len(v) < row["rows"]):
-                    state = row["a"][at], row["b"][at]
-                    groups += row["groups"][at]
-                else:
-                    state = rule.extended(state, row["rows"], row["total"])
-            yield pd.DataFrame(out, columns=carry_schema.names).astype(
-                {"_a": "Int64", "_b": "Int64", "_groups": "Int64"}
-            )
+        size = len(rule.head(v))
+        ends = np.array(last[:size])
+        return pd.DataFrame(
+            {
+                "_id": first["_id"],
+                "_c": first["_c"],
+                "n": rows_before + 1 + np.arange(size),
+                "place": rule.places(v, before)[:size],
+                "groups": count[:size],
+                "exit_n": rows_before + 1 + ends,
+                "exit_at": rule.begins(v, before)[ends],
+            }
+        )
 
+    # One row per chunk: at most rows / rows_per_chunk, plus one per hot key.
+    small = F.broadcast(chunks.withColumnsRenamed({k: f"_small{k}" for k in keys[:-1]}))
+    matched = F.col(keys[-1]) == F.col("_c")
+    for k in keys[:-1]:
+        matched &= F.col(k).eqNullSafe(F.col(f"_small{k}"))
     # A chunk is one group here: its size is what arrange() aimed at.
-    summary = hot.groupBy(*keys).applyInPandas(summarise, summary_schema)
-    in_key = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
-    return (
-        summary.withColumn("_begin", F.row_number().over(in_key) == 1)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(follow, carry_schema)
-    )
+    rows = hot.join(small, matched).select("_id", "_c", "rows_before", "before", *order, "_v")
+    return rows.groupBy("_id", "_c").applyInPandas(summarise, schema)
+
+
+def _pointers(entries: DataFrame, chunks: DataFrame, rule: Rule) -> DataFrame:
+    """From each entry to the one its last start leads to: ``n``, ``next`` and the groups between."""
+    ends = chunks.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_c", "end_n", "end_place"))).alias("ends"))
+    most = ends.agg(F.max(F.size("ends"))).first()[0]
+    wanted = F.col("exit_at") + rule.reach
+    chunk = _count_at_most(F.col("ends.end_place"), wanted - 1, most)
+    by_row = F.lit(None).cast("bigint")
+    if isinstance(rule, ByCountOrSpan):
+        by_row = F.col("exit_n") + rule.rows
+        chunk = F.least(chunk, _count_at_most(F.col("ends.end_n"), by_row - 1, most))
+    # A row past the limit is over at once, but the next start is in a later chunk all the same.
+    chunk = F.greatest(chunk, _count_at_most(F.col("ends._c"), F.col("_c"), most))
+    leads = entries.join(F.broadcast(ends), "_id").withColumns({"to": chunk, "by_row": by_row}).where(F.col("to") < F.size("ends"))
+    asked = leads.select(
+        "_id", F.get("ends", "to")["_c"].alias("_c"), wanted.alias("place"), F.lit(0).alias("is_entry"), "n", "groups",
+        F.when(F.col("by_row") <= F.get("ends", "to")["end_n"], F.col("by_row")).alias("by_row"),
+    )
+    there = entries.select("_id", "_c", "place", F.lit(1).alias("is_entry"), "n")
+    # Backwards, the last entry seen is the first one at or after the place.
+    back = Window.partitionBy("_id", "_c").orderBy(F.desc("place"), F.desc("is_entry"), F.desc("n"))
+    at = F.last(F.when(F.col("is_entry") == 1, F.col("n")), ignorenulls=True).over(back)
+    both = there.unionByName(asked, allowMissingColumns=True).withColumn("at", at).where("is_entry = 0")
+    return both.select("_id", "n", F.least("at", "by_row").alias("next"), "groups")
+
+
+def _marked(marked: DataFrame, pointers: DataFrame) -> DataFrame:
+    """Entries on the way from each key's first row, with the groups before them.
+
+    After ``i`` rounds the first ``2 ** i`` entries are marked and pointers are as long.
+    """
+    while True:
+        step = marked.join(pointers, ["_id", "n"]).select("_id", F.col("next").alias("n"), (F.col("before") + F.col("groups")).alias("before"))
+        step = written(step, "marked")
+        if step.isEmpty():
+            return marked
+        marked = written(marked.unionByName(step), "marked")
+        ahead = pointers.select("_id", F.col("n").alias("next"), F.col("next").alias("then"), F.col("groups").alias("more"))
+        pointers = written(
+            pointers.join(ahead, ["_id", "next"]).select("_id", "n", F.col("then").alias("next"), (F.col("groups") + F.col("more")).alias("groups")),
+            "pointers",
+        )

@@ -129,7 +129,7 @@ def test_pack_greedy(df, rows):
         assert [got[(key, r[1])][0] for r in items] == model
 
 
-@pytest.mark.parametrize("limit", [1, 119, 1000, 100_000])
+@pytest.mark.parametrize("limit", [1, 119, 1000, 20_000, 100_000])
 def test_pack_greedy_limits(df, rows, limit):
     got = result(batching.pack_greedy(df, limit, "size", "k", "i", rows_per_chunk=CHUNK_ROWS), "batch_no")
     for key, items in by_key(rows).items():
