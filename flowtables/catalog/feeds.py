@@ -6,12 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtables.catalog.base import query, table
 from flowtables.operators.csv_records import csv_format, csv_parse, csv_to_map
-from flowtables.operators.markup import (
-    coalesce_text,
-    markup_events,
-    subslice,
-    well_formed,
-)
+from flowtables.operators.markup import markup_events, subslice_text, well_formed
 from flowtables.plans.sizes import scratch_path
 from flowtables.sinks.csv_files import csv_write
 from flowtables.sources.csv_files import csv_scan
@@ -219,8 +214,7 @@ def _order_documents(spark, sf_dir):
     name="subslice",
 )
 def subslice_query(spark, sf_dir):
-    events = markup_events(_order_documents(spark, sf_dir), "doc_id", "xml")
-    inside = subslice(events, ["doc", "elem", "item"], rows_per_chunk=0)
+    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"], attributes=False)
     return inside.where("kind = 'characters'").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -231,8 +225,7 @@ def subslice_query(spark, sf_dir):
     UNION ALL SELECT l_orderkey, 'end_element', 'qty', count(*) FROM lineitem GROUP BY 1"""
 )
 def subslice_tags(spark, sf_dir):
-    events = markup_events(_order_documents(spark, sf_dir), "doc_id", "xml")
-    inside = subslice(events, ["doc", "elem", "item"], rows_per_chunk=0)
+    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"])
     return inside.where("kind <> 'characters'").groupBy("doc_id", "kind", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -242,9 +235,27 @@ def subslice_tags(spark, sf_dir):
     name="coalesce_text",
 )
 def coalesce_text_query(spark, sf_dir):
-    events = markup_events(_order_documents(spark, sf_dir), "doc_id", "xml")
-    merged = coalesce_text(events, 10_000, rows_per_chunk=0)
-    return subslice(merged, ["doc", "flags"], rows_per_chunk=0).select("doc_id", "text")
+    merged = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "flags"], max_text=10_000)
+    return merged.select("doc_id", "text")
+
+
+@query(
+    f"""WITH {_TOKENS}, t AS (
+      SELECT page_id, i, sub, kind, name, text,
+        sum(CASE kind WHEN 'start_element' THEN 1 WHEN 'end_element' THEN -1 ELSE 0 END) OVER w AS depth
+      FROM ev WINDOW w AS (PARTITION BY page_id ORDER BY i, sub)),
+    l AS (
+      SELECT *, last_value(CASE WHEN kind = 'start_element' AND depth = 1 THEN name END IGNORE NULLS) OVER w AS first,
+        last_value(CASE WHEN kind = 'start_element' AND depth = 2 THEN name END IGNORE NULLS) OVER w AS second
+      FROM t WINDOW w AS (PARTITION BY page_id ORDER BY i, sub))
+    SELECT page_id, (i - 1) * 8 + sub AS seq, kind, name, text FROM l
+    WHERE first = 'html' AND second = 'body'
+      AND CASE kind WHEN 'start_element' THEN depth > 2 WHEN 'end_element' THEN depth + 1 > 2 ELSE depth >= 2 END"""
+)
+def page_bodies(spark, sf_dir):
+    """Events inside the body of every page."""
+    inside = subslice_text(table(spark, sf_dir, "pages"), "page_id", "html", ["html", "body"], html=True)
+    return inside.drop("attrs")
 
 
 @query(

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowtables.functions import markup
+from flowtables.functions import intervals, markup
 from flowtables.operators.policy import with_error_policy
 from flowtables.plans.ordered import Arranged, arrange, last_value, previous, run_sum
 from flowtables.plans.pin import pin
@@ -34,36 +35,82 @@ def markup_events(
     start and an end.  With ``html``, script and style hold raw text and void
     elements end at once.  With ``documents``, start and end of each document are
     events too; a text may hold several documents."""
+    split = df.select(F.col(id_col), F.posexplode(_tokens(text_col, html)).alias("_pos", "_token"))
+    events = _events(split, id_col, html)
+    # The events of a document come from one row here.
+    return with_documents(events, id_col, rows_per_chunk=0) if documents else events
+
+
+def _tokens(text_col: str, html: bool) -> Column:
     pattern = markup.HTML_TOKEN if html else markup.XML_TOKEN
+    return F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
+
+
+def _events(split: DataFrame, id_col: str, html: bool, attributes: bool = True) -> DataFrame:
+    """Events of ``_token``, which is at ``_pos``.  Of a token that is ``_within`` a path, an element as
+    a whole, only the text is one; a row with ``_is_run`` has its text in ``_run``."""
     token, kind, body = F.col("_token"), F.col("_kind"), F.col("_body")
-    no_attrs = F.create_map().cast("map<string,string>")
-    split = df.select(
-        F.col(id_col),
-        F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("_pos", "_token"),
-    )
-    tokens = (
-        pin(split, _kind=markup.token_kind(token, html))
-        .where(kind.isNotNull())
-        .withColumn("_name", markup.token_name(token, kind))
-        .withColumn("_text", markup.token_text(token, kind))
-        .withColumn("_body", markup.attribute_body(markup.start_tag(token, kind)))
-        .withColumn("_names", F.when(body.contains("="), markup.attribute_names(body)))
-        .withColumn("_values", F.when(F.col("_names").isNotNull(), markup.attribute_values(body)))
-        .withColumn(
-            "_attrs",
-            F.when(F.size("_names") > 0, markup.attribute_map(F.col("_names"), F.col("_values"))).when(
-                body.isNotNull(), no_attrs
-            ),
+    sliced, merged = "_within" in split.columns, "_run" in split.columns
+    token_kind, text = markup.token_kind(token, html), markup.token_text(token, kind)
+    if merged:
+        token_kind = F.when(F.col("_is_run"), "characters").otherwise(token_kind)
+        text = F.when(F.col("_is_run"), F.col("_run")).otherwise(text)
+    tokens = pin(split, _kind=token_kind).where(kind.isNotNull()).withColumn("_name", markup.token_name(token, kind)).withColumn("_text", text)
+    attrs = F.lit(None).cast("map<string,string>")
+    if attributes:
+        no_attrs = F.create_map().cast("map<string,string>")
+        tokens = (
+            tokens.withColumn("_body", markup.attribute_body(markup.start_tag(token, kind)))
+            .withColumn("_names", F.when(body.contains("="), markup.attribute_names(body)))
+            .withColumn("_values", F.when(F.col("_names").isNotNull(), markup.attribute_values(body)))
         )
-    )
+        attrs = F.when(F.size("_names") > 0, markup.attribute_map(F.col("_names"), F.col("_values"))).when(
+            body.isNotNull(), no_attrs
+        )
+    tokens = tokens.withColumn("_attrs", attrs)
     parts = markup.token_events(kind, F.col("_name"), F.col("_attrs"), F.col("_text"))
-    events = tokens.select(id_col, "_pos", F.posexplode(parts).alias("_sub", "_event")).select(
+    sub = F.col("_sub")
+    if sliced:
+        parts = F.when(F.col("_within"), F.filter(parts, lambda e: e["kind"] == "characters")).otherwise(parts)
+        sub = F.when(F.col("_within"), 1).otherwise(sub)
+    return tokens.select(id_col, "_pos", *["_within"] * sliced, F.posexplode(parts).alias("_sub", "_event")).select(
         id_col,
-        (F.col("_pos").cast("bigint") * _SLOTS + F.col("_sub") + 1).alias("seq"),
+        (F.col("_pos").cast("bigint") * _SLOTS + sub + 1).alias("seq"),
         "_event.*",
     )
-    # The events of a document come from one row here.
-    return with_documents(events, id_col, rows_per_chunk=0) if documents else events
+
+
+def subslice_text(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    path: Sequence[str],
+    html: bool = False,
+    attributes: bool = True,
+    max_text: int | None = None,
+    on_error: str | None = "stop",
+) -> DataFrame:
+    """What :func:`subslice` keeps of :func:`markup_events`, without events for the rest.
+
+    Elements of the path are intervals of the row's token array, and what is inside is a slice
+    of it, so nothing is sorted or shuffled and only those tokens are read.  With ``max_text``,
+    runs of text are merged as :func:`coalesce_text` does it, with its ``error`` column and
+    ``on_error``.  Without ``attributes``, ``attrs`` is null.
+    """
+    rows = df.select(F.col(id_col), F.coalesce(_tokens(text_col, html), F.array().cast("array<string>")).alias("_tokens"))
+    schema = T.StructType([rows.schema[id_col], T.StructField("pieces", T.DataType.fromDDL(intervals.PIECES))])
+    path, merge = list(path), max_text is not None
+    sliced = rows.mapInArrow(lambda batches: intervals.slices(batches, path, html, merge), schema)
+    split = sliced.select(F.col(id_col), F.inline("pieces").alias("_pos", "_token", "_within", "_texts"))
+    if not merge:
+        return _events(split.drop("_texts"), id_col, html, attributes)
+    is_text = lambda t: F.when(t.startswith("<![CDATA["), "cdata").otherwise("characters")
+    run = F.array_join(F.transform("_texts", lambda t: markup.token_text(t, is_text(t))), "")
+    split = split.withColumns({"_is_run": F.col("_texts").isNotNull(), "_run": run}).drop("_texts")
+    merged = _events(split, id_col, html, attributes)
+    long = (F.col("kind") == "characters") & (F.length("text") > max_text)
+    merged = pin(merged, error=F.when(long, F.lit("text_too_long"))).withColumn("text", F.when(F.col("error").isNull(), F.col("text")))
+    return merged if on_error is None else with_error_policy(merged, "error", on_error)
 
 
 def _with_depth(rows: Arranged) -> Arranged:
