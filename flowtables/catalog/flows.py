@@ -13,13 +13,7 @@ from flowtables.operators.batching import (
     pack_greedy,
 )
 from flowtables.operators.presence import connection_sessions
-from flowtables.operators.publish import (
-    FailUntil,
-    PublishSettings,
-    batch_status,
-    publish,
-    publish_metrics,
-)
+from flowtables.operators.publish import attempt_results, batch_status, publish_metrics
 from flowtables.operators.rotation import rotate, rotate_by_size, rotate_by_time
 from flowtables.operators.shaping import bounded_buffer, in_flight, take_while, throttle
 
@@ -267,55 +261,51 @@ def sessions(spark, sf_dir):
     return connection_sessions(events, order=("event_id",))
 
 
-_SETTINGS = PublishSettings(batch_size=100, max_retries=5, wait=False)
-
-# A record whose fault count is f is sent at attempt f + 1, if that is at most 6.
-_PUBLISHED = f"""{_NUMBERED}, p AS (
-  SELECT shard, seq, pos // 100 AS batch_no, CAST(pos % 100 AS INTEGER) AS idx, seq % 8 AS f FROM n)"""
+# Four events are the attempts to send one record: errors and views failed.
+_ATTEMPTS = """attempts AS (
+  SELECT event_id // 4 AS record, event_id // 4 % 4 AS shard, event_id,
+    CASE event_type WHEN 'error' THEN 'refused' WHEN 'view' THEN 'timeout' END AS error FROM events),
+  firsts AS (SELECT record, min(event_id) AS first FROM attempts WHERE error IS NULL GROUP BY record),
+  results AS (
+    SELECT shard, record, first IS NOT NULL AS ok, CAST(count(*) AS INTEGER) AS attempts, arg_max(error, event_id) FILTER (error IS NOT NULL AND first IS NULL) AS error_code
+    FROM attempts LEFT JOIN firsts USING (record) WHERE first IS NULL OR event_id <= first GROUP BY shard, record, first)"""
 
 
-def _faulty(spark, sf_dir):
-    records = log(spark, sf_dir)
-    return records.select("shard", "seq", (F.col("seq") % 8).cast("int").alias("fail_until"))
+def _results(spark, sf_dir):
+    attempts = table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id div 4 as bigint) AS record", "cast(event_id div 4 % 4 as bigint) AS shard", "event_id",
+        "case event_type when 'error' then 'refused' when 'view' then 'timeout' end AS error",
+    )
+    return attempt_results(attempts, ("shard", "record"), "event_id", "error")
 
 
 @query(
-    f"""WITH {_PUBLISHED}
-    SELECT shard, seq, batch_no, idx, f <= 5 AS ok, CAST(least(f + 1, 6) AS INTEGER) AS attempts,
-      CASE WHEN f > 5 THEN 'throttled' END AS error_code,
-      CAST(500 * (pow(2, least(f, 5)) - 1) AS BIGINT) AS waited_ms FROM p"""
+    f"""WITH {_ATTEMPTS}
+    SELECT shard, record, ok, attempts, CASE WHEN NOT ok THEN error_code END AS error_code,
+      CAST(500 * (pow(2, attempts - 1) - 1) AS BIGINT) AS waited_ms FROM results"""
 )
 def publish_results(spark, sf_dir):
-    sent = publish(_faulty(spark, sf_dir), FailUntil("fail_until"), "shard", "seq", _SETTINGS, ["fail_until"])
-    return sent.drop("fail_until")
+    return _results(spark, sf_dir)
 
 
 @query(
-    f"""WITH {_PUBLISHED}
-    SELECT shard, count(*) AS records, count(*) FILTER (f <= 5) AS sent, count(*) FILTER (f > 5) AS failed,
-      count(*) FILTER (f > 0) AS retried,
-      CAST(sum(least(f + 1, 6)) AS BIGINT) AS attempts,
-      string_agg(DISTINCT CASE WHEN f > 5 THEN 'throttled' END, ',') AS error_codes
-    FROM p GROUP BY shard""",
+    f"""WITH {_ATTEMPTS}
+    SELECT shard, count(*) AS records, count(*) FILTER (ok) AS sent, count(*) FILTER (NOT ok) AS failed,
+      count(*) FILTER (attempts > 1) AS retried, CAST(sum(attempts) AS BIGINT) AS attempts,
+      string_agg(DISTINCT CASE WHEN NOT ok THEN error_code END, ',' ORDER BY CASE WHEN NOT ok THEN error_code END) AS error_codes
+    FROM results GROUP BY shard""",
     name="publish_metrics",
 )
 def publish_metrics_query(spark, sf_dir):
-    sent = publish(_faulty(spark, sf_dir), FailUntil("fail_until"), "shard", "seq", _SETTINGS, ["fail_until"])
-    metrics = publish_metrics(sent, "shard")
+    metrics = publish_metrics(_results(spark, sf_dir), "shard")
     return metrics.withColumn("error_codes", F.array_join("error_codes", ","))
 
 
 @query(
-    f"""WITH {_NUMBERED}, p AS (
-      SELECT shard, seq, pos // 10 AS batch_no, CASE WHEN event_type = 'error' THEN user_id % 9 ELSE 0 END AS f FROM n)
-    SELECT shard, batch_no, max(f) <= 5 AS ok, count(*) AS records,
-      CASE WHEN max(f) <= 5 THEN 0 ELSE count(*) END AS failed
-    FROM p GROUP BY shard, batch_no"""
+    f"""WITH {_ATTEMPTS}
+    SELECT shard, record // 40 AS batch_no, bool_and(ok) AS ok, count(*) AS records, count(*) FILTER (NOT ok) AS failed
+    FROM results GROUP BY shard, record // 40"""
 )
 def publish_atomic(spark, sf_dir):
-    records = log(spark, sf_dir).select(
-        "shard", "seq", F.expr("case when event_type = 'error' then user_id % 9 else 0 end").alias("fail_until")
-    )
-    settings = PublishSettings(batch_size=10, max_retries=5, atomic=True, wait=False)
-    sent = publish(records, FailUntil("fail_until"), "shard", "seq", settings, ["fail_until"])
-    return batch_status(sent, "shard")
+    """Batches of ten records, which are sent as a whole or not at all."""
+    return batch_status(_results(spark, sf_dir).withColumn("batch_no", F.expr("record div 40")), "shard")

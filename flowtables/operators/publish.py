@@ -39,12 +39,20 @@ RESULT = T.StructType(
 )
 
 
+def text_bytes(record: dict) -> int:
+    """Bytes of a record's texts (in UTF-8) and binaries."""
+    return sum(len(v.encode()) if isinstance(v, str) else len(v) for v in record.values() if isinstance(v, str | bytes | bytearray))
+
+
 @dataclass(frozen=True)
 class PublishSettings:
     """``policy`` says what happens to records that still fail after
     ``max_retries`` retries: ``stop`` fails the query, ``skip`` reports them as
     failed, ``retry`` goes on sending, with the longest delay so far, until they are
-    taken.  ``records_per_second`` bounds what one task sends.  ``atomic``: one failed record fails, and repeats, its whole batch.
+    taken.  ``atomic``: one failed record fails, and repeats, its whole batch.
+    ``records_per_second`` and ``bytes_per_second`` bound what is sent, attempts included: with
+    ``parallelism``, by all tasks together, else by each task.  The bytes of a record are what
+    ``record_bytes`` says, by default those of its texts and binaries.
     ``wait=False`` only adds the delays up, for transports that need none.
     ``parallelism`` is the number of tasks, each with one request in flight;
     without it Spark chooses."""
@@ -58,14 +66,17 @@ class PublishSettings:
     wait: bool = True
     parallelism: int | None = None
     records_per_second: float | None = None
+    bytes_per_second: float | None = None
+    record_bytes: Callable[[dict], int] = text_bytes
 
     def __post_init__(self):
         if self.batch_size < 1 or self.max_retries < 0:
             raise ValueError("batch_size must be positive and max_retries not negative")
         if self.policy not in ("stop", "skip", "retry"):
             raise ValueError("policy must be 'stop', 'skip' or 'retry'")
-        if self.records_per_second is not None and self.records_per_second <= 0:
-            raise ValueError("records_per_second must be positive")
+        for rate in ("records_per_second", "bytes_per_second"):
+            if getattr(self, rate) is not None and getattr(self, rate) <= 0:
+                raise ValueError(f"{rate} must be positive")
         backoff_ms(1, self.backoff, self.backoff_ms)
 
 
@@ -87,8 +98,35 @@ def publish(
     pass through.  With ``batch``, the number of a row's batch inside its key is
     given in that column (as by ``pack_first_fit``), and no batches are cut.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    requests = ordered_requests(df, key, order, settings, batch, rows_per_chunk)
     payload = list(payload or df.columns)
+    columns = requests.columns[:-1]
+    schema = T.StructType([*requests.schema.fields[:-1], *RESULT.fields])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        send = paced(transport(), settings)
+        for rows, ends in whole_requests(parts):
+            results: list[tuple] = []
+            records = rows.select(payload).to_pylist()
+            for low, high in zip([0, *ends], ends):
+                results += send_request(send, records[low:high], settings)
+            out = [rows.column(c).combine_chunks() for c in columns]
+            yield pa.RecordBatch.from_arrays([*out, *result_columns(results)], names=schema.names)
+
+    return requests.mapInArrow(run, schema)
+
+
+def ordered_requests(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order: str | Sequence[str],
+    settings: PublishSettings,
+    batch: str | None = None,
+    rows_per_chunk: int | None = None,
+) -> DataFrame:
+    """Rows with ``batch_no`` and ``idx``, request after request in each task; ``_last`` marks the
+    last row of each."""
+    keys = [key] if isinstance(key, str) else list(key)
     if batch is None:
         batches = batch_by_count(df, settings.batch_size, keys, order, rows_per_chunk)
     else:
@@ -101,68 +139,54 @@ def publish(
     batches = batches.repartition(*tasks, *keys, "batch_no")
     columns = batches.columns
     in_batch = Window.partitionBy(*keys, "batch_no").orderBy("idx")
-    ordered = (
+    return (
         batches.withColumn("_last", F.lead(F.lit(True)).over(in_batch).isNull())
         .sortWithinPartitions(*keys, "batch_no", "idx")
         .select(*columns, "_last")
     )
-    schema = T.StructType([*batches.schema.fields, *RESULT.fields])
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        send = _paced(transport(), settings.records_per_second)
-        held = None  # start of a request that goes on in the next part
-        for part in parts:
-            rows = pa.Table.from_batches([part])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            last = rows.column("_last").to_numpy()
-            ends = (np.flatnonzero(last) + 1).tolist()
-            done = ends[-1] if ends else 0
-            held = rows.slice(done)
-            if done:
-                yield _send_requests(send, rows.slice(0, done), ends, columns, payload, settings)
-
-    return ordered.mapInArrow(run, schema)
-
-
-def _paced(send: Send, per_second: float | None) -> Send:
+
+def whole_requests(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Rows of whole requests, and where each request ends."""
+    held = None  # start of a request that goes on in the next part
+    for part in parts:
+        rows = pa.Table.from_batches([part])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        ends = (np.flatnonzero(rows.column("_last").to_numpy()) + 1).tolist()
+        done = ends[-1] if ends else 0
+        held = rows.slice(done)
+        if done:
+            yield rows.slice(0, done), ends
+
+
+def result_columns(results: Sequence[tuple]) -> list[pa.Array]:
+    """``RESULT`` as arrays."""
+    ok, attempts, errors, waited = zip(*results)
+    return [pa.array(ok), pa.array(attempts, pa.int32()), pa.array(errors, pa.string()), pa.array(waited, pa.int64())]
+
+
+def paced(send: Send, settings: PublishSettings) -> Send:
     """The same, waiting until what was sent before has had its time."""
-    if per_second is None:
+    share = settings.parallelism or 1
+    limits: list[tuple[float, Callable[[list[dict]], int]]] = []
+    if settings.records_per_second is not None:
+        limits.append((settings.records_per_second / share, len))
+    if settings.bytes_per_second is not None:
+        limits.append((settings.bytes_per_second / share, lambda records: sum(map(settings.record_bytes, records))))
+    if not limits:
         return send
     ready = time.monotonic()
 
-    def paced(records: list[dict], attempt: int) -> Sequence[str | None]:
+    def sent(records: list[dict], attempt: int) -> Sequence[str | None]:
         nonlocal ready
         time.sleep(max(0.0, ready - time.monotonic()))
-        ready = max(ready, time.monotonic()) + len(records) / per_second
+        ready = max(ready, time.monotonic()) + max(amount(records) / rate for rate, amount in limits)
         return send(records, attempt)
 
-    return paced
-
-
-def _send_requests(
-    send: Send,
-    rows: pa.Table,
-    ends: list[int],
-    columns: list[str],
-    payload: list[str],
-    settings: PublishSettings,
-) -> pa.RecordBatch:
-    records = rows.select(payload).to_pylist()
-    results: list[tuple] = []
-    for low, high in zip([0, *ends], ends):
-        results += _send_request(send, records[low:high], settings)
-    ok, attempts, errors, waited = zip(*results)
-    out = [rows.column(c).combine_chunks() for c in columns]
-    out += [
-        pa.array(ok),
-        pa.array(attempts, pa.int32()),
-        pa.array(errors, pa.string()),
-        pa.array(waited, pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(out, names=[*columns, *RESULT.names])
+    return sent
 
 
-def _send_request(send: Send, records: list[dict], settings: PublishSettings) -> list[tuple]:
+def send_request(send: Send, records: list[dict], settings: PublishSettings) -> list[tuple]:
     """Send one request until nothing fails or the retries are used up; returns
     (ok, attempts, error code, waited) per record."""
     errors: list[str | None] = [None] * len(records)
@@ -213,6 +237,36 @@ def publish_metrics(results: DataFrame, key: str) -> DataFrame:
     )
 
 
+def attempt_results(
+    attempts: DataFrame, record: str | Sequence[str], order: str | Sequence[str], error: str, first_ms: int = 500, backoff: str = "exponential"
+) -> DataFrame:
+    """What became of records by a log of attempts: one row a record with ``ok``, ``attempts``,
+    ``error_code`` and ``waited_ms``, as :func:`publish` returns them.
+
+    Attempts count along ``order`` up to the first without ``error``; later ones are not needed and
+    do not count.  A record without such an attempt failed with its last error.
+    """
+    records = [record] if isinstance(record, str) else list(record)
+    orders = [order] if isinstance(order, str) else list(order)
+    at = F.struct(*orders)
+    attempts = attempts.select(*records, at.alias("_at"), F.col(error).alias("_error"))
+    sent = attempts.where("_error IS NULL").groupBy(*records).agg(F.min("_at").alias("_sent"))
+    first = {c: f"_r{i}" for i, c in enumerate(records)}
+    sent = sent.withColumnsRenamed(first)
+    same = F.lit(True)
+    for c, n in first.items():
+        same &= attempts[c].eqNullSafe(sent[n])
+    needed = attempts.join(sent, same, "left").where(F.col("_sent").isNull() | (F.col("_at") <= F.col("_sent")))
+    results = needed.groupBy(*records).agg(
+        F.bool_or(F.col("_error").isNull()).alias("ok"),
+        F.count(F.lit(1)).cast("int").alias("attempts"),
+        F.max_by("_error", "_at").alias("error_code"),  # null if the last one was sent
+    )
+    pauses = F.transform(F.sequence(F.lit(1), F.greatest(F.col("attempts") - 1, F.lit(1))), lambda a: backoff_ms(a, backoff, first_ms))
+    waited = F.aggregate(pauses, F.lit(0).cast("bigint"), lambda total, ms: total + ms)
+    return results.withColumn("waited_ms", F.when(F.col("attempts") > 1, waited).otherwise(F.lit(0)).cast("bigint"))
+
+
 def batch_status(results: DataFrame, key: str) -> DataFrame:
     """All-or-nothing outcome per batch: ``ok`` only if every record was sent."""
     return results.groupBy(key, "batch_no").agg(
@@ -220,17 +274,3 @@ def batch_status(results: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.count_if(~F.col("ok")).alias("failed"),
     )
-
-
-@dataclass(frozen=True)
-class FailUntil:
-    """A transport for trials: a record fails while the attempt number is at most
-    its ``column``."""
-
-    column: str
-    code: str = "throttled"
-
-    def __call__(self) -> Send:
-        return lambda records, attempt: [
-            self.code if attempt <= r[self.column] else None for r in records
-        ]

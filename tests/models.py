@@ -89,3 +89,8 @@ def topic_match(pattern, key):
         return bool(k) and (p[0] == "*" or p[0] == k[0]) and go(p[1:], k[1:])
 
     return go(pattern.split(".") if pattern else [], key.split(".") if key else [])
+
+
+def fail_until(column, code="throttled"):
+    """A transport for trials: a record fails while the attempt number is at most its ``column``."""
+    return lambda: lambda records, attempt: [code if attempt <= r[column] else None for r in records]

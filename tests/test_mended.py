@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from models import fail_until
 from pyspark.sql import functions as F
 
 from flowtables.functions.json import extract_json
@@ -9,7 +10,7 @@ from flowtables.functions.markup import unescape
 from flowtables.functions.topics import topic_matches
 from flowtables.operators.csv_records import csv_parse, csv_to_map
 from flowtables.operators.markup import markup_events, well_formed
-from flowtables.operators.publish import FailUntil, PublishSettings, publish
+from flowtables.operators.publish import PublishSettings, publish
 from flowtables.operators.queues import action_results, after_receive, apply_actions
 from flowtables.operators.rotation import rotate_by_time
 from flowtables.operators.routing import route
@@ -117,7 +118,7 @@ def test_given_batches_are_sent_until_they_are_taken(spark):
     rows = [("k", i, i // 3, 4 if i == 4 else 0) for i in range(8)]
     df = spark.createDataFrame(rows, "k string, i int, bin int, fails int")
     settings = PublishSettings(max_retries=1, policy="retry", wait=False, records_per_second=10_000)
-    got = publish(df, FailUntil("fails"), "k", "i", settings, batch="bin").orderBy("i").collect()
+    got = publish(df, fail_until("fails"), "k", "i", settings, batch="bin").orderBy("i").collect()
     assert [(r.batch_no, r.idx) for r in got] == [(i // 3, i % 3) for i in range(8)]
     assert all(r.ok for r in got) and got[4].attempts == 5 and got[4].waited_ms == 2000
 

@@ -3,14 +3,13 @@
 import random
 
 import pytest
-from models import topic_match
+from models import fail_until, topic_match
 from pyspark.sql import functions as F
 
 from flowtables.functions import rules, topics
 from flowtables.operators.fanout import inbox_sizes, recipients_per_command
 from flowtables.operators.policy import with_error_policy
 from flowtables.operators.publish import (
-    FailUntil,
     PublishSettings,
     batch_status,
     publish,
@@ -166,7 +165,7 @@ def records(spark, faults):
 
 def test_publish_retries_only_what_failed(spark):
     settings = PublishSettings(batch_size=4, max_retries=3, wait=False)
-    sent = publish(records(spark, [0, 1, 3, 4, 0, 9]), FailUntil("fail_until"), "k", "i", settings, rows_per_chunk=2)
+    sent = publish(records(spark, [0, 1, 3, 4, 0, 9]), fail_until("fail_until"), "k", "i", settings, rows_per_chunk=2)
     got = {r["i"]: (r["batch_no"], r["idx"], r["ok"], r["attempts"], r["waited_ms"]) for r in sent.collect()}
     assert got == {
         0: (0, 0, True, 1, 0), 1: (0, 1, True, 2, 500), 2: (0, 2, True, 4, 3500),
@@ -177,12 +176,12 @@ def test_publish_retries_only_what_failed(spark):
 def test_publish_stops_after_the_last_retry(spark):
     settings = PublishSettings(batch_size=4, max_retries=1, policy="stop", wait=False)
     with pytest.raises(Exception, match="records failed after 2 attempts"):
-        publish(records(spark, [0, 5]), FailUntil("fail_until"), "k", "i", settings).collect()
+        publish(records(spark, [0, 5]), fail_until("fail_until"), "k", "i", settings).collect()
 
 
 def test_atomic_batches(spark):
     settings = PublishSettings(batch_size=2, max_retries=1, atomic=True, wait=False)
-    sent = publish(records(spark, [0, 1, 0, 5]), FailUntil("fail_until"), "k", "i", settings)
+    sent = publish(records(spark, [0, 1, 0, 5]), fail_until("fail_until"), "k", "i", settings)
     got = {r["i"]: (r["ok"], r["attempts"]) for r in sent.collect()}
     assert got == {0: (True, 2), 1: (True, 2), 2: (False, 2), 3: (False, 2)}
     status = {r["batch_no"]: (r["ok"], r["failed"]) for r in batch_status(sent, "k").collect()}
@@ -209,7 +208,7 @@ def test_batches_larger_than_an_arrow_batch(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         settings = PublishSettings(batch_size=20, wait=False)
-        sent = publish(records(spark, [0, 2] * 30), FailUntil("fail_until"), "k", "i", settings)
+        sent = publish(records(spark, [0, 2] * 30), fail_until("fail_until"), "k", "i", settings)
         got = sent.collect()
         assert len(got) == 60 and {r["batch_no"] for r in got} == {0, 1, 2}
         assert all(r["attempts"] == r["fail_until"] + 1 for r in got)
