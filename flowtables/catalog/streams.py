@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables.catalog.base import query, table
+from flowtables.catalog.base import log, query, table
 from flowtables.plans.sizes import scratch_path
 from flowtables.sources.log import newest_checkpoints, partition_counts
+from flowtables.sources.partitioned_log import append_log, close_partitions, tail_partitions
 from flowtables.streaming.keyed import (
     bounded_buffer_stream,
     grouped_within_stream,
@@ -14,7 +15,7 @@ from flowtables.streaming.keyed import (
     redeliver_stream,
 )
 from flowtables.streaming.rpc import correlate_rpc_stream
-from flowtables.streaming.runs import run_available, stream_with_checkpoints, tail_log
+from flowtables.streaming.runs import run_available, run_until_closed, stream_with_checkpoints, tail_log
 
 
 def _events(spark, sf_dir):
@@ -25,6 +26,19 @@ def _events(spark, sf_dir):
 
 @query("SELECT CAST(user_id % 4 AS INTEGER) AS shard, count(*) AS events FROM events GROUP BY 1")
 def stream_partition_counts(spark, sf_dir):
+    """A log in four partitions, written in two appends, read to its end with an offset for each."""
+    path = scratch_path(spark, "log")
+    records = log(spark, sf_dir).select("shard", "seq", "body")
+    for half in (0, 1):
+        append_log(records.where(F.col("seq") % 2 == half), path, "shard", "seq")
+    close_partitions(path, ["0", "1", "2", "3"])
+    stream = tail_partitions(spark, path, records.schema, records_per_trigger=1_000_000)
+    return run_until_closed(partition_counts(stream, "shard"), "counts", "complete")
+
+
+@query("SELECT CAST(user_id % 4 AS INTEGER) AS shard, count(*) AS events FROM events GROUP BY 1")
+def stream_file_counts(spark, sf_dir):
+    """The same from a folder of files, read as a stream."""
     shards = _events(spark, sf_dir).select((F.col("user_id") % 4).cast("int").alias("shard"))
     return run_available(partition_counts(shards, "shard"), "counts", "complete")
 

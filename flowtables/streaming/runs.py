@@ -8,9 +8,12 @@ from contextlib import contextmanager, nullcontext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from flowtables.plans.sizes import scratch_path
 from flowtables.sources.log import checkpoint
+from flowtables.sources.partitioned_log import await_closed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -61,6 +64,20 @@ def run_available(
     after a failure is not in the output twice.  In complete mode the last batch
     is the output.
     """
+    return _collected(stream, name, output_mode, keyed, {"availableNow": True}, lambda query: query.awaitTermination())
+
+
+def run_until_closed(
+    stream: DataFrame, name: str, output_mode: str = "append", keyed: bool = False
+) -> DataFrame:
+    """:func:`run_available` for streams of :func:`tail_partitions`: read until all partitions are
+    closed, however long that takes."""
+    return _collected(stream, name, output_mode, keyed, {"processingTime": "0 seconds"}, await_closed)
+
+
+def _collected(
+    stream: DataFrame, name: str, output_mode: str, keyed: bool, trigger: dict, wait: Callable[[StreamingQuery], None]
+) -> DataFrame:
     spark = stream.sparkSession
     path = scratch_path(spark, name)
 
@@ -68,16 +85,15 @@ def run_available(
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
 
     with rocksdb_state(spark) if keyed else nullcontext():
-        query = (
+        wait(
             stream.writeStream.outputMode(output_mode)
             .option("checkpointLocation", f"{path}/state")
-            .trigger(availableNow=True)
+            .trigger(**trigger)
             .foreachBatch(keep)
             .start()
         )
-        query.awaitTermination()
-    read = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", f"{path}/out")
-    out = read.parquet(f"{path}/out")
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    out = spark.read.schema(schema).option("basePath", f"{path}/out").parquet(f"{path}/out")
     if output_mode == "complete":
         last = out.agg(F.max("batch")).scalar()
         out = out.where(F.col("batch") == last)
