@@ -63,6 +63,28 @@ def stream_checkpoints(spark, sf_dir):
     return newest_checkpoints(spark.read.parquet(f"{path}/checkpoints").drop("batch"))
 
 
+@query(
+    """WITH RECURSIVE o AS (
+      SELECT event_id, user_id, ts, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+    g AS (
+      SELECT event_id, user_id, rn, ts, 1 AS group_no, 1 AS cnt, t AS t0 FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.event_id, o.user_id, o.rn, o.ts,
+        CASE WHEN g.cnt < 5 AND o.t < g.t0 + 43200000000 THEN g.group_no ELSE g.group_no + 1 END,
+        CASE WHEN g.cnt < 5 AND o.t < g.t0 + 43200000000 THEN g.cnt + 1 ELSE 1 END,
+        CASE WHEN g.cnt < 5 AND o.t < g.t0 + 43200000000 THEN g.t0 ELSE o.t END
+      FROM g JOIN o ON o.user_id = g.user_id AND o.rn = g.rn + 1)
+    SELECT * EXCLUDE (last_no) FROM (SELECT user_id, CAST(group_no AS BIGINT) AS group_no, max(group_no) OVER (PARTITION BY user_id) AS last_no, min(ts) AS first_at, max(ts) AS last_at,
+      CAST(count(*) AS INTEGER) AS "rows", string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS items
+    FROM g GROUP BY user_id, group_no) WHERE "rows" = 5 OR group_no < last_no"""
+)
+def stream_grouped_by_key(spark, sf_dir):
+    """Groups by the time of each user, a few files at a time: all but the last, open ones."""
+    groups = grouped_within_stream(_events(spark, sf_dir), 5, 12 * 3600, "user_id", "event_id", "ts")
+    out = run_available(groups, "own_groups", keyed=True).drop("late")
+    return out.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
+
+
 @query(
     """WITH RECURSIVE o AS (
       SELECT event_id, user_id, ts, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),

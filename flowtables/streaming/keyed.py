@@ -35,58 +35,75 @@ def _fields(df: DataFrame, columns: list[str]) -> list[T.StructField]:
 
 
 class _Groups(StatefulProcessor):
-    def __init__(self, n: int, span: int, row: Row):
-        self.n, self.span, self.row = n, span, row
+    """The open group of a key: number, first and last time, items; and the key's own progress."""
+
+    def __init__(self, n: int, span: int, row: Row, by_watermark: bool, idle_ms: int | None):
+        self.n, self.span, self.row, self.by_watermark, self.idle_ms = n, span, row, by_watermark, idle_ms
 
     def init(self, handle):
         self.handle = handle
         self.open = handle.getValueState(
-            "open", "group_no bigint, first_us bigint, last_us bigint, items array<bigint>"
+            "open", "group_no bigint, first_us bigint, last_us bigint, items array<bigint>, seen_us bigint, timer_ms bigint"
         )
 
     def _closed(self, key, state) -> Row:
         no, first, last, items = state
         return self.row(key, no, _time(first, 1_000_000), _time(last, 1_000_000), len(items), items, False)
 
-    def _deadline(self, state) -> int:
-        return -(-(state[1] + self.span) // 1000)
+    def _timer(self, state, now_ms: int) -> int | None:
+        """When to look again, if no row comes."""
+        if not state[3]:
+            return None
+        if self.by_watermark:
+            return -(-(state[1] + self.span) // 1000)
+        return None if self.idle_ms is None else now_ms + self.idle_ms
+
+    def _set(self, before: int | None, after: int | None) -> None:
+        if before != after:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if after is not None:
+                self.handle.registerTimer(after)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = self.open.get()
-        state = None if state is None else (state[0], state[1], state[2], list(state[3]))
-        before = self._deadline(state) if state and state[3] else None
+        held = self.open.get()
+        state, seen, timer = (0, 0, 0, []), None, None
+        if held is not None:
+            state, seen, timer = (held[0], held[1], held[2], list(held[3])), held[4], held[5]
         out = []
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        for row in _in_order(rows, "order_"):
-            if 0 < watermark and row["us_"] < watermark:
-                at = _time(row["us_"], 1_000_000)
-                out.append(self.row(key[0], None, at, at, 1, [row["order_"]], True))
+        if self.by_watermark:
+            behind = timerValues.getCurrentWatermarkInMs() * 1000 or None
+        for row in _in_order(rows, "order_") if self.by_watermark else sorted(rows, key=lambda r: (r["us_"], r["order_"] is None, r["order_"])):
+            at, item = row["us_"], row["order_"]
+            limit = behind if self.by_watermark else seen
+            if limit is not None and at < limit:
+                if item is not None:
+                    out.append(self.row(key[0], None, _time(at, 1_000_000), _time(at, 1_000_000), 1, [item], True))
                 continue
-            if state and state[3] and (row["us_"] >= state[1] + self.span):
+            seen = at
+            if state[3] and at >= state[1] + self.span:
                 out.append(self._closed(key[0], state))
                 state = (state[0], 0, 0, [])
-            if not state or not state[3]:
-                state = ((state[0] if state else 0) + 1, row["us_"], row["us_"], [])
-            state = (state[0], state[1], row["us_"], [*state[3], row["order_"]])
+            if item is None:  # only time has passed
+                continue
+            if not state[3]:
+                state = (state[0] + 1, at, at, [])
+            state = (state[0], state[1], at, [*state[3], item])
             if len(state[3]) == self.n:
                 out.append(self._closed(key[0], state))
                 state = (state[0], 0, 0, [])
-        after = self._deadline(state) if state and state[3] else None
-        if before != after:
-            if before is not None:
-                self.handle.deleteTimer(before)
-            if after is not None:
-                self.handle.registerTimer(after)
-        if state:
-            self.open.update(state)
+        after = self._timer(state, timerValues.getCurrentProcessingTimeInMs())
+        self._set(timer, after)
+        self.open.update((*state, seen, after))
         yield from out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = self.open.get()
+        held = self.open.get()
         out = []
-        if state and len(state[3]) and self._deadline(state) <= expiredTimerInfo.getExpiryTimeInMs():
-            out.append(self._closed(key[0], (state[0], state[1], state[2], list(state[3]))))
-            self.open.update((state[0], 0, 0, []))
+        if held is not None and held[5] is not None and held[5] <= expiredTimerInfo.getExpiryTimeInMs():
+            if len(held[3]):
+                out.append(self._closed(key[0], (held[0], held[1], held[2], list(held[3]))))
+            self.open.update((held[0], 0, 0, [], held[4], None))
         yield from out
 
     def close(self):
@@ -94,19 +111,27 @@ class _Groups(StatefulProcessor):
 
 
 def grouped_within_stream(
-    df: DataFrame, n: int, seconds: float, key: str, order: str, at: str, delay: str
+    df: DataFrame, n: int, seconds: float, key: str, order: str, at: str, delay: str | None = None, idle: float | None = None
 ) -> DataFrame:
-    """Groups of at most ``n`` rows and less than ``seconds`` long, emitted when
-    they close: by count, by a later row of the key, or when the watermark
-    (``delay`` behind the latest ``at``) passes the end of their time.
-
-    Columns: the key, ``group_no`` from 1, ``first_at``, ``last_at``, ``rows``,
-    ``items``, the values of the BIGINT column ``order``, and ``late``.  The groups are
-    those of ``grouped_within(mode="open")`` as long as no key is more than ``delay``
-    behind the others.  The watermark is one for all keys: a row that comes after it
-    can be in no group any more, and is a row of its own with ``late`` true and no
-    ``group_no``.  No row is lost, whatever the sizes of the micro-batches.
+    """Groups of at most ``n`` rows and less than ``seconds`` long, emitted when they close.
+
+    Each key has a time of its own: that of its latest row.  A group closes by count, or by a
+    later row of its key.  A row whose ``order`` is null is in no group; it only says that the key
+    has come to that time.  So the groups are those of ``grouped_within(mode="open")``, but for the
+    open one at the end, however keys are interleaved and whatever the sizes of the micro-batches,
+    as long as the rows of a key come in order.  A row before its key's time is a row of its own,
+    with ``late`` true and no ``group_no``.  With ``idle``, a group also closes when its key has
+    had no row for so many seconds of the cluster's clock, which is not repeatable.
+
+    With ``delay`` there is one time for all keys instead, the watermark: groups close by count, by a
+    later row, or when the watermark (``delay`` behind the latest ``at``) passes the end of their
+    time, and rows behind it are ``late``.
+
+    Columns: the key, ``group_no`` from 1, ``first_at``, ``last_at``, ``rows``, ``items``, the values
+    of the BIGINT column ``order``, and ``late``.  No row is lost.
     """
+    if delay is not None and idle is not None:
+        raise ValueError("give delay or idle, not both")
     schema = T.StructType(
         [
             *_fields(df, [key]),
@@ -120,11 +145,15 @@ def grouped_within_stream(
     )
     marked = df.select(
         key, F.col(order).alias("order_"), F.col(at).cast("timestamp").alias("at_"), micros(at).alias("us_")
-    ).withWatermark("at_", delay)
+    )
+    if delay is not None:
+        marked = marked.withWatermark("at_", delay)
     # Without the time column Spark does not drop late rows; they are told here.
     marked = marked.select(key, "order_", "us_")
-    processor = _Groups(n, int(seconds * 1_000_000), Row(*schema.names))
-    return marked.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")
+    idle_ms = None if idle is None else int(idle * 1000)
+    processor = _Groups(n, int(seconds * 1_000_000), Row(*schema.names), delay is not None, idle_ms)
+    mode = "EventTime" if delay is not None else "None" if idle is None else "ProcessingTime"
+    return marked.groupBy(key).transformWithState(processor, schema, "Append", mode)
 
 
 class _Buffer(StatefulProcessor):

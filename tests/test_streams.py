@@ -1,12 +1,14 @@
 """Streaming operators over several micro-batches equal their batch forms."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from models import groups_within
 from pyspark.sql import functions as F
 
+from flowtables.operators.batching import grouped_within
 from flowtables.plans.sizes import scratch_path
 from flowtables.sources.log import newest_checkpoints, partition_counts
 from flowtables.streaming.keyed import (
@@ -16,7 +18,7 @@ from flowtables.streaming.keyed import (
     redeliver_stream,
 )
 from flowtables.streaming.rpc import correlate_rpc_stream
-from flowtables.streaming.runs import run_available, stream_with_checkpoints, tail_log
+from flowtables.streaming.runs import rocksdb_state, run_available, stream_with_checkpoints, tail_log
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "k string, i bigint, ts timestamp_ntz, kind string"
@@ -86,6 +88,59 @@ def test_groups_close_by_count_time_and_watermark(spark, folder, rows):
     assert got == expected
 
 
+def interleaved(spark, tmp_path):
+    """Keys of different pace, in files of which each has rows of some keys only."""
+    values = [("abcd"[k], 100 * k + i, i * (k + 1) * 3 + 7 * (i // 5)) for k in range(4) for i in range(40)]
+    for n in range(8):
+        own = [(k, i, T0 + timedelta(seconds=t)) for k, i, t in values if n in (i % 100 // 10 * 2, i % 100 // 10 * 2 + 1) and (n % 2 == "abcd".index(k) % 2)]
+        spark.createDataFrame(own, "k string, i long, ts timestamp").coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+    return spark.createDataFrame([(k, i, T0 + timedelta(seconds=t)) for k, i, t in values], "k string, i long, ts timestamp")
+
+
+def test_groups_by_the_time_of_each_key(spark, tmp_path):
+    table = interleaved(spark, tmp_path)
+    batch = grouped_within(table, 4, 12, "k", "i", "ts").groupBy("k", "group_no").agg(F.sort_array(F.collect_list("i")).alias("items"))
+    batch = {(r.k, r.group_no): r["items"] for r in batch.collect()}
+    last = {k: max(no for x, no in batch if x == k) for k, _ in batch}
+    closed = {(k, no): items for (k, no), items in batch.items() if no < last[k] or len(items) == 4}
+    for max_files in (1, 3, 1000):
+        stream = tail_log(spark, str(tmp_path / "part*"), table.schema, max_files=max_files)
+        out = run_available(grouped_within_stream(stream, 4, 12, "k", "i", "ts"), f"own_{max_files}", keyed=True).collect()
+        assert not any(r.late for r in out)
+        assert {(r.k, r.group_no): r["items"] for r in out} == closed
+
+
+def test_marks_of_time_close_groups_and_rows_before_it_are_late(spark, tmp_path):
+    schema = "k string, i long, ts timestamp"
+    parts = [[("a", 1, 0), ("a", 2, 5)], [("b", 3, 100), ("a", None, 30)], [("a", 4, 29), ("a", 5, 31)], [("a", None, 43), ("b", None, 101)]]
+    for n, part in enumerate(parts):
+        rows = [(k, i, T0 + timedelta(seconds=t)) for k, i, t in part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+    stream = tail_log(spark, str(tmp_path / "part*"), spark.createDataFrame([], schema).schema, max_files=1)
+    out = run_available(grouped_within_stream(stream, 9, 12, "k", "i", "ts"), "marks", keyed=True).collect()
+    assert sorted((r.k, r.group_no or 0, r["items"], r.late) for r in out) == [
+        ("a", 0, [4], True), ("a", 1, [1, 2], False), ("a", 2, [5], False),
+    ]
+
+
+def test_idle_keys_close_by_the_clock(spark, tmp_path):
+    rows = [("a", 1, T0), ("b", 2, T0)]
+    spark.createDataFrame(rows, "k string, i long, ts timestamp").write.parquet(str(tmp_path / "part0"))
+    stream = tail_log(spark, str(tmp_path / "part*"), spark.read.parquet(str(tmp_path / "part0")).schema)
+    groups, out = grouped_within_stream(stream, 9, 12, "k", "i", "ts", idle=0.5), []
+    with rocksdb_state(spark):
+        query = groups.writeStream.option("checkpointLocation", str(tmp_path / "state")).foreachBatch(lambda b, n: out.extend(b.collect())).trigger(processingTime="1 second").start()
+        try:
+            deadline = time.monotonic() + 60
+            while len(out) < 2 and time.monotonic() < deadline:
+                time.sleep(0.2)
+        finally:
+            query.stop()
+    assert sorted((r.k, r.group_no, r["items"]) for r in out) == [("a", 1, [1]), ("b", 1, [2])]
+    with pytest.raises(ValueError, match="not both"):
+        grouped_within_stream(stream, 9, 12, "k", "i", "ts", "1 second", 1)
+
+
 @pytest.mark.parametrize("strategy", ["drop_head", "drop_tail", "drop_new", "drop_buffer"])
 def test_buffer_with_reads(spark, folder, rows, strategy):
     log = tail(spark, folder).withColumn("poll", F.col("kind") == "get")
