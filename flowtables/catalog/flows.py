@@ -14,8 +14,9 @@ from flowtables.operators.batching import (
 )
 from flowtables.operators.presence import connection_sessions
 from flowtables.operators.publish import attempt_results, batch_status, publish_metrics
-from flowtables.operators.rotation import rotate, rotate_by_size, rotate_by_time
+from flowtables.operators.rotation import rotate, rotate_by_automaton, rotate_by_size, rotate_by_time
 from flowtables.operators.shaping import bounded_buffer, in_flight, take_while, throttle
+from flowtables.plans.automata import Automaton
 
 _NUMBERED = f"""{LOG}, n AS (
   SELECT *, row_number() OVER (PARTITION BY shard ORDER BY seq) - 1 AS pos,
@@ -227,6 +228,26 @@ def rotate_trigger(spark, sf_dir):
     return rotate(events, F.col("event_type") == "signup", "user_id", "event_id").drop("event_type")
 
 
+# A signup opens a file if there was an error since the last file.
+_AFTER_ERRORS = Automaton("clean", {("clean", "error"): ("dirty", False), ("dirty", "signup"): ("clean", True)})
+
+
+@query(
+    """WITH marks AS (
+      SELECT event_id, user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before
+      FROM events WHERE event_type IN ('error', 'signup')),
+    o AS (
+      SELECT event_id, user_id, CASE WHEN event_type = 'signup' AND before = 'error' THEN 1 ELSE 0 END AS fires FROM marks
+      UNION ALL SELECT event_id, user_id, 0 FROM events WHERE event_type NOT IN ('error', 'signup')),
+    f AS (SELECT event_id, user_id, CAST(sum(fires) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS file_no FROM o)
+    SELECT *, row_number() OVER (PARTITION BY user_id, file_no ORDER BY event_id) AS row_no FROM f WHERE file_no > 0"""
+)
+def rotate_automaton(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    files = rotate_by_automaton(events, _AFTER_ERRORS, F.col("event_type"), "user_id", "event_id")
+    return files.drop("event_type")
+
+
 @query(
     f"""WITH {LOG}, h AS (SELECT shard, seq, 'stream-' || strftime(ts, '%Y-%m-%d_%H') || '.log' AS file_name FROM log),
     b AS (SELECT *, CASE WHEN lag(file_name) OVER (PARTITION BY shard ORDER BY seq) = file_name THEN 0 ELSE 1 END AS o FROM h),

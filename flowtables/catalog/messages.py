@@ -15,7 +15,7 @@ from flowtables.operators.queues import (
     validate_actions,
     validate_attribute_names,
 )
-from flowtables.operators.routing import route, route_replies, unroutable
+from flowtables.operators.routing import route, route_lists, route_replies
 from flowtables.operators.rpc import correlate_batch, correlate_rpc
 from flowtables.operators.settlement import redelivered, settle
 from flowtables.operators.shaping import in_flight
@@ -132,8 +132,9 @@ def route_batches(spark, sf_dir):
     name="unroutable",
 )
 def unroutable_query(spark, sf_dir):
-    messages, routed = _routed(spark, sf_dir)
-    return unroutable(messages, routed).select("message_id", "exchange", "routing_key")
+    """Messages are read once: each has the list of its queues."""
+    lists = route_lists(_messages(spark, sf_dir), *_topology(spark))
+    return lists.where(F.size("queues") == 0).select("message_id", "exchange", "routing_key")
 
 
 @query(

@@ -112,3 +112,26 @@ def fixed_count(pattern: Column) -> Column:
     n = F.size(all_words)
     hashes = F.size(F.filter(all_words, lambda w: w == "#"))
     return F.when(hashes > 0, F.lit(-1) - (n - hashes)).otherwise(n)
+
+
+def index_entry(pattern: str) -> tuple[int, str | None, int, str | None]:
+    """Mask, index key, number of words and (where these do not decide) regular expression of one
+    pattern: what the columns above give, for bindings that are on the driver anyway."""
+    every = pattern.split(".") if pattern else []
+    n, hashes = len(every), every.count("#")
+    literal = lambda w: w not in ("*", "#")
+    first = every[: every.index("#")] if hashes else every
+    turned = every[::-1]
+    last = turned[: turned.index("#")] if hashes else turned
+    bits = lambda fixed, shift: sum(1 << (shift + i) for i, w in enumerate(fixed[:INDEXED_WORDS]) if w != "*")
+    mask = bits(first, 0) or bits(last, INDEXED_WORDS) or (ANYWHERE if any(map(literal, every)) else 0)
+    if mask == ANYWHERE:
+        key = next(filter(literal, every)) + "."
+    else:
+        chosen = [every[i] for i in range(INDEXED_WORDS) if mask >> i & 1] + [turned[i] for i in range(INDEXED_WORDS) if mask >> (INDEXED_WORDS + i) & 1]
+        key = "".join(f"{w}." for w in chosen)
+    ends = hashes == 1 and (every[0] == "#" or every[-1] == "#") and n <= INDEXED_WORDS + 1
+    exact = (not hashes and n <= INDEXED_WORDS) or ends
+    pieces = {"*": r"[^.]*\.", "#": r"([^.]*\.)*"}
+    regex = None if exact else "^" + "".join(pieces.get(w, rf"\Q{w}\E\.") for w in every) + "$"
+    return mask, key, -1 - (n - hashes) if hashes else n, regex

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.times import hour_file_name
 from flowtables.operators.batching import pack_greedy
+from flowtables.plans.automata import Automaton, run_automaton
 from flowtables.plans.ordered import Arranged, arrange, previous, run_count, run_max, run_sum
 
 Names = str | Sequence[str]
@@ -25,6 +26,21 @@ def rotate(
     return _number_rows(rows, "_open")
 
 
+def rotate_by_automaton(
+    df: DataFrame,
+    machine: Automaton,
+    symbol: Column,
+    key: Names,
+    order: Names,
+    rows_per_chunk: int | None = None,
+) -> DataFrame:
+    """:func:`rotate` with a trigger that remembers: a new file starts at each row at which the
+    automaton fires.  It reads ``symbol``, and starts anew with each key."""
+    marked = df.withColumn("_symbol_of", symbol.cast("string"))
+    fired = run_automaton(arrange(marked, key, order, rows_per_chunk), machine, "_symbol_of", "_state", "_fires")
+    return rotate(fired.drop("_symbol_of", "_state"), F.col("_fires"), key, order, rows_per_chunk).drop("_fires")
+
+
 def _number_rows(rows: Arranged, opens: str) -> DataFrame:
     rows = rows.scan(file_no=run_sum(opens), _n=run_count())
     rows = rows.with_columns(_at=F.when(F.col(opens) == 1, F.col("_n")))

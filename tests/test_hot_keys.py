@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from flowtables.operators import batching, markup, presence, rotation, settlement, shaping
 from flowtables.plans import ordered
+from flowtables.plans.automata import Automaton
 from flowtables.sources import log
 
 CHUNK_ROWS = 40
@@ -260,3 +261,23 @@ def test_markup_of_one_endless_document(spark):
         kinds = [r["kind"] for r in ends.orderBy("seq").collect()]
         assert kinds[0] == "start_document" and kinds[-1] == "end_document" and kinds.count("end_document") == 1
         assert markup.well_formed(events, rows_per_chunk=chunk).first()["well_formed"]
+
+
+def test_a_trigger_that_remembers(df, rows):
+    # a file opens at every third b, unless an a came in between
+    machine = Automaton("0", {("0", "b"): ("1", False), ("1", "b"): ("2", False), ("2", "b"): ("0", True), ("1", "a"): ("0", False), ("2", "a"): ("0", False)})
+    got = {}
+    for chunk in (CHUNK_ROWS, 0):
+        got[chunk] = result(rotation.rotate_by_automaton(df, machine, F.col("kind"), "k", "i", rows_per_chunk=chunk), "file_no", "row_no")
+    assert got[CHUNK_ROWS] == got[0]
+    want = {}
+    for key, items in by_key(rows).items():
+        count, file_no, row_no = 0, 0, 0
+        for r in items:
+            count = 0 if r[4] == "a" else count + (r[4] == "b")
+            row_no += 1
+            if count == 3:
+                count, file_no, row_no = 0, file_no + 1, 1
+            if file_no:
+                want[(key, r[1])] = (file_no, row_no)
+    assert got[0] == want

@@ -16,7 +16,7 @@ from flowtables.operators.publish import (
     publish_once,
 )
 from flowtables.operators.queues import apply_actions, queue_receive
-from flowtables.operators.routing import route, route_replies, unroutable
+from flowtables.operators.routing import route, route_lists, route_replies, unroutable
 from flowtables.operators.rpc import correlate_batch, correlate_rpc
 
 
@@ -152,6 +152,49 @@ def test_rpc_counts(spark):
     assert got == {"a": (2, 1, False), "b": (1, 2, True), "c": (1, 0, False), "d": (0, 0, True)}
 
 
+def bound(spark, bindings):
+    exchanges = spark.createDataFrame([("d", "direct"), ("f", "fanout"), ("t", "topic"), ("h", "headers")], "exchange string, type string")
+    return exchanges, spark.createDataFrame(bindings, "queue string, exchange string, routing_key string, args map<string,string>")
+
+
+def test_rows_and_probes_route_alike(spark, capsys):
+    draw = random.Random(4)
+    word = lambda: draw.choice(["a", "b", "c", "*", "#"])
+    bindings = [(f"t{i}", "t", ".".join(word() for _ in range(draw.choice([1, 2, 2, 3, 6]))), None) for i in range(12)]
+    bindings = [b for b in bindings if not set(b[2].split(".")[1:-1]) & {"a", "b", "c"} or "#" not in b[2]]
+    bindings += [("d1", "d", "a.b", {}), ("d1", "d", "b", None), ("f1", "f", "x", None), ("f2", "f", None, None), ("empty", "d", None, None)]
+    bindings += [("h1", "h", "", {"k": "1"}), ("h2", "h", "", {"k": "1", "m": "2"}), ("h3", "h", "", {"k": "1", "m": "2", "x-match": "any"}),
+                 ("h4", "h", "", {"k": None}), ("h5", "h", "", {"k": None, "m": "2", "x-match": "any"}), ("h6", "h", "", {}), ("h7", "h", "", {"m": "2", "k": None})]
+    keys = [None, "", "a", "b", "a.b", "b.a.c", "a.b.c.a.b.c", "c.c"]
+    headers = [None, {}, {"k": "1"}, {"k": "2"}, {"k": None}, {"m": "2"}, {"k": "1", "m": "2"}, {"k": "9", "m": "2"}]
+    rows = [(i, e, k, h) for i, (e, k, h) in enumerate((e, k, h) for e in ("d", "f", "t", "h", "none", None) for k in keys for h in headers)]
+    messages = spark.createDataFrame(rows, "message_id int, exchange string, routing_key string, headers map<string,string>")
+    pairs = lambda d: sorted((r.message_id, r.queue) for r in d.select("message_id", "queue").collect())
+    by_row = route(messages, *bound(spark, bindings))
+    by_row.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    want = pairs(by_row)
+    assert len(set(want)) == len(want)
+    assert pairs(route(messages, *bound(spark, bindings), broadcast_rows=1)) == want
+    reached = {(r[3] or {}).get("k", "missing"): {q for m, q in want if m == r[0]} for r in rows if r[1] == "h" and r[2] == "a" and len(r[3] or {}) == 1}
+    assert {"h1", "h3", "h4", "h5", "h6"} <= reached["1"] and reached["2"] == {"h4", "h5", "h6"} == reached[None]
+    lists = route_lists(messages, *bound(spark, bindings)).collect()
+    assert len(lists) == len(rows) and sorted((r.message_id, q) for r in lists for q in r.queues) == want
+    listed = route_lists(messages, *bound(spark, bindings), broadcast_rows=1).collect()
+    assert sorted((r.message_id, q) for r in listed for q in r.queues) == want and len(listed) == len(rows)
+
+
+@pytest.mark.parametrize("pattern", ["", "a", "*", "#", "a.b", "*.b", "#.b", "a.#", "a.*.c", "*.x.#", "#.x.*", "#.x.#", "a.b.c.d", "a.b.c.d.e", "#.#", "a.#.b", "*.*", "a..b", "#.a.b.c.d.e"])
+def test_entries_of_patterns(spark, pattern):
+    p = F.col("p")
+    row = spark.createDataFrame([(pattern,)], "p string").select(
+        topics.index_mask(p).alias("mask"), topics.index_key(topics.words(p), topics.index_mask(p)).alias("key"),
+        topics.fixed_count(p).alias("words"), F.when(~topics.exact_mask(p), topics.topic_regex(p)).alias("regex"),
+    ).first()
+    assert topics.index_entry(pattern) == tuple(row)
+
+
 def test_batch_entries_meet_their_own_result(spark):
     requests = spark.createDataFrame([(0, i, f"m{i}") for i in range(3)], "batch_no int, idx int, body string")
     responses = spark.createDataFrame([(0, 2, "r2"), (0, 0, "r0")], "batch_no int, idx int, result string")
