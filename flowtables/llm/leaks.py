@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowtables.llm.columns import apart
 from flowtables.llm.words import mix64, pieces, shingles, word_hashes
 from flowtables.plans.sizes import written
 
@@ -183,5 +184,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """``docs`` without the rows whose text holds an item.  A row with a null id stays if
     no row with a null id holds one."""
     leaks = find_leaks(docs, benchmark, doc_id=doc_id, text=text, **settings).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col(doc_id).eqNullSafe(F.col("_leak")), "left_anti")
+    named, own = apart(docs)
+    return named.join(leaks, F.col(own[doc_id]).eqNullSafe(F.col("_leak")), "left_anti").toDF(*docs.columns)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flowtables.llm.columns import apart
 from flowtables.plans.sizes import written
 
 #: Documents that are rounded together; each such block leaves one fraction at most.
@@ -179,6 +180,8 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     Rows meet their number by document id, source and hash of the text; where several
     rows agree in all three, they are told apart by their place among them."""
     taken = mix(docs, doc_id=doc_id, text=text, source=source, **settings)
+    names, (docs, named) = docs.columns, apart(docs)
+    doc_id, text, source = (named[c] for c in (doc_id, text, source))
     keys = {"_id": "doc_id", "_source": "source", "_tie": "tie"}
     lists = taken.groupBy(*[F.col(v).alias(k) for k, v in keys.items()]).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
     own = docs.columns
@@ -188,7 +191,7 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     place = F.row_number().over(Window.partitionBy("_id", "_source", "_tie").orderBy("_tie"))
     several = F.when(F.size("_copies") > 1, F.get("_copies", place - 1)).otherwise(F.get("_copies", F.lit(0)))
     counted = joined.withColumn("_n", several).where("_n > 0")
-    return counted.select(*own, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy")
+    return counted.select(*own, F.explode(F.sequence(F.lit(1), "_n")).alias("_copy")).drop("_copy").toDF(*names)
 
 
 def mix_digests(docs: DataFrame) -> DataFrame:

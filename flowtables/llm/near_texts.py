@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowtables.llm.columns import apart
 from flowtables.llm.components import connected_components
 from flowtables.llm.words import mix64, pieces, shingles, word_hashes
 from flowtables.plans.sizes import written
@@ -334,7 +335,9 @@ def join_near_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """``docs`` with one row of each group that ``join_near_texts`` finds, all columns kept.  The rows
     that go are named by id and text; of several rows that agree in both, and are kept,
-    the first by all columns stays."""
+    the first by all columns, as JSON, stays."""
+    names, (docs, own) = docs.columns, apart(docs)
+    doc_id, text = own[doc_id], own[text]
     judged = join_near_texts(docs, doc_id, text, **settings)
     gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th")).distinct()
     hashed = docs.withColumn("_h", F.xxhash64(text))
@@ -342,8 +345,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
     # only rows with words can be copies; the text's hash stands for the text
     twins = judged.where("kept and n_links > 0").groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1")
     if twins.isEmpty():
-        return left.drop("_h")
+        return left.drop("_h").toDF(*names)
     several = twins.select(F.col("doc_id").alias("_twin"), F.col("th").alias("_th"))
     same = F.col(doc_id).eqNullSafe(F.col("_twin")) & (F.col("_h") == F.col("_th"))
-    first = left.join(several, same, "left_semi").dropDuplicates([doc_id, "_h"])
-    return left.join(several, same, "left_anti").unionByName(first).drop("_h")
+    every = F.struct(*docs.columns)
+    first = left.join(several, same, "left_semi").groupBy(doc_id, "_h").agg(F.min_by(every, F.to_json(every)).alias("_row")).select("_row.*")
+    return left.join(several, same, "left_anti").drop("_h").unionByName(first).toDF(*names)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flowtables.llm.columns import apart
 from flowtables.plans.pin import pin
 from flowtables.plans.sizes import written
 
@@ -181,9 +182,12 @@ def shard(
 def shard_documents(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``shard`` by the hash of the text, so that equal texts stay together; the size is
     the text's bytes plus one.  All columns of ``docs`` are kept."""
-    body = F.col(text)
+    kept = docs.drop("shard", "slot")
+    docs, own = apart(docs)
+    body = F.col(own[text])
     size = F.coalesce(F.octet_length(body), F.lit(0)) + 1
-    return shard(docs, shards, size, F.xxhash64(body), F.xxhash64(F.col(doc_id)))
+    docs = docs.drop(*[own[c] for c in ("shard", "slot") if c in own])
+    return shard(docs, shards, size, F.xxhash64(body), F.xxhash64(F.col(own[doc_id]))).toDF(*kept.columns, "shard", "slot")
 
 
 def shard_digests(docs: DataFrame, shards: int = 16) -> DataFrame:

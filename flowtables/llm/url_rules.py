@@ -17,6 +17,8 @@ TRACKING = r"(?i)(?:^|&)(?:utm_[a-z]+|gclid|fbclid|ref)=[^&]*"
 LINK_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+#: What a browser does not read as markup: comments (to the end, if nothing ends them) and scripts.
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
 
@@ -65,10 +67,12 @@ def _target(url: Column, link: Column) -> Column:
 def alias_links(
     pages: DataFrame, url: str = "url", html: str = "html", redirects: DataFrame | None = None, common_forms: bool = True
 ) -> DataFrame:
-    """``a, b``: nodes of urls that stand for one page.  From ``<link rel=canonical>``
+    """``a, b``: nodes of urls that stand for one page, without what is in comments and scripts.  From ``<link rel=canonical>``
     and ``<meta http-equiv=refresh>`` of the pages, from ``redirects`` (``from_url,
     to_url``), and, with ``common_forms``, from each url to its common form."""
     at, body = F.col(url), F.col(html)
+    linked = F.lower(body).rlike("canonical|http-equiv") & F.lower(body).rlike("<!--|<script|<style|<textarea|<template")
+    body = F.when(linked, F.regexp_replace(body, UNREAD, "")).otherwise(body)
     canonical = F.regexp_extract(F.regexp_extract(body, LINK_TAG, 0), HREF, 1)
     refresh = F.regexp_extract(F.regexp_extract(body, REFRESH_TAG, 0), REFRESH_URL, 1)
     # a regular expression that ignores case is slow to find its first letter

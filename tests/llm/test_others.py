@@ -45,6 +45,16 @@ def test_urls(spark):
     assert url_rules.filter_urls(df.limit(0), RULES).collect() == []
 
 
+def test_links_in_comments_and_scripts_are_not_read(spark):
+    link = '<link rel="canonical" href="http://a.example.com/de/x">'
+    pages = [(1, "http://a.example.com/de/x", ""), (2, "http://b.test/", f"<!-- {link} -->"), (3, "http://c.test/", f"<SCRIPT>x = '{link}'</script >"),
+             (4, "http://d.test/", f"<!-- no -->{link}<!--"), (5, "http://e.test/", f"<!-- {link}"), (6, "http://f.test/a.html", None), (7, "http://www.f.test/a", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.verdict, r.alias_id) for r in url_rules.filter_urls(df, RULES, common_forms=False).collect()}
+    assert {k for k, (v, _) in got.items() if v == "block"} == {1, 4}
+    assert got[6][1] == "f.test/a.html" and got[7][1] == "www.f.test/a"
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(3)
     rows = []
@@ -159,4 +169,4 @@ def test_pipeline(spark):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
