@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.llm.components import connected_components
+from flowtables.plans.pin import pin
 from flowtables.plans.sizes import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,12 +68,14 @@ def _target(url: Column, link: Column) -> Column:
 def alias_links(
     pages: DataFrame, url: str = "url", html: str = "html", redirects: DataFrame | None = None, common_forms: bool = True
 ) -> DataFrame:
-    """``a, b``: nodes of urls that stand for one page, without what is in comments and scripts.  From ``<link rel=canonical>``
-    and ``<meta http-equiv=refresh>`` of the pages, from ``redirects`` (``from_url,
-    to_url``), and, with ``common_forms``, from each url to its common form."""
+    """``a, b``: nodes of urls that stand for one page.  From ``<link rel=canonical>``
+    and ``<meta http-equiv=refresh>`` of the pages (not in comments and scripts), from ``redirects``
+    (``from_url, to_url``), and, with ``common_forms``, from each url to its common form."""
     at, body = F.col(url), F.col(html)
-    linked = F.lower(body).rlike("canonical|http-equiv") & F.lower(body).rlike("<!--|<script|<style|<textarea|<template")
-    body = F.when(linked, F.regexp_replace(body, UNREAD, "")).otherwise(body)
+    # Computed once: of pages that say neither word, nothing else is looked at.
+    said = F.lower(body).contains("canonical") | F.lower(body).contains("http-equiv")
+    pages = pin(pages.select(at.alias("at"), F.when(said, body).alias("body")), read=F.regexp_replace("body", UNREAD, ""))
+    at, body = F.col("at"), F.col("read")
     canonical = F.regexp_extract(F.regexp_extract(body, LINK_TAG, 0), HREF, 1)
     refresh = F.regexp_extract(F.regexp_extract(body, REFRESH_TAG, 0), REFRESH_URL, 1)
     # a regular expression that ignores case is slow to find its first letter
