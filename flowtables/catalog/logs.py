@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtables.catalog.base import LOG, log, query, table
-from flowtables.functions.json import extract_json
+from flowtables.functions.json import extract_json, write_json
 from flowtables.operators.merge import collect_kind, concat_ordered, merge_tagged
-from flowtables.sources.directory import directory_changes
+from flowtables.sources.directory import directory_changes, directory_renames
 from flowtables.sources.log import (
     checkpoint,
     checkpoint_every,
@@ -147,6 +147,15 @@ def json_extract(spark, sf_dir):
     return parsed.select("event_id", F.col("value.k").alias("k"))
 
 
+@query("SELECT event_id, event_type, value, user_id FROM events")
+def json_body(spark, sf_dir):
+    """Bodies written as JSON bytes, and read again."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id")
+    bodies = write_json(events, columns=["event_type", "value", "user_id"])
+    read = extract_json(bodies, "body", "event_type string, value double, user_id bigint")
+    return read.select("event_id", "value.*")
+
+
 _LISTINGS = """shipped AS (
       SELECT l_orderkey, max(l_shipdate) AS gone, count(*) AS lines FROM lineitem GROUP BY l_orderkey),
     files AS (
@@ -191,6 +200,28 @@ def directory_changes_query(spark, sf_dir):
     return directory_changes(listing("1998-01-01", F.col("lines")), listing("1999-01-01", grown))
 
 
+@query(
+    """WITH before AS (SELECT '/new/' || o_orderkey AS path, o_custkey AS fingerprint, o_orderstatus = 'F' AS moved, o_orderkey % 11 = 0 AS gone FROM orders),
+    after AS (
+      SELECT CASE WHEN moved THEN replace(path, '/new/', '/done/') ELSE path END AS path, fingerprint FROM before WHERE NOT gone),
+    lost AS (SELECT path AS renamed_from, fingerprint, row_number() OVER (PARTITION BY fingerprint ORDER BY path) AS nth FROM before WHERE path NOT IN (SELECT path FROM after)),
+    fresh AS (SELECT path, fingerprint, row_number() OVER (PARTITION BY fingerprint ORDER BY path) AS nth FROM after WHERE path NOT IN (SELECT path FROM before))
+    SELECT coalesce(path, renamed_from) AS path,
+      CASE WHEN path IS NULL THEN 'Deletion' WHEN renamed_from IS NULL THEN 'Creation' ELSE 'Modification' END AS change,
+      CASE WHEN path IS NOT NULL THEN renamed_from END AS renamed_from
+    FROM lost FULL JOIN fresh USING (fingerprint, nth)""",
+    name="directory_renames",
+)
+def directory_renames_query(spark, sf_dir):
+    """Files of orders, moved when they are finished; some are gone.  Files of one customer are alike."""
+    files = table(spark, sf_dir, "orders").selectExpr(
+        "concat('/new/', o_orderkey) AS path", "o_orderdate AS modified_at", "0L AS length", "cast(o_custkey AS string) AS fingerprint",
+        "o_orderstatus = 'F' AS moved", "o_orderkey % 11 = 0 AS gone",
+    )
+    after = files.where("NOT gone").withColumn("path", F.expr("if(moved, replace(path, '/new/', '/done/'), path)"))
+    return directory_renames(files, after)
+
+
 @query(
     """SELECT 'customer' AS branch, CAST(c_custkey AS BIGINT) AS id, c_name AS name FROM customer
     UNION ALL SELECT 'supplier', CAST(s_suppkey AS BIGINT), s_name FROM supplier""",

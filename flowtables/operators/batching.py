@@ -106,6 +106,42 @@ def pack_greedy(
     return cut(rows, BySize(max_size), "_size", name).drop("_size")
 
 
+class _Rooms:
+    """Room left in batches, as a tree of maxima, so the first batch with enough room is found in
+    steps that grow with the logarithm of their number.  Batches beyond the last one are empty."""
+
+    def __init__(self, size: int):
+        self.size, self.leaves = size, 1
+        self.most = [size, size]  # of node i are 2i and 2i + 1; leaves come last
+
+    def put(self, amount: int) -> int:
+        most = self.most
+        if most[1] < amount:  # twice as many batches, the first half as it was
+            leaves = self.leaves
+            grown = [self.size] * (4 * leaves)
+            width = 1
+            while width <= leaves:
+                grown[2 * width : 3 * width] = most[width : 2 * width]
+                width *= 2
+            self.most, self.leaves = grown, 2 * leaves
+            most = grown
+        node = 1
+        while node < self.leaves:
+            node *= 2
+            if most[node] < amount:
+                node += 1
+        at = node - self.leaves
+        most[node] -= amount
+        while node > 1:
+            node //= 2
+            left, right = most[2 * node], most[2 * node + 1]
+            best = left if left > right else right
+            if most[node] == best:
+                break
+            most[node] = best
+        return at
+
+
 def pack_first_fit(
     df: DataFrame,
     max_size: int,
@@ -147,21 +183,14 @@ def pack_first_fit(
     )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        room: list[int] = []
+        open_ = _Rooms(max_size)
         for batch in batches:
             numbers = []
             sizes = batch.column("_size").to_pylist()
             for new, amount in zip(batch.column("_new").to_pylist(), sizes):
                 if new:
-                    room = []
-                if amount > max_size:
-                    numbers.append(None)
-                    continue
-                at = next((i for i, left in enumerate(room) if left >= amount), len(room))
-                if at == len(room):
-                    room.append(max_size)
-                room[at] -= amount
-                numbers.append(at + 1)
+                    open_ = _Rooms(max_size)
+                numbers.append(None if amount > max_size else open_.put(amount) + 1)
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(numbers, pa.int32())], names=[*columns, "batch_no"]

@@ -28,14 +28,13 @@ def eligible(now: Column) -> Column:
 def queue_receive(
     messages: DataFrame, now: Column, max_messages: int, visibility_s: int
 ) -> DataFrame:
-    """The oldest eligible messages of every queue, at most ``max_messages`` each,
-    with their new ``visible_at`` and ``receive_count``.
+    """The oldest eligible messages of every queue, at most ``max_messages`` each (10, which is
+    what one request may ask for), with their new ``visible_at`` and ``receive_count``.
 
     The limit on the row number reaches the map side of the shuffle, so a queue
     of any length sends ``max_messages`` rows per task.
     """
-    if max_messages < 1:
-        raise ValueError("max_messages must be at least 1")
+    rules.check_receive(max_messages)
     oldest = Window.partitionBy("queue").orderBy("enqueued_at", "msg_id")
     return (
         messages.where(eligible(now))
