@@ -15,7 +15,7 @@ from flowtables.operators.batching import (
 from flowtables.operators.presence import connection_sessions
 from flowtables.operators.publish import attempt_results, batch_status, publish_metrics
 from flowtables.operators.rotation import rotate, rotate_by_automaton, rotate_by_size, rotate_by_time
-from flowtables.operators.shaping import bounded_buffer, in_flight, take_while, throttle
+from flowtables.operators.shaping import in_flight, rate_use, retain, take_while
 from flowtables.plans.automata import Automaton
 
 _NUMBERED = f"""{LOG}, n AS (
@@ -146,47 +146,42 @@ def pack_first_fit_query(spark, sf_dir):
     return pack_first_fit(events, 1500, size, "user_id", "event_id", list_size=20).drop("value")
 
 
-def _throttled(cost: str, rate: float, burst: float) -> str:
-    return f"""WITH {LOG}, c AS (SELECT shard, seq, epoch_us(ts) AS t, {cost} AS cost FROM log),
-    s AS (SELECT *, CAST(sum(cost) OVER w AS DOUBLE) AS s, max(t) OVER w AS arrived FROM c
-      WINDOW w AS (PARTITION BY shard ORDER BY seq ROWS UNBOUNDED PRECEDING)),
-    m AS (SELECT *, max(t - (s - cost) * (1000000.0::DOUBLE / {rate}::DOUBLE)) OVER (
-        PARTITION BY shard ORDER BY seq ROWS UNBOUNDED PRECEDING) AS credit FROM s)
-    SELECT shard, seq,
-      CAST(round(greatest(CAST(arrived AS DOUBLE),
-        credit + (s - {burst}::DOUBLE) * (1000000.0::DOUBLE / {rate}::DOUBLE))) AS BIGINT) AS emit_us FROM m"""
+def _rate(cost: str, limit: int, hours: int) -> str:
+    return f"""WITH {LOG}, u AS (
+      SELECT shard, time_bucket(INTERVAL {hours} HOUR, ts, TIMESTAMP '1970-01-01') AS started_at, count(*) AS "rows", CAST(sum({cost}) AS BIGINT) AS used
+      FROM log GROUP BY ALL)
+    SELECT *, used / {limit}.0::DOUBLE AS share, greatest(used - {limit}, 0) AS over FROM u"""
 
 
-@query(_throttled("1", 0.001, 5))
+@query(_rate("1", 5, 2))
 def throttle_records(spark, sf_dir):
-    records = log(spark, sf_dir).select("shard", "seq", "ts")
-    return throttle(records, 0.001, 5, "shard", "seq", "ts").drop("ts")
+    """Records of each shard and two hours against a limit of 5."""
+    return rate_use(log(spark, sf_dir).select("shard", "ts"), 5, "2 hours", "shard", "ts")
 
 
-@query(_throttled("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 0.0125, 64))
+@query(_rate("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 45, 2))
 def throttle_bytes(spark, sf_dir):
-    records = log(spark, sf_dir)
+    """Bytes of each shard and two hours against a limit of 45."""
     cost = F.octet_length("body") + F.octet_length(F.col("user_id").cast("string"))
-    shaped = throttle(records, 0.0125, 64, "shard", "seq", "ts", cost)
-    return shaped.select("shard", "seq", "emit_us")
+    return rate_use(log(spark, sf_dir), 45, "2 hours", "shard", "ts", cost)
 
 
 _CAPACITY = 300
 
 
-def _buffer(strategy: str, kept: str) -> None:
+def _buffer(strategy: str, which: str, kept: str) -> None:
     sql = f"WITH {_NUMBERED}, e AS (SELECT shard, seq, pos AS e, total AS n FROM n) SELECT shard, seq FROM e WHERE {kept}"
 
     @query(sql, name=f"buffer_{strategy}")
     def run(spark, sf_dir):
         records = log(spark, sf_dir).select("shard", "seq")
-        return bounded_buffer(records, _CAPACITY, strategy, "shard", "seq")
+        return retain(records, _CAPACITY, which, "shard", "seq")
 
 
-_buffer("drop_head", f"n - e <= {_CAPACITY}")
-_buffer("drop_tail", f"n <= {_CAPACITY} OR e < {_CAPACITY} - 1 OR e = n - 1")
-_buffer("drop_new", f"e < {_CAPACITY}")
-_buffer("drop_buffer", f"e >= ((n - 1) // {_CAPACITY}) * {_CAPACITY}")
+_buffer("drop_head", "last", f"n - e <= {_CAPACITY}")
+_buffer("drop_tail", "first_and_last", f"n <= {_CAPACITY} OR e < {_CAPACITY} - 1 OR e = n - 1")
+_buffer("drop_new", "first", f"e < {_CAPACITY}")
+_buffer("drop_buffer", "last_batch", f"e >= ((n - 1) // {_CAPACITY}) * {_CAPACITY}")
 
 
 @query(

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtables.catalog.base import log, query, table
+from flowtables.functions.times import micros
 from flowtables.plans.sizes import scratch_path
 from flowtables.sources.log import newest_checkpoints, partition_counts
 from flowtables.sources.partitioned_log import append_log, close_partitions, tail_partitions
 from flowtables.streaming.keyed import (
-    bounded_buffer_stream,
     grouped_within_stream,
     presence_stream,
-    redeliver_stream,
 )
 from flowtables.streaming.rpc import correlate_rpc_stream
 from flowtables.streaming.runs import run_available, run_until_closed, stream_with_checkpoints, tail_log
@@ -109,50 +108,44 @@ def stream_grouped_within(spark, sf_dir):
 
 
 @query(
-    """WITH RECURSIVE o AS (
-      SELECT event_id, user_id, event_type IN ('click', 'view') AS poll,
-        row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
-    g AS (
-      SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS buf, CAST(0 AS BIGINT) AS demand,
-        CAST(NULL AS BIGINT) AS item, '' AS outcome, CAST(NULL AS BIGINT) AS cause FROM o WHERE rn = 1
-      UNION ALL
-      SELECT o.user_id, o.rn,
-        CASE WHEN poll OR len(buf) = 3 THEN list_concat(buf[2:], CASE WHEN poll THEN CAST([] AS BIGINT[]) ELSE [o.event_id] END)
-          WHEN demand > 0 THEN buf ELSE list_append(buf, o.event_id) END,
-        CASE WHEN poll AND len(buf) = 0 THEN demand + 1 WHEN NOT poll AND demand > 0 THEN demand - 1 ELSE demand END,
-        CASE WHEN poll OR len(buf) = 3 THEN buf[1] WHEN demand > 0 THEN o.event_id END,
-        CASE WHEN poll OR demand > 0 THEN 'delivered' ELSE 'dropped' END,
-        o.event_id
-      FROM g JOIN o ON o.user_id = g.user_id AND o.rn = g.rn + 1)
-    SELECT user_id, item, outcome, cause FROM g WHERE item IS NOT NULL"""
+    """SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS started_at,
+      count(*) FILTER (event_type NOT IN ('click', 'view')) AS arrived, count(*) FILTER (event_type IN ('click', 'view')) AS taken,
+      greatest(count(*) FILTER (event_type NOT IN ('click', 'view')) - count(*) FILTER (event_type IN ('click', 'view')) - 1, 0) AS over
+    FROM events GROUP BY ALL"""
 )
 def stream_bounded_buffer(spark, sf_dir):
-    """Clicks and views read what the other events put into each user's buffer."""
-    log = _events(spark, sf_dir).withColumn("poll", F.col("event_type").isin("click", "view"))
-    buffer = bounded_buffer_stream(log, 3, "drop_head", "user_id", "event_id", "poll")
-    return run_available(buffer, "buffer", keyed=True)
+    """How many rows arrive for each user in six hours, how many reads take one, and by how many that
+    exceeds a buffer of one."""
+    reads = F.col("event_type").isin("click", "view")
+    taken, arrived = F.count_if(reads), F.count_if(~reads)
+    use = _events(spark, sf_dir).groupBy("user_id", F.window("ts", "6 hours")["start"].alias("started_at")).agg(
+        arrived.alias("arrived"), taken.alias("taken"), F.greatest(arrived - taken - 1, F.lit(0)).alias("over")
+    )
+    return run_available(use, "buffer", "complete")
 
 
 @query(
-    """WITH e AS (SELECT user_id || '/' || (event_id // 1500) AS message, epoch_us(ts) // 1000 AS t, event_type = 'purchase' AS settles FROM events),
-    m AS (SELECT message, min(t) AS t0 FROM e WHERE NOT settles GROUP BY message),
-    s AS (SELECT m.message, m.t0, min(e.t) AS t1 FROM m LEFT JOIN e ON e.message = m.message AND settles AND e.t >= m.t0 GROUP BY ALL),
-    r AS (SELECT *, unnest(range(1, 6)) AS receive_count, (SELECT epoch_us(max(ts)) // 1000 FROM events) AS now FROM s)
-    SELECT message, CAST(receive_count AS INTEGER) AS receive_count,
-      make_timestamp((t0 + (receive_count - 1) * 36000000) * 1000) AS delivered_at
-    FROM r WHERE receive_count = 1 OR (t0 + (receive_count - 1) * 36000000 <= now
-      AND (t1 IS NULL OR t0 + (receive_count - 1) * 36000000 <= t1))"""
+    """WITH e AS (SELECT user_id || '/' || (event_id // 1500) AS message, ts, event_type = 'purchase' AS settles FROM events),
+    m AS (SELECT message, min(ts) FILTER (NOT settles) AS delivered_at, max(ts) FILTER (settles) AS settled_at, max(ts) AS seen_at FROM e GROUP BY message)
+    SELECT message, delivered_at, CAST(floor(date_diff('microsecond', delivered_at, seen_at) / 36000000000) AS BIGINT) AS overdue
+    FROM m WHERE delivered_at IS NOT NULL AND (settled_at IS NULL OR settled_at < delivered_at)"""
 )
 def stream_redelivery(spark, sf_dir):
-    """A message per user and 1500 events; it is delivered again every ten hours
-    until the user's next purchase, five times at most."""
+    """A message per user and 1500 events: those that no purchase of the user has settled, and how
+    often ten hours have passed since."""
     log = _events(spark, sf_dir).select(
         F.concat_ws("/", "user_id", F.floor(F.col("event_id") / 1500).cast("string")).alias("message"),
         "ts",
         (F.col("event_type") == "purchase").alias("settles"),
     )
-    deliveries = redeliver_stream(log, 36_000, "message", "ts", "settles", 5)
-    return run_available(deliveries, "redelivery", keyed=True)
+    state = log.groupBy("message").agg(
+        F.min(F.when(~F.col("settles"), F.col("ts"))).alias("delivered_at"),
+        F.max(F.when(F.col("settles"), F.col("ts"))).alias("settled_at"),
+        F.max("ts").alias("seen_at"),
+    )
+    unsettled = F.col("delivered_at").isNotNull() & (F.col("settled_at").isNull() | (F.col("settled_at") < F.col("delivered_at")))
+    waited = F.floor((micros("seen_at") - micros("delivered_at")) / 36_000_000_000).cast("bigint")
+    return run_available(state, "redelivery", "complete").where(unsettled).select("message", "delivered_at", waited.alias("overdue"))
 
 
 @query(

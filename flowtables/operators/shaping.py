@@ -120,3 +120,29 @@ def take_while(
     failed = F.when(F.coalesce(predicate, F.lit(False)), 0).otherwise(1)
     rows = arrange(df.withColumn("_f", failed.cast("bigint")), key, order, rows_per_chunk)
     return rows.scan(_f=run_sum("_f", exclusive=inclusive)).df.where(F.col("_f") == 0).drop("_f")
+
+
+def rate_use(df: DataFrame, limit: float, every: str, key: Names, at: str, cost: Column | None = None) -> DataFrame:
+    """What each key uses of a rate: one row per key and window of ``every`` (such as ``1 hour``) with
+    ``started_at``, ``rows``, ``used`` (the sum of ``cost``, or the rows), ``share`` of ``limit``, and
+    ``over``, what a limit would hold back to later windows.  Summed before it is shuffled, so a
+    hot key is one row a task."""
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    keys = [key] if isinstance(key, str) else list(key)
+    amount = F.lit(1) if cost is None else cost
+    used = df.groupBy(*keys, F.window(at, every)["start"].alias("started_at")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias("used")
+    )
+    return used.withColumns({
+        "share": F.col("used") / F.lit(float(limit)), "over": F.greatest(F.col("used") - F.lit(limit), F.lit(0)).cast("bigint"),
+    })
+
+
+def retain(df: DataFrame, n: int, which: str, key: Names, order: Names, rows_per_chunk: int | None = None) -> DataFrame:
+    """At most ``n`` rows of each key: its ``last`` or ``first`` ones, ``first_and_last`` (n - 1 first ones and the
+    very last), or those of the ``last_batch`` of n."""
+    strategies = {"last": "drop_head", "first": "drop_new", "first_and_last": "drop_tail", "last_batch": "drop_buffer"}
+    if which not in strategies:
+        raise ValueError(f"which must be one of {sorted(strategies)}")
+    return bounded_buffer(df, n, strategies[which], key, order, rows_per_chunk=rows_per_chunk)

@@ -6,6 +6,7 @@ so that key has many.  Rows arrive shuffled over several partitions.
 
 import random
 from collections import defaultdict
+from datetime import timezone
 
 import pytest
 from models import (
@@ -281,3 +282,22 @@ def test_a_trigger_that_remembers(df, rows):
             if file_no:
                 want[(key, r[1])] = (file_no, row_no)
     assert got[0] == want
+
+
+def test_rate_use(df, rows):
+    got = {(r.k, r.started_at.replace(tzinfo=timezone.utc).timestamp()): (r["rows"], r.used, r.over) for r in shaping.rate_use(df, 300, "1 minute", "k", "ts", F.col("size")).collect()}
+    want = defaultdict(lambda: [0, 0])
+    for k, _, t, size, _ in rows:
+        want[(k, float(t // 60 * 60))][0] += 1
+        want[(k, float(t // 60 * 60))][1] += size
+    assert got == {w: (n, used, max(used - 300, 0)) for w, (n, used) in want.items()}
+    with pytest.raises(ValueError):
+        shaping.rate_use(df, 0, "1 minute", "k", "ts")
+
+
+@pytest.mark.parametrize("which", ["last", "first", "first_and_last", "last_batch"])
+def test_retain(df, rows, which):
+    got = result(shaping.retain(df, 70, which, "k", "i", rows_per_chunk=CHUNK_ROWS))
+    keep = {"last": lambda n: range(max(n - 70, 0), n), "first": lambda n: range(min(n, 70)),
+            "first_and_last": lambda n: [*range(min(n, 69)), n - 1], "last_batch": lambda n: range((n - 1) // 70 * 70, n)}[which]
+    assert set(got) == {(k, items[e][1]) for k, items in by_key(rows).items() for e in keep(len(items))}
