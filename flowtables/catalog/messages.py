@@ -20,7 +20,8 @@ from flowtables.operators.rpc import correlate_batch, correlate_rpc
 from flowtables.operators.settlement import redelivered, settle
 from flowtables.operators.shaping import in_flight
 from flowtables.plans.ordered import arrange, run_sum
-from flowtables.plans.sizes import written
+from flowtables.plans.sizes import scratch_path, written
+from flowtables.sources.queue_table import QueueTable
 
 # --- routing -----------------------------------------------------------------
 
@@ -302,6 +303,24 @@ def apply_actions_query(spark, sf_dir):
     return state.select("queue", "msg_id", "visible_at")
 
 
+@query(
+    f"""WITH {_QUEUE}, {_ACTIONS}, v AS (
+      SELECT msg_id, arg_max(visibility_s, action_seq) AS s FROM a WHERE action = 'change_visibility' GROUP BY msg_id)
+    SELECT q.queue, q.msg_id, coalesce(TIMESTAMP '2024-01-15' + to_seconds(v.s), r.visible_at, q.visible_at) AS visible_at,
+      coalesce(r.receive_count, q.receive_count) AS receive_count
+    FROM q LEFT JOIN v ON v.msg_id = q.msg_id LEFT JOIN received r ON r.msg_id = q.msg_id
+    WHERE q.msg_id NOT IN (SELECT msg_id FROM a WHERE action = 'delete')"""
+)
+def queue_versions(spark, sf_dir):
+    """A queue's third version: sent, received from, acted on."""
+    messages = _queue(spark, sf_dir)
+    queue = QueueTable(spark, scratch_path(spark, "queue"), messages.schema)
+    queue.send(messages)
+    queue.receive(_now(), 10, 30)
+    queue.act(_actions(spark, sf_dir), _now())
+    return queue.read().select("queue", "msg_id", "visible_at", "receive_count")
+
+
 @query(
     f"""WITH {_ACTIONS} SELECT a.msg_id, action, visibility_s, action_seq,
       CASE WHEN action = 'change_visibility' AND visibility_s NOT BETWEEN 0 AND 43200 THEN 'visibility_out_of_range'
