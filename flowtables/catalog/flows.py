@@ -308,7 +308,7 @@ def publish_results(spark, sf_dir):
     f"""WITH {_ATTEMPTS}
     SELECT shard, count(*) AS records, count(*) FILTER (ok) AS sent, count(*) FILTER (NOT ok) AS failed,
       count(*) FILTER (attempts > 1) AS retried, CAST(sum(attempts) AS BIGINT) AS attempts,
-      string_agg(DISTINCT CASE WHEN NOT ok THEN error_code END, ',' ORDER BY CASE WHEN NOT ok THEN error_code END) AS error_codes
+      coalesce(string_agg(DISTINCT CASE WHEN NOT ok THEN error_code END, ',' ORDER BY CASE WHEN NOT ok THEN error_code END), '') AS error_codes
     FROM results GROUP BY shard""",
     name="publish_metrics",
 )
