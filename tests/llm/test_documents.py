@@ -242,13 +242,12 @@ def test_line_groups(spark, none):
     got = fuzzy_lines.line_groups(docs).collect()
     lines = [(r[0], k, " ".join(x.lower().split())) for r in rows if r[1] is not None for k, x in enumerate(r[1].split("\n"))]
     assert len(got) == len(lines)
-    hashes = {(r.doc_id, r.line_no): r.sim for r in fuzzy_lines.line_hashes(fuzzy_lines.exploded_lines(docs, "doc_id", "text")).collect()}
     texts_of = {(a, b): t for a, b, t in lines}
     root = {t: t for *_, t in lines if t}
     place = {t: min(((a is not None, a or 0), b) for a, b, x in lines if x == t) for t in root}
     for _ in range(3):
         for (k, s), (m, t) in itertools.combinations(texts_of.items(), 2):
-            if s and t and s != t and hashes[k] is not None and hashes[m] is not None and bin((hashes[k] ^ hashes[m]) % 2**64).count("1") <= 3:
+            if s and t and s != t:
                 x, y = s.split(" "), t.split(" ")
                 if sum(a != b for a, b in zip(x, y)) + abs(len(x) - len(y)) <= 0.2 * max(len(x), len(y)):
                     root[s] = root[t] = min(root[s], root[t], key=place.get)
@@ -267,6 +266,70 @@ def test_line_groups(spark, none):
     assert fuzzy_lines.line_groups(none).collect() == []
 
 
+def edits(x, y):
+    """Edit distance of two lists."""
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def edited(draw, words, n):
+    """``n`` words put in, taken out or exchanged."""
+    words = list(words)
+    for k in range(n):
+        i, kind = draw.randrange(len(words)), draw.randrange(3)
+        words[i : i + (kind != 0)] = [] if kind == 1 else [f"new{draw.randrange(10**6)}"]
+    return words
+
+
+def test_fuzzy_lines_recall_by_length(spark):
+    """Pairs by edit similarity alone, of each length with one edit and as many as 0.8 allows; none else."""
+    draw = random.Random(21)
+    vocabulary = ["".join(draw.choice("aeiourstlnm") for _ in range(draw.randrange(1, 9))) for _ in range(3000)]
+    pairs = []
+    for kind, n in [("w", 3), ("w", 4), ("w", 5), ("w", 8), ("w", 10), ("w", 20), ("w", 30), ("w", 50), ("w", 100), ("w", 250), ("c", 12), ("c", 40)]:
+        for most in sorted({1, n // 5, n // 4} - {0}):
+            for _ in range(40):
+                pool = vocabulary if kind == "w" else [chr(c) for c in range(0x4E00, 0x5800)]
+                base = [draw.choice(pool) for _ in range(n)]
+                other = edited(draw, base, most) if kind == "w" else [x if len(x) == 1 else draw.choice(pool) for x in edited(draw, base, most)]
+                if base != other:
+                    join = (" " if kind == "w" else "").join
+                    pairs.append((kind, n, most, base, other, join(base), join(other)))
+    docs = spark.createDataFrame([(i, p[5] + "\n" + p[6]) for i, p in enumerate(pairs)], "doc_id long, text string")
+    linked = {r.doc_id for r in fuzzy_lines.line_groups(docs).collect() if r.line_no == 1 and not r.kept and r.first_doc_id == r.doc_id}
+    caught = {}
+    for i, (kind, n, most, base, other, *_) in enumerate(pairs):
+        if edits(base, other) <= max(len(base), len(other)) * 0.2 + 1e-9:
+            caught.setdefault((kind, n, most), []).append(i in linked)
+        else:
+            assert i not in linked
+    assert {(k, n) for k, n, _ in caught} >= {("w", n) for n in (4, 5, 8, 10, 20, 30, 50, 100, 250)} | {("c", 12), ("c", 40)}
+    for case, held in caught.items():
+        assert sum(held) >= 0.9 * len(held), (case, sum(held), len(held))
+    one = [x for (_, n, most), held in caught.items() if most == 1 and n >= 8 for x in held]
+    assert sum(one) >= 0.98 * len(one)
+
+
+def test_words_that_share_a_character_are_told_apart(spark, monkeypatch):
+    """With few characters for words most words share one: the places of a pair's words decide."""
+    monkeypatch.setattr(fuzzy_lines, "CODES", 64)
+    draw = random.Random(3)
+    base = [f"word{i}" for i in range(40)]
+    lines = [" ".join(edited(draw, base, n)) for n in (0, 2, 5, 8, 12, 16, 20) for _ in range(6)]
+    docs = spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")
+    distinct = spark.createDataFrame([(x,) for x in sorted(set(lines))], "l string").selectExpr("xxhash64(l) AS h", "l", "struct(0L AS doc_id) AS first")
+    hashes = {r.h: r.l for r in distinct.collect()}
+    pairs = distinct.selectExpr("h AS a").crossJoin(distinct.selectExpr("h AS b")).where("a < b")
+    got = {(r.a, r.b) for r in fuzzy_lines.similar(pairs, distinct, docs, "doc_id", "text", 0.8).collect()}
+    split = {h: x.split(" ") for h, x in hashes.items()}
+    near = lambda x, y: edits(x, y) <= max(len(x), len(y)) * 0.2 + 1e-9
+    assert got == {(a, b) for a in split for b in split if a < b and near(split[a], split[b])} and got
+
+
 def test_kneser_ney_sums_to_one_and_matches_the_formula():
     grams = {"aa": Counter(), "bb": Counter()}
     for lang, text in (("aa", "abracadabra abba"), ("bb", "xyzzy xyz zyx")):
