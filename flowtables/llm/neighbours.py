@@ -25,8 +25,9 @@ START_RECALL, BUCKET, LOT = 0.999, 12, 128
 MEMBERS, MOST_ROOM = 48, 96
 #: Rounds of a descent and descents, at most, before groups are compared as a whole; recall of the audit.
 ROUNDS, DESCENTS, RECALL = 8, 4, 0.995
-#: Queries of an audit at first and at most, and those that must have links.
-AUDIT, MOST_AUDIT, AUDIT_LINKED = 400, 1 << 14, 100
+#: Queries of an audit at first and at most, of all vectors and of those that have another at ``NEAR``;
+#: links that make an audit large enough.
+AUDIT, MOST_AUDIT, AUDIT_LINKED, NEAR = 400, 1 << 13, 100, 0.85
 #: Numbers in a block of vectors that are compared as a whole, and rows of a product at a time.
 BLOCK, ROWS = 1 << 18, 512
 
@@ -176,23 +177,26 @@ def _shortened(found: DataFrame, room: DataFrame) -> DataFrame:
     return once.join(room, "node", "left").where(F.col("at") <= F.coalesce("room", F.lit(LIST))).select("node", "other", "cosine")
 
 
-def audit(vectors: DataFrame, links: DataFrame, threshold: float) -> bool:
+def audit(vectors: DataFrame, links: DataFrame, lists: DataFrame, threshold: float) -> bool:
     """Whether ``links`` (``node, other``, both ways) hold, of the links that vectors have by brute
     force against all vectors, a mean share of ``RECALL``: each vector with links counts
     the same, and vectors of few and of many links (by powers of two) pass on their own.
-    Asked are those of least hash, until ``AUDIT_LINKED`` have links or all are asked."""
+    Asked are those of least hash, and of those with an other at ``NEAR`` or above in
+    ``lists`` as many, until ``AUDIT_LINKED`` have links or ``MOST_AUDIT`` or all are asked.
+    Where links are rare few or none of the asked have any; what they have must be held."""
     n, asked = vectors.count(), AUDIT
+    near = written(lists.where(F.col("cosine") >= min(NEAR, threshold)).select("node").distinct(), "near")
     while True:
-        true = _brute_force(vectors, asked, threshold)
+        order = F.xxhash64("node", F.lit(5))
+        some = vectors.join(near, "node", "left_semi").orderBy(order).limit(asked)
+        true = _brute_force(vectors, vectors.orderBy(order).limit(asked).union(some).dropDuplicates(["node"]), threshold)
         found = links.select("node", "other", F.lit(1).alias("held"))
         shares = true.join(found, ["node", "other"], "left").groupBy("node").agg(F.count("*").alias("n"), F.avg(F.coalesce("held", F.lit(0))).alias("share"))
         by_size = shares.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.avg("share").alias("share"), F.count("*").alias("n")).collect()
         if any(r.share < RECALL for r in by_size):
             return False
-        if asked >= n or sum(r.n for r in by_size) >= AUDIT_LINKED:
+        if asked >= min(n, MOST_AUDIT) or sum(r.n for r in by_size) >= AUDIT_LINKED:
             return True
-        if asked >= MOST_AUDIT:
-            return False
         asked = min(asked * 6, MOST_AUDIT)
 
 
@@ -203,9 +207,9 @@ def _saturated(lists: DataFrame, room: DataFrame, threshold: float) -> DataFrame
     return state.select("node", "room", ((F.col("n") >= F.col("room")) & (F.col("least") >= threshold)).alias("full"))
 
 
-def _brute_force(vectors: DataFrame, asked: int, threshold: float) -> DataFrame:
-    """``node, other``: the links of ``asked`` vectors with all vectors."""
-    queries = vectors.orderBy(F.xxhash64("node", F.lit(5))).limit(asked).collect()
+def _brute_force(vectors: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """``node, other``: the links of the vectors ``asked``, at most twice ``MOST_AUDIT``, with all vectors."""
+    queries = asked.collect()
     sent = vectors.sparkSession.sparkContext.broadcast([(r.node, r.g, bytes(r.unit)) for r in queries])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +338,7 @@ def link_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
         path, lists = write_table(lists.join(vectors.select("node"), "node", "left_semi"), "lists")
         ends = lists.where(enough).select("node", "other")
         linked = written(ends.union(ends.select("other", "node")).distinct(), "linked")
-        if audit(vectors, linked, threshold):
+        if audit(vectors, linked, lists, threshold):
             whole = crowded
             break
     else:
