@@ -190,3 +190,11 @@ def test_pipeline(spark):
 
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
+
+
+def test_url_query_joins_common_forms(spark, tmp_path):
+    """``op2_url_rules`` carries a block from a url to the other urls of its common form."""
+    pages = [(1, "http://m.x.test/de/", '<link rel="canonical" href="http://example.com/de/x">'), (2, "http://x.test/de?utm_source=a", None), (3, "http://y.test/", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.verdict, r.alias_id) for r in QUERIES["op2_url_rules"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("block", "example.com/de/x"), 2: ("block", "example.com/de/x"), 3: ("allow", "y.test")}
