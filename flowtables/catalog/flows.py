@@ -15,7 +15,7 @@ from flowtables.operators.batching import (
 from flowtables.operators.presence import connection_sessions
 from flowtables.operators.publish import attempt_results, batch_status, publish_metrics
 from flowtables.operators.rotation import rotate, rotate_by_automaton, rotate_by_size, rotate_by_time
-from flowtables.operators.shaping import in_flight, rate_use, retain, take_while
+from flowtables.operators.shaping import in_flight, rate_use, retain, take_while, throttle
 from flowtables.plans.automata import Automaton
 
 _NUMBERED = f"""{LOG}, n AS (
@@ -154,11 +154,29 @@ def _rate(cost: str, limit: int, hours: int) -> str:
 
 
 @query(_rate("1", 5, 2))
-def throttle_records(spark, sf_dir):
+def rate_use_records(spark, sf_dir):
     """Records of each shard and two hours against a limit of 5."""
     return rate_use(log(spark, sf_dir).select("shard", "ts"), 5, "2 hours", "shard", "ts")
 
 
+def _throttled(cost: str, rate: float, burst: float) -> str:
+    return f"""WITH {LOG}, c AS (SELECT shard, seq, epoch_us(ts) AS t, {cost} AS cost FROM log),
+    s AS (SELECT *, CAST(sum(cost) OVER w AS DOUBLE) AS s, max(t) OVER w AS arrived FROM c
+      WINDOW w AS (PARTITION BY shard ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+    m AS (SELECT *, max(t - (s - cost) * (1000000.0::DOUBLE / {rate}::DOUBLE)) OVER (
+        PARTITION BY shard ORDER BY seq ROWS UNBOUNDED PRECEDING) AS credit FROM s)
+    SELECT shard, seq,
+      CAST(round(greatest(CAST(arrived AS DOUBLE),
+        credit + (s - {burst}::DOUBLE) * (1000000.0::DOUBLE / {rate}::DOUBLE))) AS BIGINT) AS emit_us FROM m"""
+
+
+@query(_throttled("1", 0.001, 5))
+def throttle_records(spark, sf_dir):
+    """When each record leaves a shaper of 0.001 records a second for its shard."""
+    records = log(spark, sf_dir).select("shard", "seq", "ts")
+    return throttle(records, 0.001, 5, "shard", "seq", "ts").drop("ts")
+
+
 @query(_rate("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 45, 2))
 def throttle_bytes(spark, sf_dir):
     """Bytes of each shard and two hours against a limit of 45."""
