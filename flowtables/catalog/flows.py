@@ -159,6 +159,13 @@ def rate_use_records(spark, sf_dir):
     return rate_use(log(spark, sf_dir).select("shard", "ts"), 5, "2 hours", "shard", "ts")
 
 
+@query(_rate("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 45, 2))
+def rate_use_bytes(spark, sf_dir):
+    """Bytes of each shard and two hours against a limit of 45."""
+    cost = F.octet_length("body") + F.octet_length(F.col("user_id").cast("string"))
+    return rate_use(log(spark, sf_dir), 45, "2 hours", "shard", "ts", cost)
+
+
 def _throttled(cost: str, rate: float, burst: float) -> str:
     return f"""WITH {LOG}, c AS (SELECT shard, seq, epoch_us(ts) AS t, {cost} AS cost FROM log),
     s AS (SELECT *, CAST(sum(cost) OVER w AS DOUBLE) AS s, max(t) OVER w AS arrived FROM c
@@ -177,11 +184,13 @@ def throttle_records(spark, sf_dir):
     return throttle(records, 0.001, 5, "shard", "seq", "ts").drop("ts")
 
 
-@query(_rate("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 45, 2))
+@query(_throttled("strlen(body) + strlen(CAST(user_id AS VARCHAR))", 0.0125, 64))
 def throttle_bytes(spark, sf_dir):
-    """Bytes of each shard and two hours against a limit of 45."""
+    """When each record leaves a shaper of 0.0125 bytes a second for its shard."""
+    records = log(spark, sf_dir)
     cost = F.octet_length("body") + F.octet_length(F.col("user_id").cast("string"))
-    return rate_use(log(spark, sf_dir), 45, "2 hours", "shard", "ts", cost)
+    shaped = throttle(records, 0.0125, 64, "shard", "seq", "ts", cost)
+    return shaped.select("shard", "seq", "emit_us")
 
 
 _CAPACITY = 300

@@ -30,3 +30,8 @@ def _throttled(spark, name: str, rows: list[tuple], rate: float, burst: float) -
 def test_throttle_records_emits_every_record(spark):
     rows = _events("user_id % 4, event_id, epoch_us(ts) / 1e6, 1")
     _throttled(spark, "throttle_records", rows, 0.001, 5)
+
+
+def test_throttle_bytes_emits_every_record(spark):
+    rows = _events("user_id % 4, event_id, epoch_us(ts) / 1e6, strlen(props) + strlen(CAST(user_id AS VARCHAR))")
+    _throttled(spark, "throttle_bytes", rows, 0.0125, 64)
