@@ -46,3 +46,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG = """log AS (
   SELECT CAST(user_id % 4 AS INTEGER) AS shard, event_id AS seq, ts, user_id, event_type, props AS body
   FROM events)"""
+
+
+def refusing(column: str, code: str = "throttled"):
+    """A transport for ``publish`` that takes a record once the attempt number exceeds its ``column``."""
+    return lambda: lambda records, attempt: [code if attempt <= r[column] else None for r in records]

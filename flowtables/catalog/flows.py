@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables.catalog.base import LOG, log, query, table
+from flowtables.catalog.base import LOG, log, query, refusing, table
 from flowtables.operators.batching import (
     batch_by_count,
     collect_batches,
@@ -13,7 +13,7 @@ from flowtables.operators.batching import (
     pack_greedy,
 )
 from flowtables.operators.presence import connection_sessions
-from flowtables.operators.publish import attempt_results, batch_status, publish_metrics
+from flowtables.operators.publish import PublishSettings, attempt_results, batch_status, publish, publish_metrics
 from flowtables.operators.rotation import rotate, rotate_by_automaton, rotate_by_size, rotate_by_time
 from flowtables.operators.shaping import in_flight, rate_use, retain, take_while, throttle
 from flowtables.plans.automata import Automaton
@@ -327,10 +327,26 @@ def _results(spark, sf_dir):
     SELECT shard, record, ok, attempts, CASE WHEN NOT ok THEN error_code END AS error_code,
       CAST(500 * (pow(2, attempts - 1) - 1) AS BIGINT) AS waited_ms FROM results"""
 )
-def publish_results(spark, sf_dir):
+def publish_log(spark, sf_dir):
+    """Results of records from a log of the attempts to send them."""
     return _results(spark, sf_dir)
 
 
+# A record whose fault count is f is sent at attempt f + 1, if that is at most 6.
+@query(
+    f"""WITH {_NUMBERED}, p AS (
+      SELECT shard, seq, pos // 100 AS batch_no, CAST(pos % 100 AS INTEGER) AS idx, seq % 8 AS f FROM n)
+    SELECT shard, seq, batch_no, idx, f <= 5 AS ok, CAST(least(f + 1, 6) AS INTEGER) AS attempts,
+      CASE WHEN f > 5 THEN 'throttled' END AS error_code,
+      CAST(500 * (pow(2, least(f, 5)) - 1) AS BIGINT) AS waited_ms FROM p"""
+)
+def publish_results(spark, sf_dir):
+    """All records of the log sent in batches, with retries, and what became of each."""
+    records = log(spark, sf_dir).select("shard", "seq", (F.col("seq") % 8).cast("int").alias("faults"))
+    settings = PublishSettings(batch_size=100, max_retries=5, wait=False)
+    return publish(records, refusing("faults"), "shard", "seq", settings, ["faults"]).drop("faults")
+
+
 @query(
     f"""WITH {_ATTEMPTS}
     SELECT shard, count(*) AS records, count(*) FILTER (ok) AS sent, count(*) FILTER (NOT ok) AS failed,

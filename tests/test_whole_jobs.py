@@ -35,3 +35,12 @@ def test_throttle_records_emits_every_record(spark):
 def test_throttle_bytes_emits_every_record(spark):
     rows = _events("user_id % 4, event_id, epoch_us(ts) / 1e6, strlen(props) + strlen(CAST(user_id AS VARCHAR))")
     _throttled(spark, "throttle_bytes", rows, 0.0125, 64)
+
+
+def test_publish_results_sends_every_record(spark):
+    got = {r.seq: (r.ok, r.attempts, r.error_code) for r in QUERIES["publish_results"](spark, SF_DIR).collect()}
+    expected = {}
+    for (seq,) in _events("event_id"):
+        faults = seq % 8
+        expected[seq] = (True, faults + 1, None) if faults <= 5 else (False, 6, "throttled")
+    assert got == expected
