@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowtables.catalog.base import query, table
+from flowtables.catalog.base import query, refusing, table
 from flowtables.operators.batching import batch_by_count
 from flowtables.operators.fanout import address, inbox_sizes, recipients_per_command
+from flowtables.operators.publish import PublishSettings, publish
 from flowtables.operators.queues import (
     action_results,
     after_receive,
@@ -462,12 +463,31 @@ def rpc_correlate(spark, sf_dir):
         row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos FROM events)
     SELECT CAST(shard AS INTEGER) AS shard, event_id AS seq, pos // 50 AS batch_no, CAST(pos % 50 AS INTEGER) AS idx,
       CASE WHEN event_type <> 'view' THEN event_type <> 'error' END AS ok, event_type <> 'view' AS answered FROM n""",
-    name="correlate_batch",
+    name="correlate_unanswered",
 )
-def correlate_batch_query(spark, sf_dir):
-    """Requests paired with the result at their position in the batch."""
+def correlate_unanswered_query(spark, sf_dir):
+    """Requests paired with the result at their position in the batch; some have none."""
     records = table(spark, sf_dir, "events").selectExpr("cast(user_id % 4 as int) AS shard", "event_id AS seq", "event_type")
     requests = batch_by_count(records, 50, "shard", "seq")
     # Errors are refused, views get no answer.
     responses = requests.where("event_type <> 'view'").selectExpr("shard", "batch_no", "idx", "event_type <> 'error' AS ok")
     return correlate_batch(requests.drop("event_type"), responses, ("shard", "batch_no", "idx"))
+
+
+@query(
+    """WITH n AS (SELECT event_id, user_id % 4 AS shard,
+        row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos FROM events)
+    SELECT CAST(shard AS INTEGER) AS shard, event_id AS seq, pos // 50 AS batch_no, CAST(pos % 50 AS INTEGER) AS idx,
+      event_id % 8 <= 2 AS ok, true AS answered FROM n""",
+    name="correlate_batch",
+)
+def correlate_batch_query(spark, sf_dir):
+    """Requests, sent in batches with retries, paired with the result at their position in the batch."""
+    records = table(spark, sf_dir, "events").selectExpr(
+        "cast(user_id % 4 as int) AS shard", "event_id AS seq", "cast(event_id % 8 as int) AS faults"
+    )
+    requests = batch_by_count(records, 50, "shard", "seq").drop("faults")
+    settings = PublishSettings(batch_size=50, max_retries=2, wait=False)
+    sent = publish(records, refusing("faults"), "shard", "seq", settings, ["faults"])
+    responses = sent.select("shard", "batch_no", "idx", "ok")
+    return correlate_batch(requests, responses, ("shard", "batch_no", "idx"))

@@ -44,3 +44,8 @@ def test_publish_results_sends_every_record(spark):
         faults = seq % 8
         expected[seq] = (True, faults + 1, None) if faults <= 5 else (False, 6, "throttled")
     assert got == expected
+
+
+def test_correlate_batch_pairs_what_was_sent(spark):
+    got = {r.seq: (r.ok, r.answered) for r in QUERIES["correlate_batch"](spark, SF_DIR).collect()}
+    assert got == {seq: (seq % 8 <= 2, True) for (seq,) in _events("event_id")}
