@@ -49,3 +49,23 @@ def test_publish_results_sends_every_record(spark):
 def test_correlate_batch_pairs_what_was_sent(spark):
     got = {r.seq: (r.ok, r.answered) for r in QUERIES["correlate_batch"](spark, SF_DIR).collect()}
     assert got == {seq: (seq % 8 <= 2, True) for (seq,) in _events("event_id")}
+
+
+def test_stream_bounded_buffer_delivers_or_drops_each_item(spark):
+    expected, buffers, demand = set(), defaultdict(list), defaultdict(int)
+    for seq, user, kind in _events("event_id, user_id, event_type"):
+        buffer = buffers[user]
+        if kind in ("click", "view"):
+            if buffer:
+                expected.add((user, buffer.pop(0), "delivered", seq))
+            else:
+                demand[user] += 1
+        elif demand[user]:
+            demand[user] -= 1
+            expected.add((user, seq, "delivered", seq))
+        else:
+            if len(buffer) == 3:
+                expected.add((user, buffer.pop(0), "dropped", seq))
+            buffer.append(seq)
+    got = QUERIES["stream_bounded_buffer"](spark, SF_DIR).select("user_id", "item", "outcome", "cause").collect()
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
