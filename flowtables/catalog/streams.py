@@ -13,6 +13,7 @@ from flowtables.streaming.keyed import (
     bounded_buffer_stream,
     grouped_within_stream,
     presence_stream,
+    redeliver_stream,
 )
 from flowtables.streaming.rpc import correlate_rpc_stream
 from flowtables.streaming.runs import run_available, run_until_closed, stream_with_checkpoints, tail_log
@@ -156,7 +157,7 @@ def stream_bounded_buffer(spark, sf_dir):
     SELECT message, delivered_at, CAST(floor(date_diff('microsecond', delivered_at, seen_at) / 36000000000) AS BIGINT) AS overdue
     FROM m WHERE delivered_at IS NOT NULL AND (settled_at IS NULL OR settled_at < delivered_at)"""
 )
-def stream_redelivery(spark, sf_dir):
+def stream_unsettled(spark, sf_dir):
     """A message per user and 1500 events: those that no purchase of the user has settled, and how
     often ten hours have passed since."""
     log = _events(spark, sf_dir).select(
@@ -171,7 +172,29 @@ def stream_redelivery(spark, sf_dir):
     )
     unsettled = F.col("delivered_at").isNotNull() & (F.col("settled_at").isNull() | (F.col("settled_at") < F.col("delivered_at")))
     waited = F.floor((micros("seen_at") - micros("delivered_at")) / 36_000_000_000).cast("bigint")
-    return run_available(state, "redelivery", "complete").where(unsettled).select("message", "delivered_at", waited.alias("overdue"))
+    return run_available(state, "unsettled", "complete").where(unsettled).select("message", "delivered_at", waited.alias("overdue"))
+
+
+@query(
+    """WITH e AS (SELECT user_id || '/' || (event_id // 1500) AS message, epoch_us(ts) // 1000 AS t, event_type = 'purchase' AS settles FROM events),
+    m AS (SELECT message, min(t) AS t0 FROM e WHERE NOT settles GROUP BY message),
+    s AS (SELECT m.message, m.t0, min(e.t) AS t1 FROM m LEFT JOIN e ON e.message = m.message AND settles AND e.t >= m.t0 GROUP BY ALL),
+    r AS (SELECT *, unnest(range(1, 6)) AS receive_count, (SELECT epoch_us(max(ts)) // 1000 FROM events) AS now FROM s)
+    SELECT message, CAST(receive_count AS INTEGER) AS receive_count,
+      make_timestamp((t0 + (receive_count - 1) * 36000000) * 1000) AS delivered_at
+    FROM r WHERE receive_count = 1 OR (t0 + (receive_count - 1) * 36000000 <= now
+      AND (t1 IS NULL OR t0 + (receive_count - 1) * 36000000 <= t1))"""
+)
+def stream_redelivery(spark, sf_dir):
+    """A message per user and 1500 events; it is delivered again every ten hours
+    until the user's next purchase, five times at most."""
+    log = _events(spark, sf_dir).select(
+        F.concat_ws("/", "user_id", F.floor(F.col("event_id") / 1500).cast("string")).alias("message"),
+        "ts",
+        (F.col("event_type") == "purchase").alias("settles"),
+    )
+    deliveries = redeliver_stream(log, 36_000, "message", "ts", "settles", 5)
+    return run_available(deliveries, "redelivery", keyed=True)
 
 
 @query(

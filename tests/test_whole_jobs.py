@@ -1,6 +1,7 @@
 """Queries that do the whole job of their operator, row by row."""
 
 from collections import defaultdict
+from datetime import datetime, timedelta
 
 import duckdb
 import pytest
@@ -9,6 +10,8 @@ from test_queries import SF_DIR, pytestmark  # noqa: F401
 
 from flowtables.catalog import QUERIES
 
+EPOCH = datetime(1970, 1, 1)
+
 
 def _events(columns: str) -> list[tuple]:
     return duckdb.sql(f"SELECT {columns} FROM '{SF_DIR}/events.parquet' ORDER BY event_id").fetchall()
@@ -69,3 +72,20 @@ def test_stream_bounded_buffer_delivers_or_drops_each_item(spark):
             buffer.append(seq)
     got = QUERIES["stream_bounded_buffer"](spark, SF_DIR).select("user_id", "item", "outcome", "cause").collect()
     assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
+def test_stream_redelivery_gives_every_receive(spark):
+    events = [(f"{user}/{seq // 1500}", ms, kind == "purchase") for seq, user, ms, kind in _events("event_id, user_id, epoch_us(ts) // 1000, event_type")]
+    now, first, expected = max(ms for _, ms, _ in events), {}, set()
+    for message, ms, settles in events:
+        if not settles:
+            first[message] = min(ms, first.get(message, ms))
+    for message, start in first.items():
+        settled = min((ms for m, ms, s in events if m == message and s and ms >= start), default=None)
+        for n in range(5):
+            at = start + n * 36_000_000
+            if n == 0 or (at <= now and (settled is None or at <= settled)):
+                expected.add((message, n + 1, at))
+    got = QUERIES["stream_redelivery"](spark, SF_DIR).selectExpr("message", "receive_count", "delivered_at").collect()
+    when = {(r.message, r.receive_count, (r.delivered_at - EPOCH) // timedelta(milliseconds=1)) for r in got}
+    assert len(got) == len(expected) and when == expected
