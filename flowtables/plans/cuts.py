@@ -24,14 +24,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.plans.ordered import CHUNK, Arranged, _count_at_most
-from flowtables.plans.sizes import written
+from flowtables.plans.ordered import CHUNK, Arranged, count_at_most
+from flowtables.plans.sizes import broadcast_if_small, written
 
 # The open group at some point: (size, 0) or (rows, time of its first row).
 Open = tuple[int, int]
@@ -123,12 +122,12 @@ def cut(rows: Arranged, rule: Rule, value: str, name: str) -> DataFrame:
     columns = rows.df.columns
     table = rows.table
     if rows.split:
-        carry = _carry(rows, rule, value)
+        # One row per chunk of a hot key.
+        carry = broadcast_if_small(_carry(rows, rule, value))
         matched = F.lit(True)
         for i, k in enumerate(rows.group):
             matched &= table[k].eqNullSafe(carry[f"_k{i}"])
-        # One row per chunk of a hot key.
-        table = table.join(F.broadcast(carry), matched, "left").select(
+        table = table.join(carry, matched, "left").select(
             *[table[c] for c in table.columns], "_a", "_b", "_groups"
         )
     else:
@@ -212,8 +211,8 @@ def _carry(rows: Arranged, rule: Rule, value: str) -> DataFrame:
 
 
 def _chunks(hot: DataFrame, keys: list[str], by_size: bool) -> DataFrame:
-    """One row per chunk: a number for the key, the rows and values before the chunk,
-    and the row and the place it ends with."""
+    """One row per chunk: a number for the key, the chunk's place ``_p`` in it from 1, the rows
+    and values before the chunk, and the row and the place it ends with."""
     chunks = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("_v").alias("total"), F.max("_v").alias("last"))
     in_key = Window.partitionBy(*keys[:-1]).orderBy(keys[-1])
     so_far = in_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -223,6 +222,7 @@ def _chunks(hot: DataFrame, keys: list[str], by_size: bool) -> DataFrame:
         *keys[:-1],
         F.col(keys[-1]).alias("_c"),
         "_id",
+        F.row_number().over(in_key).cast("bigint").alias("_p"),
         (rows - F.col("rows")).alias("rows_before"),
         (total - F.col("total")).alias("before"),
         rows.alias("end_n"),
@@ -233,12 +233,11 @@ def _chunks(hot: DataFrame, keys: list[str], by_size: bool) -> DataFrame:
 def _entries(hot: DataFrame, chunks: DataFrame, keys: list[str], order: list[str], rule: Rule) -> DataFrame:
     """Rows that can be the first start of their chunk: the key's row ``n`` and its place,
     the groups from there on, and the last start in the chunk."""
-    schema = "_id bigint, _c int, n bigint, place bigint, groups bigint, exit_n bigint, exit_at bigint"
+    fields = ["_id", "_c", "_p", "n", "place", "groups", "exit_n", "exit_at"]
+    schema = "_id bigint, _c int, _p bigint, n bigint, place bigint, groups bigint, exit_n bigint, exit_at bigint"
 
-    def summarise(chunk_rows: pd.DataFrame) -> pd.DataFrame:
-        first = chunk_rows.iloc[0]
-        rows_before, before = int(first["rows_before"]), int(first["before"])
-        v = chunk_rows.sort_values(order, na_position="first")["_v"].to_numpy(dtype=np.int64)
+    def summarise(chunk: tuple, v: np.ndarray) -> list[np.ndarray]:
+        *named, rows_before, before = chunk
         following = rule.next_starts(v).tolist()
         last, count = [0] * len(v), [0] * len(v)
         for i in range(len(v) - 1, -1, -1):
@@ -246,48 +245,70 @@ def _entries(hot: DataFrame, chunks: DataFrame, keys: list[str], order: list[str
             last[i], count[i] = (i, 1) if n >= len(v) else (last[n], count[n] + 1)
         size = len(rule.head(v))
         ends = np.array(last[:size])
-        return pd.DataFrame(
-            {
-                "_id": first["_id"],
-                "_c": first["_c"],
-                "n": rows_before + 1 + np.arange(size),
-                "place": rule.places(v, before)[:size],
-                "groups": count[:size],
-                "exit_n": rows_before + 1 + ends,
-                "exit_at": rule.begins(v, before)[ends],
-            }
-        )
+        columns = [rows_before + 1 + np.arange(size), rule.places(v, before)[:size], np.array(count[:size]), rows_before + 1 + ends, rule.begins(v, before)[ends]]
+        return [*[np.full(size, x) for x in named], *columns]
+
+    def record(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if f == "_c" else pa.int64()) for f, c in zip(fields, columns)], names=fields)
+
+    def all_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come chunk by chunk; of a chunk that goes on in the next batch only values are held."""
+        chunk, held, parts, size = None, [], [], 0
+        for batch in batches:
+            new = batch.column("_new").to_numpy(zero_copy_only=False)
+            values = batch.column("_v").to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(new)
+            named = [batch.column(c).take(pa.array(begins)).to_pylist() for c in ("_id", "_c", "_p", "rows_before", "before")]
+            held.append(values[: begins[0] if len(begins) else len(values)])
+            for i, low in enumerate(begins):
+                if chunk is not None:
+                    parts.append(summarise(chunk, np.concatenate(held)))
+                    size += len(parts[-1][0])
+                if size >= 100_000:
+                    yield record(parts)
+                    parts, size = [], 0
+                chunk = tuple(c[i] for c in named)
+                held = [values[low : begins[i + 1] if i + 1 < len(begins) else len(values)]]
+        if chunk is not None:
+            parts.append(summarise(chunk, np.concatenate(held)))
+        if parts:
+            yield record(parts)
 
     # One row per chunk: at most rows / rows_per_chunk, plus one per hot key.
-    small = F.broadcast(chunks.withColumnsRenamed({k: f"_small{k}" for k in keys[:-1]}))
+    small = broadcast_if_small(chunks.withColumnsRenamed({k: f"_small{k}" for k in keys[:-1]}))
     matched = F.col(keys[-1]) == F.col("_c")
     for k in keys[:-1]:
         matched &= F.col(k).eqNullSafe(F.col(f"_small{k}"))
-    # A chunk is one group here: its size is what arrange() aimed at.
-    rows = hot.join(small, matched).select("_id", "_c", "rows_before", "before", *order, "_v")
-    return rows.groupBy("_id", "_c").applyInPandas(summarise, schema)
+    rows = hot.join(small, matched).select("_id", "_c", "_p", "rows_before", "before", *order, "_v")
+    # As in cut(): each chunk in one task, in order.  Its size is what arrange() aimed at.
+    w = Window.partitionBy("_id", "_c").orderBy(*order)
+    rows = rows.withColumn("_new", F.row_number().over(w) == 1).sortWithinPartitions("_id", "_c", *order)
+    return rows.select("_id", "_c", "_p", "rows_before", "before", "_v", "_new").mapInArrow(all_chunks, schema)
 
 
 def _pointers(entries: DataFrame, chunks: DataFrame, rule: Rule) -> DataFrame:
     """From each entry to the one its last start leads to: ``n``, ``next`` and the groups between."""
-    ends = chunks.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_c", "end_n", "end_place"))).alias("ends"))
-    most = ends.agg(F.max(F.size("ends"))).first()[0]
-    wanted = F.col("exit_at") + rule.reach
-    chunk = _count_at_most(F.col("ends.end_place"), wanted - 1, most)
-    by_row = F.lit(None).cast("bigint")
+    by_place = chunks.select("_id", F.col("end_place").alias("_bound"))
+    leads = entries.withColumn("place", F.col("exit_at") + rule.reach)
+    leads = count_at_most(leads, by_place, {"_id": "_id"}, F.col("place") - 1, "_to")
+    to, by_row = F.col("_to"), F.lit(None).cast("bigint")
     if isinstance(rule, ByCountOrSpan):
         by_row = F.col("exit_n") + rule.rows
-        chunk = F.least(chunk, _count_at_most(F.col("ends.end_n"), by_row - 1, most))
+        by_end = chunks.select("_id", F.col("end_n").alias("_bound"))
+        leads = count_at_most(leads, by_end, {"_id": "_id"}, by_row - 1, "_to_row")
+        to = F.least(to, F.col("_to_row"))
     # A row past the limit is over at once, but the next start is in a later chunk all the same.
-    chunk = F.greatest(chunk, _count_at_most(F.col("ends._c"), F.col("_c"), most))
-    leads = entries.join(F.broadcast(ends), "_id").withColumns({"to": chunk, "by_row": by_row}).where(F.col("to") < F.size("ends"))
-    asked = leads.select(
-        "_id", F.get("ends", "to")["_c"].alias("_c"), wanted.alias("place"), F.lit(0).alias("is_entry"), "n", "groups",
-        F.when(F.col("by_row") <= F.get("ends", "to")["end_n"], F.col("by_row")).alias("by_row"),
+    # The chunk after the last one does not exist, and the way ends.
+    target = chunks.select(F.col("_id").alias("_key"), F.col("_p").alias("_next"), "end_n")
+    leads = leads.withColumns({"to": F.greatest(to, F.col("_p")) + 1, "by_row": by_row})
+    asked = leads.join(broadcast_if_small(target), (F.col("_id") == F.col("_key")) & (F.col("to") == F.col("_next"))).select(
+        "_id", F.col("to").alias("_p"), "place", F.lit(0).alias("is_entry"), "n", "groups",
+        F.when(F.col("by_row") <= F.col("end_n"), F.col("by_row")).alias("by_row"),
     )
-    there = entries.select("_id", "_c", "place", F.lit(1).alias("is_entry"), "n")
+    there = entries.select("_id", "_p", "place", F.lit(1).alias("is_entry"), "n")
     # Backwards, the last entry seen is the first one at or after the place.
-    back = Window.partitionBy("_id", "_c").orderBy(F.desc("place"), F.desc("is_entry"), F.desc("n"))
+    back = Window.partitionBy("_id", "_p").orderBy(F.desc("place"), F.desc("is_entry"), F.desc("n"))
     at = F.last(F.when(F.col("is_entry") == 1, F.col("n")), ignorenulls=True).over(back)
     both = there.unionByName(asked, allowMissingColumns=True).withColumn("at", at).where("is_entry = 0")
     return both.select("_id", "n", F.least("at", "by_row").alias("next"), "groups")

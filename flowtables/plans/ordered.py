@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.plans.sizes import written
+from flowtables.plans.sizes import broadcast_if_small, written
 
 #: Rows of a key that one task handles at a time, about.
 ROWS_PER_CHUNK = 2_000_000
 #: Sampled rows per chunk; more gives more even chunks.
 SAMPLES_PER_CHUNK = 32
+#: Bounds that are looked through at once; a key with more has pages of them, in levels.
+BOUNDS_PER_PAGE = 64
 
 CHUNK = "_chunk"
 _FIRST = Window.unboundedPreceding
@@ -221,10 +223,9 @@ class Arranged:
         and a second scan does not have the first one's summary in its plan twice.
         """
         names = [f"_k{i}" for i in range(len(self.group))]
-        carry = written(carry, "carry").withColumnsRenamed(dict(zip(self.group, names)))
-        if self.measured:
-            # One row per chunk: at most rows / rows_per_chunk, plus one per hot key.
-            carry = F.broadcast(carry)
+        # One row per chunk: at most rows / rows_per_chunk, plus one per hot key.
+        carry = broadcast_if_small(carry) if self.measured else written(carry, "carry")
+        carry = carry.withColumnsRenamed(dict(zip(self.group, names)))
         matched = F.lit(True)
         for k, n in zip(self.group, names):
             mine, theirs = self.table[k], carry[n]
@@ -248,23 +249,11 @@ def arrange(
     key, order = _names(key), _names(order)
     if rows_per_chunk == 0:
         return Arranged(df, key, order, split=False)
-    bounds = _chunk_bounds(df, key, order, rows_per_chunk or ROWS_PER_CHUNK)
-    if not bounds:
+    bounds = written(_chunk_bounds(df, key, order, rows_per_chunk or ROWS_PER_CHUNK), "bounds")
+    if bounds.isEmpty():
         return Arranged(df, key, order, split=False)
-
-    fields = [T.StructField(f"_b{i}", df.schema[k].dataType) for i, k in enumerate(key)]
-    at = T.StructType([df.schema[o] for o in order])
-    schema = T.StructType([*fields, T.StructField("_bounds", T.ArrayType(at))])
-    # One row per hot key, one bound per chunk: at most rows / rows_per_chunk.
-    table = F.broadcast(df.sparkSession.createDataFrame(bounds, schema))
-    matched = F.lit(True)
-    for i, k in enumerate(key):
-        matched &= df[k].eqNullSafe(table[f"_b{i}"])
-    most = max(len(row["_bounds"]) for row in bounds)
-    chunk = F.when(
-        F.col("_bounds").isNotNull(), _count_at_most(F.col("_bounds"), F.struct(*order), most)
-    )
-    chunked = df.join(table, matched, "left").select(*[df[c] for c in df.columns], chunk.alias(CHUNK))
+    names = [f"_b{i}" for i in range(len(key))]
+    chunked = count_at_most(df, bounds, dict(zip(key, names)), F.struct(*order), CHUNK)
     return Arranged(chunked, key, order, split=True)
 
 
@@ -283,27 +272,59 @@ def _names(names: str | Sequence[str]) -> tuple[str, ...]:
     return names
 
 
-def _chunk_bounds(df: DataFrame, key, order, rows_per_chunk: int) -> list:
-    """First order value of every chunk but the first, per hot key.
+def _chunk_bounds(df: DataFrame, key, order, rows_per_chunk: int) -> DataFrame:
+    """``_bound``: first order value of every chunk but the first, of hot keys.
 
     The sample is chosen by a hash of the row's key and order, so it does not
     depend on how the input is partitioned.
     """
     every = min(SAMPLES_PER_CHUNK, rows_per_chunk)
     sampled = F.pmod(F.xxhash64(*key, *order), F.lit(rows_per_chunk)) < every
-    at = F.struct(*order)
     position = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     return (
         df.where(sampled)
-        .select(*key, at.alias("_at"), position.alias("_n"))
+        .select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(key)], F.struct(*order).alias("_bound"), position.alias("_n"))
         .where(F.col("_n") % every == 0)
-        .groupBy(*key)
-        .agg(F.sort_array(F.collect_set("_at")).alias("_bounds"))
-        .select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(key)], "_bounds")
-        .collect()
+        .drop("_n")
+        .distinct()
     )
 
 
+def count_at_most(rows: DataFrame, bounds: DataFrame, key: dict[str, str], value: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``: how many bounds of the row's key are <= ``value``, null for a key without any.
+
+    ``bounds`` has a row for each, in ``_bound``; ``key`` names its key columns for those of the
+    rows.  Rows never hold all bounds of a key: they look through a page, whose number leads to
+    a page of the next level, and so on, as in a B-tree.
+    """
+    names = list(key.values())
+    at = Window.partitionBy(*names).orderBy("_bound")
+    numbered = bounds.select(*names, "_bound", F.row_number().over(at).cast("bigint").alias("_i"))
+    first = bounds.select(*names).distinct().select("*", F.lit(None).cast(bounds.schema["_bound"].dataType).alias("_bound"), F.lit(0).cast("bigint").alias("_i"))
+    numbered = written(numbered.unionByName(first), "bounds")
+    most = numbered.agg(F.max("_i")).first()[0] or 0
+    stride = 1
+    while stride * BOUNDS_PER_PAGE <= most:
+        stride *= BOUNDS_PER_PAGE
+    columns, count = rows.columns, F.lit(0).cast("bigint")
+    rows = rows.withColumns({"_looked": value, "_found": count})
+    while stride:
+        own = F.when(F.col("_i") % (stride * BOUNDS_PER_PAGE) != 0, F.col("_bound"))
+        page = F.floor(F.col("_i") / (stride * BOUNDS_PER_PAGE)).cast("bigint")
+        pages = (
+            numbered.where(F.col("_i") % stride == 0)
+            .groupBy(*[F.col(n).alias(f"_page{i}") for i, n in enumerate(names)], page.alias("_page"))
+            .agg(F.sort_array(F.collect_list(own)).alias("_bounds"))
+        )
+        matched = F.col("_found") == F.col("_page")
+        for i, k in enumerate(key):
+            matched &= F.col(k).eqNullSafe(F.col(f"_page{i}"))
+        found = F.col("_found") * BOUNDS_PER_PAGE + _count_at_most(F.col("_bounds"), F.col("_looked"), BOUNDS_PER_PAGE)
+        rows = rows.join(broadcast_if_small(pages), matched, "left").select(*columns, "_looked", F.when(F.col("_bounds").isNotNull(), found).alias("_found"))
+        stride //= BOUNDS_PER_PAGE
+    return rows.select(*columns, F.col("_found").cast("int").alias(name))
+
+
 def _count_at_most(bounds: Column, value: Column, most: int) -> Column:
     """Number of sorted ``bounds`` that are <= ``value``, by bisection."""
     steps = [1 << b for b in reversed(range(most.bit_length()))]
