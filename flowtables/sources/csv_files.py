@@ -4,7 +4,7 @@ A line break ends a record only outside quotes, and whether a line starts inside
 quotes depends on everything before it.  Each line alone tells what it does to
 that state: keep it, flip it, or set it whatever it was.  So the state before a
 line is the last setting plus the flips since.  These are running values: inside
-a split of a file over its lines, then over one row per split
+a piece of a split over its lines, then over one row per piece
 (:mod:`flowtables.plans.ordered`).  No file is read by one task, and the files are
 read twice: for the summaries and for the records.
 """
@@ -20,6 +20,9 @@ from flowtables.operators.policy import with_error_policy
 from flowtables.plans.ordered import CHUNK, arrange_by
 from flowtables.plans.pin import pin
 
+#: Lines of a split that are framed at a time; a split of long lines is more than one task should read.
+LINES_PER_CHUNK = 4096
+
 # Byte order marks of other encodings.
 BOMS_REJECTED = ("FEFF", "FFFE", "0000FEFF", "FFFE0000")
 
@@ -121,11 +124,13 @@ def _frame(lines: DataFrame, dialect: Dialect, line_end: str) -> DataFrame:
         F.when(~has_quote & ~has_escape, True).when(stays, True).when(has_quote, tail_opens).otherwise(False)
     )
     lines = pin(lines, _out=from_outside, _in=from_inside)
-    rows = arrange_by(lines, "file", ("block", "at"), F.col("block"))
+    # The lower bits of ``at`` count the rows of a task, which reads its splits one after the other.
+    part = F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / LINES_PER_CHUNK)
+    rows = arrange_by(lines, "file", ("block", "at"), F.struct("block", part.alias("part")))
     w = Window.partitionBy(*rows.group).orderBy(*rows.order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
 
-    # Inside a block, for both states it may begin in: the state before each line
+    # Inside a piece of a block, for both states it may begin in: the state before each line
     # and the last line so far that starts a record.
     flip = (F.col("_out") & ~F.col("_in")).cast("int")
     setting = F.when(
@@ -138,7 +143,7 @@ def _frame(lines: DataFrame, dialect: Dialect, line_end: str) -> DataFrame:
         .withColumns({f"_s{h}": _state(h, F.col("_set"), F.col("_seen")) for h in (0, 1)})
         .withColumns({f"_r{h}": F.max(F.when(F.col(f"_s{h}") == 0, F.col("_n"))).over(w) for h in (0, 1)})
     )
-    # Blocks one after the other: what state they begin in, which line is first,
+    # Pieces one after the other: what state they begin in, which line is first,
     # and where the record that goes on in them has started.
     last = F.struct(*rows.order)
     after = {h: F.when(F.col(f"_s{h}") == 1, F.col("_in")).otherwise(F.col("_out")).cast("int") for h in (0, 1)}

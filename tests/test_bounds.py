@@ -5,6 +5,7 @@ from bisect import bisect_right
 from pyspark.sql import functions as F
 
 from flowtables.plans import ordered
+from flowtables.sources import csv_files
 
 
 def test_count_at_most_by_pages(spark, monkeypatch):
@@ -18,3 +19,16 @@ def test_count_at_most_by_pages(spark, monkeypatch):
     got = {(r.k, r.v): r.n for r in ordered.count_at_most(rows, table, {"k": "b"}, F.col("v"), "n").collect()}
     assert got == {(k, v): bisect_right(bounds[k], v) if k in bounds else None for k in [*bounds, "none"] for v in values}
     assert len(looked) == 4 and all(p.agg(F.max(F.size("_bounds"))).first()[0] <= 4 for p in looked)
+
+
+def test_a_split_is_framed_in_pieces(spark, tmp_path, monkeypatch):
+    """Records go over the ends of pieces, and no piece has more lines than it should."""
+    records = [(str(i), "\n".join(f'{i} "{j}"' for j in range(i % 6))) for i in range(60)]
+    text = "".join('{},"{}"\n'.format(a, b.replace('"', '""')) for a, b in records)
+    (tmp_path / "a.csv").write_text(text)
+    seen, plain = [], csv_files.arrange_by
+    monkeypatch.setattr(csv_files, "LINES_PER_CHUNK", 3)
+    monkeypatch.setattr(csv_files, "arrange_by", lambda *a: seen.append(plain(*a)) or seen[-1])
+    got = csv_files.csv_scan(spark, str(tmp_path), on_error="stop").orderBy("line").collect()
+    assert [tuple(r.fields) for r in got] == records
+    assert seen[0].table.groupBy(*seen[0].group).count().agg(F.max("count")).first()[0] == 3
