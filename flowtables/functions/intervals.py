@@ -20,12 +20,14 @@ from flowtables.functions.markup import VOID_ELEMENTS
 #: tokens of a run of text, which has no token.
 PIECES = "array<struct<at: int, token: string, within: boolean, texts: array<string>>>"
 _PIECE = pa.struct([("at", pa.int32()), ("token", pa.string()), ("within", pa.bool_()), ("texts", pa.list_(pa.string()))])
+#: Bytes of tokens that are looked at at a time, about.
+BYTES = 4 << 20
 _SPACE = r"[ \t\n\x0B\f\r]"
 
 
 def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, merge: bool) -> Iterator[pa.RecordBatch]:
     """For rows (id, tokens): the id and the pieces inside ``path``, runs of text as one if ``merge``."""
-    for batch in batches:
+    for batch in _parts(batches):
         tokens = batch.column(1).cast(pa.list_(pa.string()))
         starts = tokens.offsets.to_numpy().astype(np.int64)
         starts -= starts[0]
@@ -39,6 +41,15 @@ def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, m
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pieces)], names=[batch.schema.names[0], "pieces"])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about ``BYTES`` of tokens, so that what is held beside a batch does not grow with it."""
+    for batch in batches:
+        rows = batch.num_rows
+        step = max(1, int(rows * BYTES / max(1, batch.column(1).nbytes)))
+        for low in range(0, rows, step):
+            yield batch.slice(low, step)
+
+
 def _mask(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(bool)
 

@@ -2,8 +2,10 @@
 
 from bisect import bisect_right
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from flowtables.functions import intervals
 from flowtables.plans import ordered
 from flowtables.sources import csv_files
 
@@ -32,3 +34,13 @@ def test_a_split_is_framed_in_pieces(spark, tmp_path, monkeypatch):
     got = csv_files.csv_scan(spark, str(tmp_path), on_error="stop").orderBy("line").collect()
     assert [tuple(r.fields) for r in got] == records
     assert seen[0].table.groupBy(*seen[0].group).count().agg(F.max("count")).first()[0] == 3
+
+
+def test_slices_of_a_large_batch_come_in_parts(monkeypatch):
+    tokens = [["<a>", f"t{i}", "<b>", "x", "</b>", "</a>"] * (i % 4) for i in range(200)]
+    batch = pa.record_batch([pa.array(range(200)), pa.array(tokens, pa.list_(pa.string()))], names=["doc_id", "tokens"])
+    whole = pa.Table.from_batches(intervals.slices(iter([batch]), ["a"], False, False)).to_pylist()
+    monkeypatch.setattr(intervals, "BYTES", batch.column(1).nbytes // 10)
+    parts = list(intervals.slices(iter([batch, batch.slice(0, 0)]), ["a"], False, False))
+    assert len(parts) >= 10 and pa.Table.from_batches(parts).to_pylist() == whole
+    assert [p["token"] for p in whole[1]["pieces"]] == ["t1", "<b>", "x", "</b>"]
