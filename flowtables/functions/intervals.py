@@ -41,6 +41,49 @@ def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, m
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pieces)], names=[batch.schema.names[0], "pieces"])
 
 
+#: at: place of the token; starts, ends: whether a document starts before it and ends after it.
+MARKED = "array<struct<at: int, token: string, starts: boolean, ends: boolean>>"
+_MARKED = pa.struct([("at", pa.int32()), ("token", pa.string()), ("starts", pa.bool_()), ("ends", pa.bool_())])
+
+
+def marked(batches: Iterator[pa.RecordBatch], html: bool) -> Iterator[pa.RecordBatch]:
+    """For rows (id, tokens): the id and all tokens, with where documents start and end.
+
+    A document starts at the first element or processing instruction at the top since the last
+    end, and ends with a top element."""
+    for batch in _parts(batches):
+        tokens = batch.column(1).cast(pa.list_(pa.string()))
+        starts = tokens.offsets.to_numpy().astype(np.int64)
+        starts -= starts[0]
+        flat = tokens.flatten()
+        sizes = np.diff(starts)
+        first = np.repeat(starts[:-1], sizes)
+        end = _mask(pc.starts_with(flat, "</"))
+        start = _mask(pc.starts_with(flat, "<")) & ~end & ~_mask(pc.match_substring_regex(flat, "^<([!?]|$)"))
+        single = start & _mask(pc.ends_with(flat, "/>"))
+        if html:
+            name = pc.struct_field(pc.extract_regex(flat, r"^<(?P<name>[^ \t\n\x0B\f\r/>]+)"), "name")
+            single |= start & _mask(pc.fill_null(pc.is_in(pc.utf8_lower(name), pa.array(VOID_ELEMENTS)), False))
+            single |= start & _mask(pc.match_substring_regex(flat, r"(?is)^<(?:script|style)\b.*</"))
+        step = (start & ~single).astype(np.int64) - end
+        after = np.cumsum(step)
+        after -= np.repeat(np.concatenate([[0], after])[starts[:-1]], sizes)
+        top = after - step == 0  # nothing is open before the token
+        instruction = _mask(pc.match_substring_regex(flat, r"(?s)^<\?.*\?>$")) & ~_mask(pc.match_substring_regex(flat, rf"^<\?[xX][mM][lL]{_SPACE}"))
+        instruction &= pc.binary_length(flat).to_numpy(zero_copy_only=False) >= 4
+        begins = (start | instruction) & top
+        ends = (end & (after == 0)) | (single & top)
+        marks = np.flatnonzero(begins | ends)
+        last = np.concatenate([[-1], marks])[:-1] if len(marks) else marks
+        goes_on = (last >= first[marks]) & ~ends[last]  # the mark before it has begun a document
+        begins[marks[goes_on]] = False
+        at = (np.arange(len(flat)) - first).astype(np.int32)
+        pieces = pa.StructArray.from_arrays([pa.array(at), flat, pa.array(begins), pa.array(ends)], fields=[*_MARKED])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pieces)], names=[batch.schema.names[0], "pieces"]
+        )
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches in parts of about ``BYTES`` of tokens, so that what is held beside a batch does not grow with it."""
     for batch in batches:

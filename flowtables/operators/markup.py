@@ -35,10 +35,15 @@ def markup_events(
     start and an end.  With ``html``, script and style hold raw text and void
     elements end at once.  With ``documents``, start and end of each document are
     events too; a text may hold several documents."""
-    split = df.select(F.col(id_col), F.posexplode(_tokens(text_col, html)).alias("_pos", "_token"))
-    events = _events(split, id_col, html)
-    # The events of a document come from one row here.
-    return with_documents(events, id_col, rows_per_chunk=0) if documents else events
+    if not documents:
+        split = df.select(F.col(id_col), F.posexplode(_tokens(text_col, html)).alias("_pos", "_token"))
+        return _events(split, id_col, html)
+    # The events of a document come from one row here, so its tokens are marked there, and no events are sorted.
+    rows = df.select(F.col(id_col), F.coalesce(_tokens(text_col, html), F.array().cast("array<string>")).alias("_tokens"))
+    schema = T.StructType([rows.schema[id_col], T.StructField("pieces", T.DataType.fromDDL(intervals.MARKED))])
+    marked = rows.mapInArrow(lambda batches: intervals.marked(batches, html), schema)
+    split = marked.select(F.col(id_col), F.inline("pieces").alias("_pos", "_token", "_starts", "_ends"))
+    return _events(split, id_col, html)
 
 
 def _tokens(text_col: str, html: bool) -> Column:
@@ -70,6 +75,17 @@ def _events(split: DataFrame, id_col: str, html: bool, attributes: bool = True)
     tokens = tokens.withColumn("_attrs", attrs)
     parts = markup.token_events(kind, F.col("_name"), F.col("_attrs"), F.col("_text"))
     sub = F.col("_sub")
+    if "_starts" in split.columns:
+        none = F.lit(None).cast("string")
+        mark = lambda kind: F.struct(F.lit(kind).alias("kind"), none.alias("name"), F.lit(None).cast("map<string,string>").alias("attrs"), none.alias("text"))
+        nothing = F.slice(parts, 1, 0)
+        before = F.when(F.col("_starts"), F.array(mark("start_document"))).otherwise(nothing)
+        after = F.when(F.col("_ends"), F.array(mark("end_document"))).otherwise(nothing)
+        parts = F.concat(before, parts, after)
+        is_start, is_end = F.col("_event.kind") == "start_document", F.col("_event.kind") == "end_document"
+        sub = F.when(is_start, -1).when(is_end, _SLOTS - 2).otherwise(F.col("_sub") - F.col("_starts").cast("int"))
+        tokens = tokens.select(id_col, "_pos", "_starts", F.posexplode(parts).alias("_sub", "_event"))
+        return tokens.select(id_col, (F.col("_pos").cast("bigint") * _SLOTS + sub + 1).alias("seq"), "_event.*")
     if sliced:
         parts = F.when(F.col("_within"), F.filter(parts, lambda e: e["kind"] == "characters")).otherwise(parts)
         sub = F.when(F.col("_within"), 1).otherwise(sub)

@@ -3,9 +3,11 @@
 from bisect import bisect_right
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from flowtables.functions import intervals
+from flowtables.operators.markup import markup_events, with_documents
 from flowtables.plans import ordered
 from flowtables.sources import csv_files
 
@@ -44,3 +46,15 @@ def test_slices_of_a_large_batch_come_in_parts(monkeypatch):
     parts = list(intervals.slices(iter([batch, batch.slice(0, 0)]), ["a"], False, False))
     assert len(parts) >= 10 and pa.Table.from_batches(parts).to_pylist() == whole
     assert [p["token"] for p in whole[1]["pieces"]] == ["t1", "<b>", "x", "</b>"]
+
+
+@pytest.mark.parametrize("html", [False, True])
+def test_documents_are_marked_without_a_shuffle(spark, capsys, html):
+    texts = ['<?xml version="1.0"?><a><b/>t</a><c/> x <?pi q?><d>1</d></e><f></f>', "<?p 1?><?p 2?><a/>", "</a></b><c></c><d>", "plain", "", None,
+             "<a><script>x</script></a><style></style><br><!-- open", "<a/><a/><?q r?><x:br/>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = markup_events(df, "id", "t", html=html, documents=True)
+    expected = with_documents(markup_events(df, "id", "t", html=html), "id", rows_per_chunk=0)
+    assert sorted(map(repr, got.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+    got.explain()
+    assert "Exchange" not in capsys.readouterr().out
