@@ -184,10 +184,18 @@ def markup_well_formed(spark, sf_dir):
     return well_formed(_page_events(spark, sf_dir), "page_id", rows_per_chunk=0)
 
 
+#: Kinds of events that are no characters.
+_NO_TEXT = ["start_element", "end_element", "cdata", "comment", "processing_instruction", "error"]
+
+
 def _order_documents(spark, sf_dir):
-    """One XML document per order, its line items inside."""
+    """One XML document per order, its line items inside.  Partitions are as many as the session asks for:
+    their rows are few for Spark's merging of small ones, and are much work."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
+        .repartition(tasks, "l_orderkey")
         .withColumn("at", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
         .groupBy("l_orderkey")
         .agg(F.sort_array(F.collect_list(F.struct("at", "l_returnflag", "l_quantity"))).alias("items"))
@@ -225,8 +233,8 @@ def subslice_query(spark, sf_dir):
     UNION ALL SELECT l_orderkey, 'end_element', 'qty', count(*) FROM lineitem GROUP BY 1"""
 )
 def subslice_tags(spark, sf_dir):
-    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"])
-    return inside.where("kind <> 'characters'").groupBy("doc_id", "kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"], attributes=False, kinds=_NO_TEXT)
+    return inside.groupBy("doc_id", "kind", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -25,8 +25,9 @@ BYTES = 4 << 20
 _SPACE = r"[ \t\n\x0B\f\r]"
 
 
-def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, merge: bool) -> Iterator[pa.RecordBatch]:
-    """For rows (id, tokens): the id and the pieces inside ``path``, runs of text as one if ``merge``."""
+def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, merge: bool, kinds: Sequence[str] | None = None) -> Iterator[pa.RecordBatch]:
+    """For rows (id, tokens): the id and the pieces inside ``path``, runs of text as one if ``merge``, else
+    those that may give an event of ``kinds``."""
     for batch in _parts(batches):
         tokens = batch.column(1).cast(pa.list_(pa.string()))
         starts = tokens.offsets.to_numpy().astype(np.int64)
@@ -36,6 +37,9 @@ def slices(batches: Iterator[pa.RecordBatch], path: Sequence[str], html: bool, m
         owner = np.repeat(np.arange(len(tokens)), np.diff(starts))[kept]
         at = (np.arange(len(flat)) - np.repeat(starts[:-1], np.diff(starts)))[kept].astype(np.int32)
         own = flat.take(pa.array(kept))
+        if kinds is not None and not merge:
+            some = np.flatnonzero(_may_give(own, kinds, html))
+            own, at, kept, owner = own.take(pa.array(some)), at[some], kept[some], owner[some]
         pieces, owner = _pieces(own, at, within[kept], owner, merge)
         ends = np.searchsorted(owner, np.arange(len(tokens) + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pieces)], names=[batch.schema.names[0], "pieces"])
@@ -93,6 +97,23 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(low, step)
 
 
+def _may_give(tokens: pa.Array, kinds: Sequence[str], html: bool) -> np.ndarray:
+    """Tokens that give an event of ``kinds``, judged by how they begin and end, and maybe some that give none."""
+    markup = _mask(pc.starts_with(tokens, "<")) & ~_mask(pc.equal(tokens, "<"))
+    end, other = _mask(pc.starts_with(tokens, "</")), _mask(pc.starts_with(tokens, "<!")) | _mask(pc.starts_with(tokens, "<?"))
+    start = markup & ~end & ~other
+    out = np.zeros(len(tokens), bool)
+    if "characters" in kinds:
+        out |= ~markup | (start & html)
+    if "start_element" in kinds:
+        out |= start
+    if "end_element" in kinds:
+        out |= end | (start & (html | _mask(pc.ends_with(tokens, "/>"))))
+    if not {"comment", "cdata", "processing_instruction", "error"}.isdisjoint(kinds):
+        out |= other
+    return out
+
+
 def _mask(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).astype(bool)
 

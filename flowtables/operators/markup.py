@@ -105,28 +105,32 @@ def subslice_text(
     attributes: bool = True,
     max_text: int | None = None,
     on_error: str | None = "stop",
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """What :func:`subslice` keeps of :func:`markup_events`, without events for the rest.
 
     Elements of the path are intervals of the row's token array, and what is inside is a slice
     of it, so nothing is sorted or shuffled and only those tokens are read.  With ``max_text``,
     runs of text are merged as :func:`coalesce_text` does it, with its ``error`` column and
-    ``on_error``.  Without ``attributes``, ``attrs`` is null.
+    ``on_error``.  Without ``attributes``, ``attrs`` is null.  With ``kinds``, only events of these
+    kinds; tokens that give none are left out where documents are sliced.
     """
     rows = df.select(F.col(id_col), F.coalesce(_tokens(text_col, html), F.array().cast("array<string>")).alias("_tokens"))
     schema = T.StructType([rows.schema[id_col], T.StructField("pieces", T.DataType.fromDDL(intervals.PIECES))])
-    path, merge = list(path), max_text is not None
-    sliced = rows.mapInArrow(lambda batches: intervals.slices(batches, path, html, merge), schema)
+    path, merge, kinds = list(path), max_text is not None, None if kinds is None else list(kinds)
+    sliced = rows.mapInArrow(lambda batches: intervals.slices(batches, path, html, merge, kinds), schema)
     split = sliced.select(F.col(id_col), F.inline("pieces").alias("_pos", "_token", "_within", "_texts"))
+    asked = F.lit(True) if kinds is None else F.col("kind").isin(*kinds)
     if not merge:
-        return _events(split.drop("_texts"), id_col, html, attributes)
+        return _events(split.drop("_texts"), id_col, html, attributes).where(asked)
     is_text = lambda t: F.when(t.startswith("<![CDATA["), "cdata").otherwise("characters")
     run = F.array_join(F.transform("_texts", lambda t: markup.token_text(t, is_text(t))), "")
     split = split.withColumns({"_is_run": F.col("_texts").isNotNull(), "_run": run}).drop("_texts")
     merged = _events(split, id_col, html, attributes)
     long = (F.col("kind") == "characters") & (F.length("text") > max_text)
     merged = pin(merged, error=F.when(long, F.lit("text_too_long"))).withColumn("text", F.when(F.col("error").isNull(), F.col("text")))
-    return merged if on_error is None else with_error_policy(merged, "error", on_error)
+    merged = merged if on_error is None else with_error_policy(merged, "error", on_error)
+    return merged.where(asked)
 
 
 def _with_depth(rows: Arranged) -> Arranged:

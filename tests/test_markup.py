@@ -1,7 +1,9 @@
 """Markup events, path filter and coalescing on small documents."""
 
+import pyarrow as pa
 import pytest
 
+from flowtables.functions import intervals
 from flowtables.operators.markup import coalesce_text, markup_events, subslice, subslice_text, well_formed
 
 
@@ -118,6 +120,23 @@ def test_slices_of_rows_are_slices_of_events(spark, path, html):
     assert flagged(subslice_text(df, "doc_id", "xml", path, html=html, max_text=12, on_error=None)) == flagged(merged)
 
 
+@pytest.mark.parametrize("path,html", [([], True), ([], False), (["a", "b"], False), (["html", "script"], True)])
+def test_slices_of_kinds(spark, path, html):
+    """Tokens of other kinds are left out in the slice, and no event of these kinds is lost."""
+    df = spark.createDataFrame([*enumerate(PAGES)], "doc_id int, xml string").coalesce(1)
+    rows = lambda d: sorted((r.doc_id, r.seq, r.kind, r.name or "", r.text or "") for r in d.collect())
+    every = rows(subslice_text(df, "doc_id", "xml", path, html=html))
+    some = [["characters"], ["start_element"], ["end_element"], ["comment", "error"], ["cdata", "processing_instruction", "start_element"], []]
+    for kinds in some:
+        assert rows(subslice_text(df, "doc_id", "xml", path, html=html, kinds=kinds)) == [r for r in every if r[2] in kinds]
+    merged = lambda **more: rows(subslice_text(df, "doc_id", "xml", path, html=html, max_text=1_000, **more))
+    assert merged(kinds=["characters"]) == [r for r in merged() if r[2] == "characters"]
+    tokens = pa.array([["<a>", "x", "</a>", "<!--c-->", "<", "<b/>"]])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), tokens], ["id", "tokens"])
+    kept = lambda kinds: [p["token"] for b in intervals.slices([batch], [], False, False, kinds) for r in b["pieces"].to_pylist() for p in r]
+    assert kept(["characters"]) == ["x", "<"] and kept(["end_element"]) == ["</a>", "<b/>"]
+
+
 def test_slices_shuffle_nothing(spark, capsys):
     df = spark.createDataFrame([*enumerate(PAGES)], "doc_id int, xml string")
     subslice_text(df, "doc_id", "xml", ["a", "b"], max_text=100).explain()
