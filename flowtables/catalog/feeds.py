@@ -222,8 +222,8 @@ def _order_documents(spark, sf_dir):
     name="subslice",
 )
 def subslice_query(spark, sf_dir):
-    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"], attributes=False)
-    return inside.where("kind = 'characters'").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    inside = subslice_text(_order_documents(spark, sf_dir), "doc_id", "xml", ["doc", "elem", "item"], attributes=False, kinds=["characters"])
+    return inside.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
