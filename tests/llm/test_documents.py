@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowtables.llm import fuzzy_lines, language, leaks, mixing, near_texts, quality, shards, token_files
 from flowtables.llm.components import connected_components
 from flowtables.llm.words import shingles, word_hashes
+from flowtables.plans import sizes
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -266,6 +267,19 @@ def test_line_groups(spark, none):
     assert fuzzy_lines.line_groups(none).collect() == []
 
 
+def test_fuzzy_lines_leave_little_on_disk(spark):
+    """Votes are not written, and blocks only once for each line, and only those that lines share again."""
+    draw = random.Random(23)
+    texts = ["\n".join(" ".join(f"{draw.randrange(10**6)}x" for _ in range(n)) for n in (12, 20, 130)) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    sizes.scratch_path(spark, "any")
+    folder = f"{sizes.shared_dir(spark)}/flowtables/{spark.sparkContext.applicationId}"
+    before = sizes.table_bytes(spark, folder)
+    got = fuzzy_lines.line_groups(docs)
+    left = sizes.table_bytes(spark, folder) - before
+    assert got.count() == 1_800 and left < 0.45 * sum(map(len, texts))
+
+
 def edits(x, y):
     """Edit distance of two lists."""
     row = list(range(len(y) + 1))
