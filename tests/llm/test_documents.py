@@ -1,7 +1,9 @@
 """Operators on documents against brute force, on a small table with odd rows."""
 
 import itertools
+import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -280,6 +282,38 @@ def test_fuzzy_lines_leave_little_on_disk(spark):
     assert got.count() == 1_800 and left < 0.45 * sum(map(len, texts))
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Shuffle files of a written table go with its write, not with the driver's garbage."""
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    held = lambda: sum(f.startswith("shuffle_") and f.endswith(".data") for d in folders for *_, fs in os.walk(d) for f in fs)
+    before, setting = held(), spark.conf.get(sizes.CLEANUP)
+    path, rows = sizes.write_table(spark.range(5_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "any")
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before and rows.count() == 7 and spark.conf.get(sizes.CLEANUP) == setting
+    sizes.delete_table(spark, path)
+
+
+def test_line_sketches(spark):
+    """SimHashes by their definition, and masks that lose no pair, of few and of many words, equal lines once."""
+    draw = random.Random(31)
+    lines = [" ".join(f"w{draw.randrange(400)}" for _ in range(n)) for n in (1, 5, 119, 120, 121, 240, 241, 700)]
+    lines += [" ".join(edited(draw, lines[4].split(" "), 24)), lines[1]]
+    words = sorted({w for x in lines for w in x.split(" ")})
+    codes = {r.w: r.x % 2**64 for r in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) AS x").collect()}
+    table = spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)] + [(99, 0, None)], "doc_id long, line_no int, l string")
+    got = fuzzy_lines.line_hashes(fuzzy_lines.line_votes(table))
+    rows = {r.l: r for r in got.join(table.where("doc_id < 9").selectExpr("xxhash64(l) AS h", "l"), "h").collect()}
+    assert len(rows) == got.count() == 9
+    for text, r in rows.items():
+        own = [codes[w] for w in text.split(" ")]
+        assert r.words == len(own) and r.sim % 2**64 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own))
+    a, b = ([rows[lines[k]][m] for m in fuzzy_lines._masks()] for k in (4, 8))
+    assert sum(((x & ~y) % 2**64).bit_count() for x, y in zip(a, b)) <= 24
+
+
 def edits(x, y):
     """Edit distance of two lists."""
     row = list(range(len(y) + 1))
